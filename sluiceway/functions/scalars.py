@@ -11,6 +11,8 @@ NULL_TOKENS = ["NULL", "", "N/A", "n/a", "\\N"]
 
 BYTE_ORDER_MARK = "\ufeff"
 DATE_PATTERN = "yyyy-MM-dd"
+# A quoted or a bare field, with the comma that ends it.
+FIELD_PATTERN = '("[^"]*(?:""[^"]*)*"|[^,"]*),'
 
 
 def blank_to_null(text: Column, tokens: list[str] = NULL_TOKENS) -> Column:
@@ -73,7 +75,7 @@ def elapsed(unit: str, start: Column, end: Column) -> Column:
 def header_names(line: Column) -> Column:
     """Split one header line into names, honouring quotes and a byte-order mark."""
     plain = F.regexp_replace(line, f"^{BYTE_ORDER_MARK}", "")
-    fields = F.regexp_extract_all(F.concat(plain, F.lit(",")), F.lit('("(?:[^"]|"")*"|[^,"]*),'), F.lit(1))
+    fields = F.regexp_extract_all(F.concat(plain, F.lit(",")), F.lit(FIELD_PATTERN), F.lit(1))
     return F.transform(fields, _unquote)
 
 

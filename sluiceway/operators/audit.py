@@ -5,10 +5,11 @@ from __future__ import annotations
 import json
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluiceway.session import path_exists
+
 # The audit tables and their columns.
 AUDIT_SCHEMAS = {
     "TDQ_RESULTS": (
@@ -44,12 +45,10 @@ class AuditLog:
         self.spark, self.path = spark, path.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(AUDIT_SCHEMAS[name]).parquet(f"{self.path}/{name}")
-        except AnalysisException as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
+        path = f"{self.path}/{name}"
+        if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], AUDIT_SCHEMAS[name])
+        return self.spark.read.schema(AUDIT_SCHEMAS[name]).parquet(path)
 
     def append(self, name: str, rows: DataFrame) -> None:
         """Add rows; columns not given are NULL."""

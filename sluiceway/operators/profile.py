@@ -58,3 +58,19 @@ def batch_profile(rows: DataFrame, batch: str, key: str, loaded_at: str) -> Data
 def distinct_count(rows: DataFrame, column: str, name: str) -> DataFrame:
     """Exact number of distinct non-null values; reads one column."""
     return rows.select(column).distinct().agg(F.count(column).alias(name))
+
+
+def load_profile(rows: DataFrame) -> DataFrame:
+    """Acceptance figures of a load: rows, distinct row and key hashes, files.
+
+    Each exact distinct count reads its own column, so together they read what one
+    scan of all three would, and none of them copies rows for the others.
+    """
+    total = rows.agg(F.count(F.lit(1)).alias("total_rows"))
+    for column, name in [
+        ("ROW_HASH_ID", "distinct_row_hash"),
+        ("UNIQUE_HASH_ID", "distinct_unique_hash"),
+        ("_FILENAME", "files"),
+    ]:
+        total = attach(total, distinct_count(rows, column, name))
+    return total

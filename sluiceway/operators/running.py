@@ -16,13 +16,19 @@ _GROUP_BYTES = 256
 
 
 def running_sum(
-    rows: DataFrame, group: str, order: Sequence[str], amount: str, name: str, large: int = LARGE_GROUP_ROWS
+    rows: DataFrame,
+    group: str,
+    order: Sequence[str],
+    amount: str,
+    name: str,
+    large: int = LARGE_GROUP_ROWS,
+    block: int | None = None,
 ) -> DataFrame:
     """Sum of `amount` from the start of the group to the current row.
 
     `order` must identify a row within its group.  Ordinary groups take one window.
-    Groups above `large` rows are cut into ordered blocks of about that size; see
-    `_blockwise`.  One scan of the group column decides which are which.
+    Groups above `large` rows are cut into ordered blocks of about `block` rows (the
+    same if not given); see `_blockwise`.  One scan of the group column decides which are which.
     """
     big = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > large)
     # At most (rows / large) groups can be that big.
@@ -34,7 +40,7 @@ def running_sum(
     listed = broadcast_bounded(listed, len(found), _GROUP_BYTES)
     is_big = F.col(group).eqNullSafe(F.col("_big"))
     small = _windowed(rows.join(listed, is_big, "left_anti"), [group], order, amount, name)
-    blocks = ceil(sum(n for _, n in found) / large)
+    blocks = ceil(sum(n for _, n in found) / (block or large))
     return small.unionByName(
         _blockwise(rows.join(listed, is_big, "left_semi"), group, order, amount, name, blocks)
     )

@@ -11,11 +11,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from sluiceway.session import path_exists
+
 VERSION = "_VERSION"
 LOG_SCHEMA = "seq bigint, part string, version string, item string, rows bigint"
 
@@ -45,12 +46,9 @@ class PartTable:
     # ---- reading ---------------------------------------------------------
 
     def log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(self._log)
-        except AnalysisException as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
+        if not path_exists(self.spark, self._log):
             return self.spark.createDataFrame([], LOG_SCHEMA)
+        return self.spark.read.schema(LOG_SCHEMA).parquet(self._log)
 
     def _versions(self) -> dict[str, dict[str | None, int]]:
         """Per part, the versions that were ever shown and when; a few entries per part."""
