@@ -111,22 +111,13 @@ def phase_timings(results: DataFrame, loads: DataFrame) -> DataFrame:
         ("STG_BDQ", c("STG_START"), c("STG_END"), c("STG_SECS")),
         ("SDM_BDQ", c("SDM_START"), c("SDM_END"), c("SDM_SECS")),
     ]
-    one = [
+    first, last = F.least(*[s for _, s, _, _ in spans]), F.greatest(*[e for _, _, e, _ in spans])
+    spans.append(("TOTAL_E2E", first, last, _seconds(first, last)))
+    rows = [
         F.struct(F.lit(p).alias("PHASE"), s.alias("START_TS"), e.alias("END_TS"), d.alias("DURATION_SEC"))
         for p, s, e, d in spans
     ]
-    phases = complete.select("BATCH_ID", F.col("ML_ROWS").alias("ROWS_PROCESSED"), F.inline(F.array(*one)))
-    starts, ends = [s for _, s, _, _ in spans], [e for _, _, e, _ in spans]
-    first, last = F.least(*starts), F.greatest(*ends)
-    total = complete.select(
-        "BATCH_ID",
-        F.col("ML_ROWS").alias("ROWS_PROCESSED"),
-        F.lit("TOTAL_E2E").alias("PHASE"),
-        first.alias("START_TS"),
-        last.alias("END_TS"),
-        _seconds(first, last).alias("DURATION_SEC"),
-    )
-    return phases.unionByName(total)
+    return complete.select("BATCH_ID", F.col("ML_ROWS").alias("ROWS_PROCESSED"), F.inline(F.array(*rows)))
 
 
 def alert_message(results: DataFrame, as_of: Column, minutes: int = 10) -> DataFrame:

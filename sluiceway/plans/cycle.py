@@ -76,10 +76,11 @@ def log_timings(store: Store, batch_id: str, size: str = "") -> DataFrame:
     mine = store.mirror.read().where(F.col("_BATCH_ID") == batch_id)
     loads = mine.groupBy(F.col("_BATCH_ID").alias("BATCH_ID")).agg(F.min("_LOADED_AT").alias("INGEST_START"))
     results = store.audit.table("TDQ_RESULTS").where(F.col("BATCH_ID") == batch_id)
-    files = store.mirror.items().where(F.col("part") == batch_id).select("item").distinct().count()
-    timed = phase_timings(results, loads).select(
+    loaded = store.mirror.items().where(F.col("part") == batch_id)
+    files = loaded.groupBy(F.col("part").alias("BATCH_ID")).agg(F.count("item").alias("FILES_PROCESSED"))
+    timed = phase_timings(results, loads).join(files, "BATCH_ID").select(
         F.col("BATCH_ID").alias("TEST_RUN_ID"), "PHASE", "START_TS", "END_TS", "DURATION_SEC", "ROWS_PROCESSED",
-        F.lit(files).alias("FILES_PROCESSED"), (F.col("ROWS_PROCESSED") / F.col("DURATION_SEC")).alias("ROWS_PER_SEC"),
+        "FILES_PROCESSED", (F.col("ROWS_PROCESSED") / F.nullif("DURATION_SEC", F.lit(0))).alias("ROWS_PER_SEC"),
         F.lit(size).alias("WAREHOUSE_SIZE"), F.concat(F.lit("batch_id="), "BATCH_ID").alias("NOTES"),
         F.current_timestamp().alias("CREATED_AT"),
     )

@@ -100,7 +100,7 @@ def _scalars(spark: SparkSession, sf: str) -> DataFrame:
         key.alias("k"),
         F.concat("o_orderstatus", F.lit("-"), "o_orderpriority").alias("concat_text"),
         F.concat_ws("|", "o_orderstatus", F.lit(None).cast("string"), "o_orderpriority").alias("concat_ws_text"),
-        F.coalesce(F.when(key % 2 == 0, "o_orderstatus"), F.lit("?")).alias("coalesced"),
+        F.coalesce(F.when(key % 2 == 0, F.col("o_orderstatus")), F.lit("?")).alias("coalesced"),
         F.md5("o_orderpriority").alias("digest"),
         fn.code(F.concat(F.lit(" "), "o_orderpriority", F.lit(" "))).alias("code"),
         F.length("o_orderpriority").alias("len"),

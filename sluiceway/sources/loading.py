@@ -8,7 +8,6 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -56,9 +55,10 @@ def _finish(
     mirror: PartTable, groups: list[DataFrame], lineage: Lineage, headers: int, began: float, verify=None
 ) -> LoadSummary:
     """Write all groups in one job, publish, and report what the log now says."""
-    mirror.replace(reduce(DataFrame.unionByName, groups), verify=verify)
-    totals = mirror.items().where(F.col("part") == lineage.batch_id)
-    files, rows = totals.agg(F.count_distinct("item"), F.coalesce(F.sum("rows"), F.lit(0))).first()
+    version = mirror.replace(reduce(DataFrame.unionByName, groups), verify=verify)
+    # The log has one entry per file.
+    entries = mirror.log().where(F.col("version") == version)
+    files, rows = entries.agg(F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0))).first()
     return LoadSummary(lineage.batch_id, "LOADED", headers, files, rows, time.time() - began)
 
 
@@ -105,7 +105,7 @@ def compatible_groups(spark: SparkSession, files: list[str]) -> list[list[str]]:
     try:
         spark.read.option("mergeSchema", "true").parquet(*files)
         return [files]
-    except (AnalysisException, PySparkException) as conflict:
+    except Exception as conflict:  # raised by the footer job as an untyped error
         if "CANNOT_MERGE_SCHEMAS" not in str(conflict):
             raise
     # Footers only: no row is read here, and only batches with a conflict get this far.
