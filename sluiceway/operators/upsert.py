@@ -27,29 +27,43 @@ def upsert(
 
 @dataclass(frozen=True)
 class Merged:
-    """What a merge touched; the frames read the table as it was before and the source."""
+    """What a merge did: the rows that came in, the rows they replaced, the parts rewritten for it."""
 
-    rewritten: list[str]
+    fresh: DataFrame
     replaced: DataFrame
-    source: DataFrame
+    rewritten: list[str]
 
 
 def merge_into(
     table: PartTable, source: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None
-) -> Merged:
+) -> Merged | None:
     """Upsert into a stored table, rewriting only the parts that hold a replaced row.
 
-    The scan for replaced rows reads the key and part columns of the table; parts
-    without a match are neither read in full nor written.
+    The incoming rows are stored first, so everything after works from their key
+    columns on disk.  The search for replaced rows reads the key and part columns
+    of the table; parts without a match are neither read in full nor written.
+    None if there was nothing to merge.
     """
-    before = table.read()
-    require_same_schema(before.schema, source.schema)
-    arriving = source.select(*keys).distinct()
-    replaced = before.join(arriving, list(keys), "left_semi")
-    live = set(table.live_parts())
-    # Part names only, at most one row per part of the table.
-    touched = {r[0] for r in replaced.select(table.part).distinct().collect()}
-    touched |= live & {r[0] for r in source.select(table.part).distinct().collect()}
-    old_rows = before.where(F.col(table.part).isin(sorted(touched)))
-    table.replace(upsert(old_rows, source, keys, order), drop=touched, spread=True)
-    return Merged(sorted(touched), replaced, source)
+    keys = list(keys)
+    before, live = table.read(), set(table.live_parts())
+    staged = table.write(latest_per_key(source, keys, order) if order else source)
+    fresh = table.stored(staged).select(before.columns)
+    # Part names only, here and below: at most one per part of the table.
+    arriving = _parts(fresh, table.part)
+    if not arriving:
+        return None
+    replaced = before.join(fresh.select(*keys), keys, "left_semi")
+    touched = (_parts(replaced, table.part) if live else set()) | (live & arriving)
+    kept = before.where(F.col(table.part).isin(sorted(touched))).join(fresh.select(*keys), keys, "left_anti")
+    if touched & arriving:
+        # A part shows one version, so old and new rows of it go into the same one.
+        table.replace(kept.select(before.columns).unionByName(fresh), drop=touched, spread=True)
+    elif touched:
+        table.publish([staged, table.write(kept, spread=True)], drop=touched)
+    else:
+        table.publish([staged])
+    return Merged(fresh, replaced, sorted(touched))
+
+
+def _parts(rows: DataFrame, part: str) -> set[str]:
+    return {r[0] for r in rows.select(part).distinct().collect()}

@@ -32,19 +32,12 @@ class CycleResult:
 
 
 def stage_new_rows(store: Store) -> Merged | None:
-    """Typed rows of passed batches newer than staging, merged by key; None if there are none.
-
-    The typed rows are used by the merge and by the refresh after it, so they are
-    kept until the caller releases `source`; lost pieces are recomputed.
-    """
+    """Typed rows of passed batches newer than staging, merged by key; None if there are none."""
     row = "_FILE_ROW_NUM"
     mirror = tx.mirror_keys(store.mirror.read(), row)
     fresh = tx.slice_newer(mirror, store.staging.read(), store.audit.passed_batches("ML"))
     accepted = tx.accepted_rows(tx.typed_rows(fresh, row))
-    rows = latest_per_key(accepted, ["TXN_ID"], tx.newest_first(row)).drop(row).persist()
-    if rows.isEmpty():
-        rows.unpersist()
-        return None
+    rows = latest_per_key(accepted, ["TXN_ID"], tx.newest_first(row)).drop(row)
     return merge_into(store.staging, rows, ["TXN_ID"])
 
 
@@ -63,7 +56,7 @@ def refresh_mart(store: Store, merged: Merged) -> None:
     if store.mart.is_empty():
         rebuild_mart(store)
         return
-    touched = merged.source.select("ACCOUNT_ID").unionByName(merged.replaced.select("ACCOUNT_ID")).distinct()
+    touched = merged.fresh.select("ACCOUNT_ID").unionByName(merged.replaced.select("ACCOUNT_ID")).distinct()
     # Bucket numbers, at most `store.buckets` of them.
     hit = [r[0] for r in touched.select(store.bucket_of()).distinct().collect()]
     old = store.mart.read().where(F.col(BUCKET).isin(hit)).select(*tx.MART_COLUMNS)
@@ -114,7 +107,6 @@ def run_cycle(
         result.gates.append(gate_staging(store, load.batch_id, size))
         if merged:
             refresh_mart(store, merged)
-            merged.source.unpersist()
         result.gates.append(gate_mart(store, load.batch_id, size))
         result.status = "SUCCESS"
     except GateFailed as stop:

@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from sluiceway.session import path_exists
+from sluiceway.session import path_exists, scoped_conf
 
 VERSION = "_VERSION"
+# Timestamps as plain integers: smaller, and with the statistics that let a scan skip row groups.
+WRITE_SETTINGS = {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}
 LOG_SCHEMA = "seq bigint, part string, version string, item string, rows bigint"
 
 
@@ -84,11 +86,7 @@ class PartTable:
         live.pop(None, None)
         if not live:
             return self.spark.createDataFrame([], self.schema)
-        rows = (
-            self.spark.read.schema(self._stored)
-            .option("basePath", self._data)
-            .parquet(*[f"{self._data}/{VERSION}={v}" for v in live])
-        )
+        rows = self.stored(*live)
         for version, parts in live.items():
             # Parts of a still-used folder that a later version replaced.
             stale = sorted(written[version] - parts)
@@ -98,48 +96,64 @@ class PartTable:
 
     # ---- writing ---------------------------------------------------------
 
-    def replace(
-        self,
-        rows: DataFrame,
-        drop: Iterable[str] = (),
-        spread: bool = False,
-        verify: Callable[[], None] | None = None,
-    ) -> str:
-        """Make `rows` the whole content of every part they contain; `drop` empties parts.
+    def write(self, rows: DataFrame, spread: bool = False) -> str:
+        """Store rows under a new version that nobody sees yet.
 
-        `spread` re-balances the rows by part before writing, for rows that come
-        from many parts at once; Spark splits a part that is too large for one task.
-        `verify` runs between writing and publishing and may raise to keep the rows out.
+        `spread` gathers rows by part before writing, for rows that come from many
+        parts at once; Spark splits a part that is too large for one task.
         """
         require_same_schema(self.schema, rows.schema)
         version = uuid.uuid4().hex
-        target = f"{self._data}/{VERSION}={version}"
         out = rows.select(self.schema.names)
         if spread:
             out = out.hint("rebalance", self.part)
-        out.write.partitionBy(self.part).parquet(target)
-        if verify:
-            verify()
-        self._publish(version, target, list(drop))
+        with scoped_conf(self.spark, WRITE_SETTINGS):
+            out.write.partitionBy(self.part).parquet(self._folder(version))
         return version
 
-    def _publish(self, version: str, target: str, drop: list[str]) -> None:
-        """Append one log file; a part that is dropped and written again ends up written."""
+    def stored(self, *versions: str) -> DataFrame:
+        """Rows of the given versions, published or not."""
+        source = self.spark.read.schema(self._stored).option("basePath", self._data)
+        return source.parquet(*[self._folder(v) for v in versions])
+
+    def publish(self, versions: Iterable[str], drop: Iterable[str] = ()) -> None:
+        """Show the versions' parts and empty the dropped ones, by appending one log file.
+
+        A part that is dropped and written at once ends up written.
+        """
         seq = (self.log().agg(F.max("seq")).first()[0] or 0) + 1
         item = F.col(self.item) if self.item else F.lit(None).cast("string")
         entries = (
-            self.spark.read.schema(self._stored)
-            .option("basePath", self._data)
-            .parquet(target)
-            .groupBy(F.col(self.part).alias("part"), item.alias("item"))
+            self.stored(*versions)
+            .groupBy(F.col(self.part).alias("part"), F.col(VERSION).alias("version"), item.alias("item"))
             .agg(F.count(F.lit(1)).alias("rows"))
-            .select(F.lit(seq + 1).cast("bigint").alias("seq"), "part", F.lit(version).alias("version"), "item", "rows")
+            .select(F.lit(seq + 1).cast("bigint").alias("seq"), "part", "version", "item", "rows")
         )
-        if drop:
-            emptied = [(seq, part, None, None, 0) for part in drop]
+        emptied = [(seq, part, None, None, 0) for part in drop]
+        if emptied:
             entries = entries.unionByName(self.spark.createDataFrame(emptied, LOG_SCHEMA))
         entries.coalesce(1).write.mode("append").parquet(self._log)
 
+    def replace(
+        self,
+        rows: DataFrame,
+        drop: Iterable[str] = (),
+        spread: bool = False,
+        verify: Callable[[], None] | None = None,
+    ) -> str:
+        """Make `rows` the whole content of every part they contain; `drop` empties parts.
+
+        `verify` runs between writing and publishing and may raise to keep the rows out.
+        """
+        version = self.write(rows, spread)
+        if verify:
+            verify()
+        self.publish([version], drop)
+        return version
+
+    def _folder(self, version: str) -> str:
+        return f"{self._data}/{VERSION}={version}"
+
     def delete_where(self, condition) -> list[str]:
         """Remove matching rows; only the parts that hold one are rewritten."""
         rows = self.read()
