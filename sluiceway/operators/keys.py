@@ -3,31 +3,58 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from sluiceway.functions.metrics import Check
 from sluiceway.operators.profile import key_counts
 from sluiceway.session import fits_broadcast
 
 
-def repeats_from_history(
-    current: DataFrame, history: DataFrame, key: str, current_rows: int, key_bytes: int, name: str = "repeats"
+@dataclass(frozen=True)
+class KeyBounds:
+    """What the profiling pass learned about a batch's keys."""
+
+    rows: int
+    longest: int
+    low: str | None
+    high: str | None
+
+    @staticmethod
+    def metrics(key: str) -> list[Check]:
+        """Aggregates to put into the fused pass; they are not judged."""
+        return [
+            Check("KEY_LONGEST", "", "", F.coalesce(F.max(F.octet_length(key)), F.lit(0))),
+            Check("KEY_LOW", "", "", F.min(key)),
+            Check("KEY_HIGH", "", "", F.max(key)),
+        ]
+
+    @staticmethod
+    def of(rows: int, profile: Row) -> KeyBounds:
+        return KeyBounds(rows, profile.KEY_LONGEST, profile.KEY_LOW, profile.KEY_HIGH)
+
+
+def key_metrics(
+    current: DataFrame, history: DataFrame, key: str, bounds: KeyBounds, duplicates: str, repeats: str
 ) -> DataFrame:
-    """Rows of `current` whose key also occurs in `history`, as a one-row frame.
+    """One row: surplus rows per key in `current`, and its rows whose key `history` also holds.
 
-    `current_rows` and `key_bytes` (longest key) come from the profiling pass and
-    bound the size of the current keys.  If they fit, they go to the executors
-    and the history is only scanned: nothing but hits is shuffled.  Otherwise
+    History keys outside the batch's range are dropped in the scan; with growing
+    ids that leaves nothing to shuffle.  Of the rest, if the current keys are
+    proven small they go to the executors and only hits are shuffled; otherwise
     both sides are reduced to distinct keys before they meet.
     """
-    mine = key_counts(current.where(F.col(key).isNotNull()), key)
-    theirs = history.select(key)
-    if fits_broadcast(current_rows, key_bytes):
-        hits = theirs.join(F.broadcast(mine.select(key)), key, "left_semi").distinct()
-    else:
-        hits = theirs.distinct()
-    return mine.join(hits, key, "left_semi").agg(F.coalesce(F.sum("n"), F.lit(0)).alias(name))
+    mine = key_counts(current, key)
+    theirs = history.select(key).where(F.col(key).between(bounds.low, bounds.high))
+    if fits_broadcast(bounds.rows, bounds.longest):
+        theirs = theirs.join(F.broadcast(mine.select(key)), key, "left_semi")
+    seen = theirs.distinct().withColumn("_seen", F.lit(True))
+    return mine.join(seen, key, "left").agg(
+        (F.sum("n") - F.count(key)).alias(duplicates),
+        F.coalesce(F.sum(F.when(F.col("_seen"), F.col("n"))), F.lit(0)).alias(repeats),
+    )
 
 
 def repeats_across(rows: DataFrame, key: str, part: str) -> DataFrame:

@@ -34,9 +34,12 @@ def duplicate_metric(rows: DataFrame, key: str, name: str, by: Sequence[str] = (
 
 
 def attach(metrics: DataFrame, more: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Put metrics of the same groups side by side; both have one row per group."""
+    """Put metrics of the same groups side by side; both have one row per group.
+
+    Without groups `more` is one row, and each of its values becomes a scalar subquery.
+    """
     if not by:
-        return metrics.crossJoin(more)
+        return metrics.select("*", *[more.select(c).scalar().alias(c) for c in more.columns])
     return metrics.join(more, list(by), "left")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.functions.scalars import elapsed
+from sluiceway.operators.profile import attach, distinct_count
 
 
 def table_totals(rows: DataFrame, prefix: str, amount: str, key: str, dims: tuple[str, str], loaded_at: str) -> DataFrame:
@@ -27,8 +28,7 @@ def table_totals(rows: DataFrame, prefix: str, amount: str, key: str, dims: tupl
         F.count_distinct(first).alias(f"{prefix}_DISTINCT_{first}"),
         F.count_distinct(second).alias(f"{prefix}_DISTINCT_{second}"),
     )
-    keys = rows.select(key).distinct().agg(F.count(key).alias(f"{prefix}_DISTINCT_{key}"))
-    return small.crossJoin(keys)
+    return attach(small, distinct_count(rows, key, f"{prefix}_DISTINCT_{key}"))
 
 
 def consistency(mart: DataFrame, staging: DataFrame) -> DataFrame:
@@ -37,7 +37,9 @@ def consistency(mart: DataFrame, staging: DataFrame) -> DataFrame:
     The distinct counts are compared, not the sets; see `missing_references` for
     an exact comparison of members.  TABLE_ROWS is reported, not judged.
     """
-    both = mart.crossJoin(staging)
+    # Two rows, each with one side's columns, folded into one.
+    stacked = mart.unionByName(staging, allowMissingColumns=True)
+    both = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
     m, s = (lambda n: F.col(f"SDM_{n}")), (lambda n: F.col(f"STG_{n}"))
     zero = F.lit(0)
     return both.select(
@@ -55,6 +57,6 @@ def lag_minutes(behind: DataFrame, ahead: DataFrame, loaded_at: str) -> DataFram
     """Whole minutes between the newest rows of two tables."""
     a = behind.agg(F.max(loaded_at).alias("behind_latest"))
     b = ahead.agg(F.max(loaded_at).alias("ahead_latest"))
-    return a.crossJoin(b).withColumn(
+    return attach(a, b).withColumn(
         "lag_minutes", elapsed("MINUTE", F.col("behind_latest"), F.col("ahead_latest"))
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.functions.metrics import Check
 from sluiceway.operators.audit import AuditLog, utc_now
-from sluiceway.operators.keys import keys_without_origin, missing_references, repeats_from_history
+from sluiceway.operators.keys import KeyBounds, key_metrics, keys_without_origin, missing_references
 from sluiceway.operators.modeltests import missing_columns
 from sluiceway.operators.profile import attach, duplicate_metric, fused_metrics
 from sluiceway.operators.reconcile import consistency, table_totals
@@ -48,16 +48,12 @@ def gate_mirror(store: Store, batch_id: str, as_of: datetime | None = None, size
     rows = tx.mirror_keys(store.mirror.read())
     batch = rows.where(F.col("_BATCH_ID") == batch_id)
     suite = tx.mirror_suite(_literal(as_of))
-    extra = Check("KEY_BYTES", "", "", F.coalesce(F.max(F.octet_length("TXN_ID")), F.lit(0)))
-    first = fused_metrics(batch, [*suite, extra]).first()
+    first = fused_metrics(batch, [*suite, *KeyBounds.metrics("TXN_ID")]).first()
     if first.TOTAL_ROWS == 0:
         raise _empty(store.audit, "ML", "mirror", batch_id, began, size)
     history = rows.where(F.col("_BATCH_ID") != batch_id)
-    keys = duplicate_metric(batch, "TXN_ID", "DUP_TXN_ID_IN_BATCH").crossJoin(
-        repeats_from_history(
-            batch, history, "TXN_ID", first.TOTAL_ROWS, first.KEY_BYTES, "cross_batch_dup_txn_ids"
-        )
-    )
+    bounds = KeyBounds.of(first.TOTAL_ROWS, first)
+    keys = key_metrics(batch, history, "TXN_ID", bounds, "DUP_TXN_ID_IN_BATCH", "cross_batch_dup_txn_ids")
     values = {**first.asDict(), **keys.first().asDict()}
     return _conclude(store, "ML", "mirror", batch_id, values, suite, began, size, log_speed=True)
 
@@ -93,12 +89,12 @@ def gate_mart(store: Store, batch_id: str, size: str = "") -> GateResult:
     began = time.time()
     mart, staging = store.mart_rows(), store.staging.read()
     suite = tx.mart_suite() + tx.consistency_suite()
-    metrics = fused_metrics(mart.where(F.col("_BATCH_ID") == batch_id), tx.mart_suite())
+    batch = fused_metrics(mart.where(F.col("_BATCH_ID") == batch_id), tx.mart_suite()).first()
     sides = [
         table_totals(rows, prefix, "AMOUNT", "TXN_ID", ("ACCOUNT_ID", "CURRENCY"), "_LOADED_AT")
         for rows, prefix in [(mart, "SDM"), (staging, "STG")]
     ]
-    values = metrics.crossJoin(consistency(*sides)).first().asDict()
+    values = {**batch.asDict(), **consistency(*sides).first().asDict()}
     if values["TOTAL_ROWS"] == 0:
         raise _empty(store.audit, "SDM", "mart", batch_id, began, size)
     return _conclude(store, "SDM", "mart", batch_id, values, suite, began, size)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluiceway.functions.metrics import Check, row_count
 from sluiceway.operators import keys as k
-from sluiceway.operators.profile import attach
+from sluiceway.operators.profile import attach, fused_metrics
 from sluiceway.registry import base as b
 from sluiceway.registry.base import Query
 
@@ -18,11 +19,11 @@ def _cross_batch(spark: SparkSession, sf: str) -> DataFrame:
 def _newest_against_history(spark: SparkSession, sf: str) -> DataFrame:
     """The newest batch against all earlier ones, with the size bound measured first."""
     rows = b.txn_multi(spark, sf)
-    bound = rows.groupBy("_BATCH_ID").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("TXN_ID")).alias("w"))
-    newest = bound.orderBy(F.desc("_BATCH_ID")).limit(1).first()
+    bounds = fused_metrics(rows, [*k.KeyBounds.metrics("TXN_ID"), Check("n", "", "", row_count())], ["_BATCH_ID"])
+    newest = bounds.orderBy(F.desc("_BATCH_ID")).limit(1).first()
     current = rows.where(F.col("_BATCH_ID") == newest["_BATCH_ID"])
     history = rows.where(F.col("_BATCH_ID") != newest["_BATCH_ID"])
-    found = k.repeats_from_history(current, history, "TXN_ID", newest["n"], newest["w"])
+    found = k.key_metrics(current, history, "TXN_ID", k.KeyBounds.of(newest["n"], newest), "duplicates", "repeats")
     return found.withColumn("_BATCH_ID", F.lit(newest["_BATCH_ID"]))
 
 
@@ -91,8 +92,9 @@ QUERIES = {
     "newest_batch_repeats": Query(
         _newest_against_history,
         f"""WITH {b.MULTI}, n AS (SELECT max(_BATCH_ID) AS b FROM txn_multi)
-        SELECT count(*) AS repeats, max(n.b) AS _BATCH_ID FROM txn_multi m, n WHERE m._BATCH_ID = n.b AND m.TXN_ID IN
-          (SELECT TXN_ID FROM txn_multi h, n WHERE h._BATCH_ID <> n.b)""",
+        SELECT count(*) - count(DISTINCT m.TXN_ID) AS duplicates, count(*) FILTER (m.TXN_ID IN
+          (SELECT TXN_ID FROM txn_multi h, n WHERE h._BATCH_ID <> n.b)) AS repeats, max(n.b) AS _BATCH_ID
+        FROM txn_multi m, n WHERE m._BATCH_ID = n.b""",
     ),
     "ref_integrity": Query(_references, REFERENCES_SQL),
     "missing_accounts": Query(
