@@ -12,7 +12,7 @@ NULL_TOKENS = ["NULL", "", "N/A", "n/a", "\\N"]
 BYTE_ORDER_MARK = "\ufeff"
 ISO_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 # A quoted or a bare field, with the comma that ends it.
-FIELD_PATTERN = '("[^"]*(?:""[^"]*)*"|[^,"]*),'
+FIELD_PATTERN = '( *"[^"]*(?:""[^"]*)*" *|[^,"]*),'
 
 
 def blank_to_null(text: Column, tokens: list[str] = NULL_TOKENS) -> Column:
@@ -76,11 +76,23 @@ def elapsed(unit: str, start: Column, end: Column) -> Column:
     return F.timestamp_diff(unit, start, end)
 
 
+def header_fields(line: Column) -> Column:
+    """The fields of one header line as written, without a byte-order mark."""
+    return F.regexp_extract_all(F.concat(_plain(line), F.lit(",")), F.lit(FIELD_PATTERN), F.lit(1))
+
+
 def header_names(line: Column) -> Column:
-    """Split one header line into names, honouring quotes and a byte-order mark."""
-    plain = F.regexp_replace(line, f"^{BYTE_ORDER_MARK}", "")
-    fields = F.regexp_extract_all(F.concat(plain, F.lit(",")), F.lit(FIELD_PATTERN), F.lit(1))
-    return F.transform(fields, _unquote)
+    """Split one header line into trimmed names without their quotes."""
+    return F.transform(header_fields(line), _unquote)
+
+
+def stray_quote(line: Column) -> Column:
+    """True if a quote stands where none can, so that the fields do not make up the line."""
+    return F.array_join(header_fields(line), ",") != _plain(line)
+
+
+def _plain(line: Column) -> Column:
+    return F.regexp_replace(line, f"^{BYTE_ORDER_MARK}", "")
 
 
 def _unquote(field: Column) -> Column:

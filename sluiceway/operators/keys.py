@@ -52,8 +52,8 @@ def key_metrics(
         theirs = theirs.join(F.broadcast(mine.select(key)), key, "left_semi")
     seen = theirs.distinct().withColumn("_seen", F.lit(True))
     return mine.join(seen, key, "left").agg(
-        (F.sum("n") - F.count(key)).alias(duplicates),
-        F.coalesce(F.sum(F.when(F.col("_seen"), F.col("n"))), F.lit(0)).alias(repeats),
+        (F.sum("_n") - F.count(key)).alias(duplicates),
+        F.coalesce(F.sum(F.when(F.col("_seen"), F.col("_n"))), F.lit(0)).alias(repeats),
     )
 
 
@@ -67,9 +67,9 @@ def repeats_across(rows: DataFrame, key: str, part: str) -> DataFrame:
     same_key = Window.partitionBy(key)
     shared = F.min(part).over(same_key) < F.max(part).over(same_key)
     return (
-        counted.withColumn("shared", shared)
+        counted.withColumn("_shared", shared)
         .groupBy(part)
-        .agg(F.sum(F.when(F.col("shared"), F.col("n")).otherwise(0)).alias("repeats"))
+        .agg(F.sum(F.when(F.col("_shared"), F.col("_n")).otherwise(0)).alias("repeats"))
     )
 
 

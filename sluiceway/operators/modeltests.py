@@ -16,13 +16,13 @@ def not_null(rows: DataFrame, column: str) -> DataFrame:
 def unique(rows: DataFrame, column: str) -> DataFrame:
     """Values that occur more than once, with their number of rows."""
     present = rows.where(F.col(column).isNotNull())
-    return present.groupBy(column).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    return present.groupBy(column).agg(F.count(F.lit(1)).alias("failing_rows")).where("failing_rows > 1")
 
 
 def accepted_values(rows: DataFrame, column: str, values: Iterable[str]) -> DataFrame:
     """Unexpected values with their number of rows."""
     odd = rows.where(F.col(column).isNotNull() & ~F.col(column).isin(list(values)))
-    return odd.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return odd.groupBy(column).agg(F.count(F.lit(1)).alias("failing_rows"))
 
 
 def positive(rows: DataFrame, column: str) -> DataFrame:

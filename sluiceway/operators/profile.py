@@ -21,7 +21,7 @@ def fused_metrics(rows: DataFrame, checks: Sequence[Check], by: Sequence[str] =
 
 def key_counts(rows: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:
     """Rows per key.  Counted before the shuffle, so a frequent key is one row per task."""
-    return rows.groupBy(*by, key).agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy(*by, key).agg(F.count(F.lit(1)).alias("_n"))
 
 
 def duplicate_metric(rows: DataFrame, key: str, name: str, by: Sequence[str] = ()) -> DataFrame:
@@ -30,7 +30,7 @@ def duplicate_metric(rows: DataFrame, key: str, name: str, by: Sequence[str] = (
     Kept apart from the fused pass: it needs a shuffle by key, and that shuffle
     should carry a key and a count, not a row of every metric's partial result.
     """
-    return key_counts(rows, key, by).groupBy(*by).agg((F.sum("n") - F.count(key)).alias(name))
+    return key_counts(rows, key, by).groupBy(*by).agg((F.sum("_n") - F.count(key)).alias(name))
 
 
 def attach(metrics: DataFrame, more: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -47,13 +47,13 @@ def batch_profile(rows: DataFrame, batch: str, key: str, loaded_at: str) -> Data
     """Per batch: rows, distinct keys, first and last load time."""
     return (
         rows.groupBy(batch, key)
-        .agg(F.count(F.lit(1)).alias("n"), F.min(loaded_at).alias("lo"), F.max(loaded_at).alias("hi"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(loaded_at).alias("_lo"), F.max(loaded_at).alias("_hi"))
         .groupBy(batch)
         .agg(
-            F.sum("n").alias("total_rows"),
+            F.sum("_n").alias("total_rows"),
             F.count(key).alias("distinct_keys"),
-            F.min("lo").alias("earliest_load"),
-            F.max("hi").alias("latest_load"),
+            F.min("_lo").alias("earliest_load"),
+            F.max("_hi").alias("latest_load"),
         )
     )
 

@@ -19,12 +19,12 @@ def table_totals(rows: DataFrame, prefix: str, amount: str, key: str, dims: tupl
     """
     first, second = dims
     combos = rows.groupBy(first, second).agg(
-        F.sum(amount).alias("amount"), F.count(F.lit(1)).alias("n"), F.max(loaded_at).alias("latest")
+        F.sum(amount).alias("_amount"), F.count(F.lit(1)).alias("_n"), F.max(loaded_at).alias("_latest")
     )
     small = combos.agg(
-        F.sum("amount").alias(f"{prefix}_AMOUNT"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias(f"{prefix}_ROWS"),
-        F.max("latest").alias(f"{prefix}_LATEST"),
+        F.sum("_amount").alias(f"{prefix}_AMOUNT"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias(f"{prefix}_ROWS"),
+        F.max("_latest").alias(f"{prefix}_LATEST"),
         F.count_distinct(first).alias(f"{prefix}_DISTINCT_{first}"),
         F.count_distinct(second).alias(f"{prefix}_DISTINCT_{second}"),
     )

@@ -30,9 +30,9 @@ def running_sum(
     Groups above `large` rows are cut into ordered blocks of about `block` rows (the
     same if not given); see `_blockwise`.  One scan of the group column decides which are which.
     """
-    big = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > large)
+    big = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > large)
     # At most (rows / large) groups can be that big.
-    found = [(r[0], r.n) for r in big.collect()]
+    found = [(r[0], r[1]) for r in big.collect()]
     if not found:
         return _windowed(rows, [group], order, amount, name)
     key_type = rows.schema[group].dataType.simpleString()

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.functions.scalars import header_fingerprint, header_names
+from sluiceway.functions.scalars import header_fingerprint, header_names, stray_quote
 from sluiceway.session import scoped_conf
 from sluiceway.sources.listing import file_path
 
@@ -58,6 +58,7 @@ def header_problem(names: Column, line: Column) -> Column:
     return (
         F.when(line.isNull() | (F.trim(line) == ""), "no header row")
         .when(quotes % 2 == 1, "unbalanced quote")
+        .when(stray_quote(line), "stray quote")
         .when(F.size(names) >= MAX_COLUMNS, "too many columns")
         .when(F.exists(names, lambda n: n == ""), "empty column name")
         .when(F.size(F.array_distinct(names)) != F.size(names), "duplicate column name")

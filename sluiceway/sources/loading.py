@@ -183,8 +183,8 @@ def number_rows(rows: DataFrame) -> tuple[DataFrame, Observation, int]:
     file that holds most of the data is numbered by as many tasks as it has blocks.
     The observed sum of numbers is compared with n(n+1)/2 per file before publishing.
     """
-    blocks = rows.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"))
-    counted = [(r.file, r.block, r.n, r.first_id) for r in blocks.collect()]
+    blocks = rows.groupBy("file", "block").agg(F.count(F.lit(1)).alias("total"), F.min("id").alias("first_id"))
+    counted = [(r.file, r.block, r.total, r.first_id) for r in blocks.collect()]
     per_file: dict[str, int] = {}
     offsets = []
     for file, block, n, first_id in sorted(counted):
