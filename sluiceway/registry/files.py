@@ -274,7 +274,9 @@ def _load_log(spark: SparkSession, sf: str) -> DataFrame:
 def _inferred(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "inferred")
     unload_csv(b.table(spark, sf, "orders").drop("o_orderdate"), path)
-    return read_csv_inferred(spark, _files_below(spark, path, "csv"))
+    found = read_csv_inferred(spark, _files_below(spark, path, "csv"))
+    # Small keys are inferred as int, large ones as bigint.
+    return found.withColumns({c: F.col(c).cast("bigint") for c in ["o_orderkey", "o_custkey"]})
 
 
 # ---- stored tables ---------------------------------------------------------

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,20 +23,21 @@ class BadHeader(Exception):
     """At least one file of the batch has no usable header."""
 
 
-def _first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            yield batch.slice(0, 1)
-            return
-
-
 def first_lines(spark: SparkSession, files: list[str]) -> list[tuple[str, str]]:
     """(file, first line) for every file, in one job that reads only the start of each."""
+
+    # Local, so that it travels to the workers by value: they need not have this package.
+    def first_row(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
     with scoped_conf(spark, _ONE_FILE_PER_TASK):
         lines = (
             spark.read.text(files)
             .select(file_path().alias("file"), F.col("value").alias("line"))
-            .mapInArrow(_first_row, "file string, line string")
+            .mapInArrow(first_row, "file string, line string")
         )
         return [(r.file, r.line) for r in lines.collect()]
 
