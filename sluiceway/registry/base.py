@@ -31,9 +31,9 @@ def plain(rows: DataFrame) -> DataFrame:
     def show(field) -> Column:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
+            c = c.cast("string")
         elif isinstance(field.dataType, (TimestampType, TimestampNTZType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+            c = F.substring(c.cast("string"), 1, 19)
         elif isinstance(field.dataType, DecimalType):
             c = c.cast("double")
         return c.alias(field.name)
@@ -58,6 +58,7 @@ EVENTS_AS_OF = "2024-01-31 00:00:00"
 def txn_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     k, day = F.col("o_orderkey"), F.col("o_orderdate")
+    date = day.cast("date")
     priority = F.substring("o_orderpriority", 1, 1)
     currency = F.when(priority == "1", "USD").when(priority == "2", "EUR").when(priority == "3", "GBP")
     status = F.when(k % 10 == 3, "FAILED").when(F.col("o_orderstatus") == "F", "SETTLED")
@@ -68,11 +69,11 @@ def txn_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("INST-"), pad_number(k % 2000, 6)).alias("INSTRUMENT_ID"),
         F.col("o_totalprice").cast("decimal(18,4)").cast("string").alias("AMOUNT"),
         currency.when(priority == "4", "JPY").otherwise("CHF").alias("CURRENCY"),
-        F.date_format(day, "yyyy-MM-dd").alias("TXN_DATE"),
-        F.date_format(F.date_add(day.cast("date"), 2), "yyyy-MM-dd").alias("SETTLEMENT_DATE"),
+        date.cast("string").alias("TXN_DATE"),
+        F.date_add(date, 2).cast("string").alias("SETTLEMENT_DATE"),
         status.when(F.col("o_orderstatus") == "O", "PENDING").otherwise("CANCELLED").alias("STATUS"),
         (day + F.expr("INTERVAL 1 DAY")).alias("_LOADED_AT"),
-        F.concat(F.lit("orders_"), F.date_format(day, "yyyy-MM"), F.lit(".csv")).alias("_FILENAME"),
+        F.concat(F.lit("orders_"), F.substring(date.cast("string"), 1, 7), F.lit(".csv")).alias("_FILENAME"),
         F.concat(F.lit("B"), F.year(day).cast("string")).alias("_BATCH_ID"),
     )
 

@@ -28,6 +28,8 @@ def build_session(app: str = "sluiceway", cores: int | str | None = None) -> Spa
         .config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Plans here are built from many small expressions; do not record a stack trace for each.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
