@@ -37,7 +37,7 @@ class KeyBounds:
 
 
 def key_metrics(
-    current: DataFrame, history: DataFrame, key: str, bounds: KeyBounds, duplicates: str, repeats: str
+    current: DataFrame, history: DataFrame | None, key: str, bounds: KeyBounds, duplicates: str, repeats: str
 ) -> DataFrame:
     """One row: surplus rows per key in `current`, and its rows whose key `history` also holds.
 
@@ -47,6 +47,8 @@ def key_metrics(
     both sides are reduced to distinct keys before they meet.
     """
     mine = key_counts(current, key)
+    if history is None:
+        return mine.agg((F.sum("_n") - F.count(key)).alias(duplicates), F.lit(0).cast("bigint").alias(repeats))
     theirs = history.select(key).where(F.col(key).between(bounds.low, bounds.high))
     if fits_broadcast(bounds.rows, bounds.longest):
         theirs = theirs.join(F.broadcast(mine.select(key)), key, "left_semi")

@@ -51,7 +51,8 @@ def gate_mirror(store: Store, batch_id: str, as_of: datetime | None = None, size
     first = fused_metrics(batch, [*suite, *KeyBounds.metrics("TXN_ID")]).first()
     if first.TOTAL_ROWS == 0:
         raise _empty(store.audit, "ML", "mirror", batch_id, began, size)
-    history = rows.where(F.col("_BATCH_ID") != batch_id)
+    others = set(store.mirror.live_parts()) - {batch_id}
+    history = rows.where(F.col("_BATCH_ID") != batch_id) if others else None
     bounds = KeyBounds.of(first.TOTAL_ROWS, first)
     keys = key_metrics(batch, history, "TXN_ID", bounds, "DUP_TXN_ID_IN_BATCH", "cross_batch_dup_txn_ids")
     values = {**first.asDict(), **keys.first().asDict()}

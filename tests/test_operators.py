@@ -65,7 +65,8 @@ def test_key_metrics(spark, monkeypatch, limit):
 def test_key_metrics_first_batch(spark):
     rows = spark.createDataFrame([("a",), ("a",), ("b",)], "key string")
     bounds = k.KeyBounds.of(3, fused_metrics(rows, k.KeyBounds.metrics("key")).first())
-    assert tuple(k.key_metrics(rows, rows.limit(0), "key", bounds, "d", "r").first()) == (1, 0)
+    for history in (rows.limit(0), None):
+        assert tuple(k.key_metrics(rows, history, "key", bounds, "d", "r").first()) == (1, 0)
 
 
 def test_repeats_across(spark):
