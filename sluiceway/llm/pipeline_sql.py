@@ -130,9 +130,23 @@ s4 AS (SELECT doc_id, text FROM (SELECT d.*, unnest(range(0, copies)) AS copy FR
 SELECT * FROM {pack_out}"""
 
 
+def warc_sql(table: str = "pages") -> str:
+    """The archive's rows; base 32 is read off the hex digest, five hex digits to four letters."""
+    letters = ", ".join(
+        f"(('0x' || substr(x, {5 * k + 1}, 5))::BIGINT >> {shift}) & 31" for k in range(8) for shift in (15, 10, 5, 0)
+    )
+    return f"""SELECT page_id, size::BIGINT AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v + 1)::INT, 1) FOR v IN [{letters}]], '') AS payload_digest,
+  CASE WHEN last IS NULL OR last IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN last IS DISTINCT FROM page_id THEN last END AS refers_to
+FROM (SELECT page_id, strlen(h) AS size, sha1(h) AS x, max(page_id) OVER (PARTITION BY h)::BIGINT AS last
+  FROM (SELECT page_id, coalesce(html, '') AS h FROM {table}))"""
+
+
 NEAR_SQL = "WITH RECURSIVE {0} SELECT *, component_id = doc_id AS kept FROM {1}".format(*near_sql())
 MIXING_SQL = "WITH {0} {1}".format(mixing_sql()[0], order_sql(mixing_sql()[1]))
 PACKING_SQL = "WITH {0} SELECT * FROM {1}".format(*packing_sql())
 EXACT_SQL = exact_sql()
+WARC_SQL = warc_sql()
 QUALITY_SQL = quality.oracle_query()
 PIPELINE_SQL = _pipeline()

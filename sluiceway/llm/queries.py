@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import digest_index, minhash, mixing, packing, quality
+from sluiceway.llm import digest_index, html_text, langid, minhash, mixing, packing, quality, secret_scan, toxicity, warc
 from sluiceway.llm import pipeline_sql as sql
 from sluiceway.llm.text import read_table
+from sluiceway.session import scratch_dir
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +19,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.reading_order(mixing.mixing_plan(read_table(spark, sf_dir, "documents")))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = digest_index.fresh_index(spark).add(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -31,12 +36,34 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read_table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "warc")
+    return warc.read_archives(warc.write_archives(read_table(spark, sf_dir, "pages"), folder), folder)
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_spans(read_table(spark, sf_dir, "documents"))
+
+
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_of(read_table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_mixing": op2_mixing,
+    "op3_html_text": op3_html_text,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
+    "op7_warc": op7_warc,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_langid": op9_langid,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL = {
@@ -45,4 +72,5 @@ ORACLE_SQL = {
     "op4_exact_dedup": sql.EXACT_SQL,
     "op5_packing": sql.PACKING_SQL,
     "op6_quality": sql.QUALITY_SQL,
+    "op7_warc": sql.WARC_SQL,
 }
