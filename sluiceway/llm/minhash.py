@@ -135,30 +135,32 @@ def _small_bucket_pairs(rows: DataFrame) -> DataFrame:
     return two.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
-def _supported(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """Rows of members that could still be linked to another component.
+def _supported(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members that could still be linked to another component.
 
     A link needs 75 % of a member's own shingles in its partner, so a member with fewer
     shingles that any other component has at all is decided without a comparison.
     """
-    docs = rows.select("node", "component").distinct().join(sets.withColumnRenamed("id", "node"), "node")
-    owned = docs.select("node", "component", F.size("shingles").alias("m"), F.explode("shingles").alias("shingle"))
+    both = docs.join(sets.withColumnRenamed("id", "node"), "node")
+    owned = both.select("node", "component", F.size("shingles").alias("m"), F.explode("shingles").alias("shingle"))
     spread = owned.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     common = owned.join(spread.where("low <> high").select("shingle"), "shingle", "left_semi")
     able = common.groupBy("node", "m").count().where(F.col("count") * 100 >= F.col("m") * THRESHOLD)
-    return rows.join(able.select("node").distinct(), "node", "left_semi")
+    return docs.join(able.select("node").distinct(), "node", "left_semi")
 
 
-def _jobs(rows: DataFrame) -> DataFrame:
+def _jobs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """(job, id, component, side) of block comparisons of the members of large buckets.
 
     Members of connected buckets form a cluster.  Within it, texts are ordered into size classes a
     factor 4/3 apart, so that only texts of one class or of neighbours can be similar, and classes are salted
     into blocks of about BLOCK_SHINGLES.  A job is a pair of blocks.
     """
-    linked = rows.groupBy("bucket").agg(F.min("node").alias("least")).join(rows.select("bucket", "node"), "bucket")
-    clusters = connected_components(linked.select(F.col("node").alias("a"), F.col("least").alias("b")))
-    docs = rows.select("node", "n", "component").distinct().join(clusters.toDF("node", "cluster"), "node")
+    # The smallest member stands for a bucket: few different edges, however many tables repeat them.
+    edges = rows.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    clusters = connected_components(edges).toDF("node", "cluster")
+    docs = _supported(store(rows.select("node", "n", "component").distinct(), "open-members"), sets)
+    docs = docs.join(clusters, "node")
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4.0 / 3.0)) + 1e-9)
     docs = store(docs.withColumn("size_class", step), "members")
     blocks = docs.groupBy("cluster", "size_class").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("long").alias("blocks"))
@@ -250,8 +252,7 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     links = links.union(store(small, "small"))
     large = rows.where(F.col("size") > SMALL_BUCKET)
     if not large.isEmpty():
-        large = store(_supported(large, sets), "able")
-        work = _jobs(large).join(sets, "id").groupBy("job").applyInPandas(_compare_blocks, "a long, b long")
+        work = _jobs(large, sets).join(sets, "id").groupBy("job").applyInPandas(_compare_blocks, "a long, b long")
         links = links.union(store(work, "large"))
     return links
 
