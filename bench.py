@@ -63,7 +63,6 @@ def run_phases(spark) -> tuple[dict[str, float], int]:
     count = rows.count()
     rows.unpersist()
     csv_store = Store(spark, scratch_dir(spark, "bench"), store.accounts, store.instruments, 16)
-    merged = None
     took: dict[str, float] = {}
 
     def phase(name, work):
@@ -78,11 +77,11 @@ def run_phases(spark) -> tuple[dict[str, float], int]:
     phase("phase_load_csv", lambda: load_csv(spark, csv_store.mirror, texts, context, base=csv_landing))
     phase("phase_load", lambda: load_parquet(spark, store.mirror, files, context, base=landing))
     phase("phase_gate1", lambda: gates.gate_mirror(store, "bench"))
-    merged = phase("phase_transform", lambda: cycle.stage_new_rows(store))
+    phase("phase_transform", lambda: cycle.stage_new_rows(store))
     phase("phase_gate2", lambda: gates.gate_staging(store, "bench"))
 
     def refresh_and_check():
-        cycle.refresh_mart(store, merged)
+        cycle.refresh_mart(store)
         return gates.gate_mart(store, "bench")
 
     phase("phase_refresh_gate3", refresh_and_check)

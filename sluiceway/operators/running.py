@@ -7,6 +7,7 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from sluiceway.session import broadcast_bounded, ensure_checkpoint_dir
 
@@ -23,13 +24,21 @@ def running_sum(
     name: str,
     large: int = LARGE_GROUP_ROWS,
     block: int | None = None,
+    most: int | None = None,
 ) -> DataFrame:
     """Sum of `amount` from the start of the group to the current row.
 
+    Only exact types are summed, so that both ways below give the same.  `most` is a known bound on
+    the rows of a group; if it is small, the rows are not counted.
+
     `order` must identify a row within its group.  Ordinary groups take one window.
     Groups above `large` rows are cut into ordered blocks of about `block` rows (the
     same if not given); see `_blockwise`.  One scan of the group column decides which are which.
     """
+    if isinstance(rows.schema[amount].dataType, (DoubleType, FloatType)):
+        raise TypeError(f"{amount} is inexact: its running sum would depend on the way it is cut")
+    if most is not None and most <= large:
+        return _windowed(rows, [group], order, amount, name)
     big = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > large)
     # At most (rows / large) groups can be that big.
     found = [(r[0], r[1]) for r in big.collect()]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -27,33 +27,54 @@ def upsert(
 
 @dataclass(frozen=True)
 class Merged:
-    """What a merge did: the rows that came in, the rows they replaced, the parts rewritten for it."""
+    """What a merge did: the rows that came in, the rows they replaced, the parts written for it."""
 
     fresh: DataFrame
     replaced: DataFrame
     rewritten: list[str]
+    arriving: list[str]
 
 
 def merge_into(
-    table: PartTable, source: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None
+    table: PartTable,
+    source: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column] | None = None,
+    carry: Sequence[str] = (),
+    age: str | None = None,
+    ready: Callable[[Merged], None] | None = None,
 ) -> Merged | None:
     """Upsert into a stored table, rewriting only the parts that hold a replaced row.
 
-    The incoming rows are stored first, so everything after works from their key
-    columns on disk.  The search for replaced rows reads the key and part columns
-    of the table; parts without a match are neither read in full nor written.
-    None if there was nothing to merge.
+    The incoming rows are stored first, so everything after works from their columns on disk.  Replaced
+    rows are looked for once, between the smallest and largest incoming key, reading key, part and
+    `carry` columns; what is found is stored.  Parts without a match are neither read in full nor written.
+    With `age`, an incoming row does not replace one with a larger value in that column.  `ready` is
+    called with the merge before anything shows.  None if there was nothing to merge.
     """
-    keys = list(keys)
+    keys, spark = list(keys), table.spark
     before, live = table.read(), set(table.live_parts())
     staged = table.write(latest_per_key(source, keys, order) if order else source)
     fresh = table.stored(staged).select(before.columns)
+    hits = _hits(before, fresh, keys, [table.part, *carry, *([age] if age else [])])
+    at = f"{table.path}/merges/{staged}"
+    hits.write.parquet(at)
+    hits = spark.read.schema(hits.schema).parquet(at)
+    if age:
+        mine = fresh.select(*keys, F.col(age).alias("_age"))
+        newer = hits.join(mine, keys).where(F.col(age) > F.col("_age")).select(*keys)
+        if not newer.isEmpty():  # late rows: store what is left of the source
+            staged = table.write(fresh.join(newer, keys, "left_anti").select(before.columns))
+            fresh = table.stored(staged).select(before.columns)
+            hits = hits.join(fresh.select(*keys), keys, "left_semi")
     # Part names only, here and below: at most one per part of the table.
     arriving = _parts(fresh, table.part)
     if not arriving:
         return None
-    replaced = before.join(fresh.select(*keys), keys, "left_semi")
-    touched = (_parts(replaced, table.part) if live else set()) | (live & arriving)
+    touched = (_parts(hits, table.part) if live else set()) | (live & arriving)
+    merged = Merged(fresh, hits, sorted(touched), sorted(arriving))
+    if ready:
+        ready(merged)
     kept = before.where(F.col(table.part).isin(sorted(touched))).join(fresh.select(*keys), keys, "left_anti")
     if touched & arriving:
         # A part shows one version, so old and new rows of it go into the same one.
@@ -62,7 +83,17 @@ def merge_into(
         table.publish([staged, table.write(kept, spread=True)], drop=touched)
     else:
         table.publish([staged])
-    return Merged(fresh, replaced, sorted(touched))
+    return merged
+
+
+def _hits(before: DataFrame, fresh: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Key and named columns of the stored rows whose key comes in."""
+    first = keys[0]
+    low, high = fresh.agg(F.min(first), F.max(first)).first()
+    wanted = before.select(*dict.fromkeys([*keys, *columns]))
+    if low is not None:
+        wanted = wanted.where(F.col(first).between(low, high))
+    return wanted.join(fresh.select(*keys), keys, "left_semi")
 
 
 def _parts(rows: DataFrame, part: str) -> set[str]:

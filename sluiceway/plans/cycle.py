@@ -18,6 +18,7 @@ from sluiceway.plans.gates import GateResult, gate_mart, gate_mirror, gate_stagi
 from sluiceway.plans.store import BUCKET, Store
 from sluiceway.sources.listing import pending_files
 from sluiceway.sources.loading import LoadSummary, load_csv, load_parquet
+from sluiceway.sources.tables import PartTable
 
 LOADERS = {"parquet": load_parquet, "csv": load_csv}
 
@@ -32,36 +33,76 @@ class CycleResult:
 
 
 def stage_new_rows(store: Store) -> Merged | None:
-    """Typed rows of passed batches newer than staging, merged by key; None if there are none."""
+    """Typed rows of passed batches not staged yet, merged by key; None if there are none.
+
+    What is left to do follows from stored logs, not from load times, so a batch that passes late
+    or a second delivery of a batch is taken up, too.  A late row does not replace a newer one.  The changed keys
+    are noted before they show, for the mart.
+    """
     row = "_FILE_ROW_NUM"
-    mirror = tx.mirror_keys(store.mirror.read(), row)
-    fresh = tx.slice_newer(mirror, store.staging.read(), store.audit.passed_batches("ML"))
-    accepted = tx.accepted_rows(tx.typed_rows(fresh, row))
+    loaded = store.mirror.items().select(F.col("part").alias("batch"), "version").distinct()
+    passed = store.audit.passed_batches("ML")
+    # The batches of this run only.
+    waiting = [r[0] for r in tx.not_staged(loaded, passed, store.staged_deliveries()).collect()]
+    if not waiting:
+        return None
+    mirror = tx.mirror_keys(store.mirror.read().where(F.col("_BATCH_ID").isin(waiting)), row)
+    accepted = tx.accepted_rows(tx.typed_rows(mirror, row))
     rows = latest_per_key(accepted, ["TXN_ID"], tx.newest_first(row)).drop(row)
-    return merge_into(store.staging, rows, ["TXN_ID"])
+
+    def note(merged: Merged) -> None:
+        new = merged.fresh.select("TXN_ID", "ACCOUNT_ID", F.col("_BATCH_ID").alias("part"))
+        old = merged.replaced.select("TXN_ID", "ACCOUNT_ID", F.lit(None).cast("string").alias("part"))
+        store.note_change(new.unionByName(old))
+
+    merged = merge_into(store.staging, rows, ["TXN_ID"], carry=["ACCOUNT_ID"], age="_LOADED_AT", ready=note)
+    store.mark_staged(loaded.where(F.col("batch").isin(waiting)))
+    return merged
+
+
+def _rows_of(table: PartTable, parts: list[str] | None = None) -> int:
+    """Rows of a table, or of its fullest of the given parts, from its log."""
+    sizes = table.items().groupBy("part").agg(F.sum("rows").alias("n"))
+    if parts is None:
+        return sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return sizes.where(F.col("part").isin(parts)).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
 
 
 def rebuild_mart(store: Store) -> None:
     """Recompute every row of the mart."""
-    rows = tx.derive_mart(store.staging.read()).withColumn(BUCKET, store.bucket_of())
-    gone = list(store.mart.live_parts())
+    notes, gone = store.open_changes(), list(store.mart.live_parts())
+    rows = tx.derive_mart(store.staging.read(), most=_rows_of(store.staging)).withColumn(BUCKET, store.bucket_of())
     store.mart.replace(rows, drop=gone, spread=True)
+    store.forget_changes(notes)
 
 
-def refresh_mart(store: Store, merged: Merged) -> None:
-    """Recompute the accounts a merge touched: those of new rows and of replaced rows.
+def refresh_mart(store: Store) -> bool:
+    """Bring the mart up to staging, whatever earlier runs left undone; False if nothing was.
 
-    Only the buckets of these accounts are read from the mart and rewritten.
+    Works off the noted changes: only the buckets of their accounts are read from the mart and rewritten,
+    only the parts that received the rows are read from staging.  A run that dies before the notes are
+    dropped repeats the same refresh.
     """
+    notes = store.open_changes()
     if store.mart.is_empty():
+        if store.staging.is_empty():
+            return False
         rebuild_mart(store)
-        return
-    touched = merged.fresh.select("ACCOUNT_ID").unionByName(merged.replaced.select("ACCOUNT_ID")).distinct()
-    # Bucket numbers, at most `store.buckets` of them.
-    hit = [r[0] for r in touched.select(store.bucket_of()).distinct().collect()]
+        return True
+    if not notes:
+        return False
+    changes = store.changes(notes)
+    # Bucket numbers and batch names: one per bucket, and one per part written since the last refresh.
+    hit = [r[0] for r in changes.select(store.bucket_of()).distinct().collect()]
+    parts = [r[0] for r in changes.where("part IS NOT NULL").select("part").distinct().collect()]
+    current = store.staging.read().where(F.col("_BATCH_ID").isin(parts))
+    changed = current.join(changes.select("TXN_ID").distinct(), "TXN_ID", "left_semi")
     old = store.mart.read().where(F.col(BUCKET).isin(hit)).select(*tx.MART_COLUMNS)
-    rows = tx.refresh_affected(old, store.staging.read(), touched)
+    most = _rows_of(store.mart, hit) + sum(_rows_of(store.staging, [p]) for p in parts)
+    rows = tx.refresh_affected(old, changed, changes.select("TXN_ID", "ACCOUNT_ID"), most=most)
     store.mart.replace(rows.withColumn(BUCKET, store.bucket_of()), drop=hit, spread=True)
+    store.forget_changes(notes)
+    return True
 
 
 def log_timings(store: Store, batch_id: str, size: str = "") -> DataFrame:
@@ -97,17 +138,23 @@ def run_cycle(
     """One run over whatever has landed.  Stops at the first failed gate, after logging it."""
     began = time.time()
     files = pending_files(store.spark, landing, store.mirror, f"*.{file_format}")
-    load = LOADERS[file_format](store.spark, store.mirror, files, context, metadata, base=landing)
+    try:
+        load = LOADERS[file_format](store.spark, store.mirror, files, context, metadata, base=landing)
+    except Exception as problem:
+        failed = CycleResult("FAILED", (context or {}).get("BATCH_ID"), failed=[f"load: {type(problem).__name__}"])
+        _log_run(store, failed, time.time() - began)
+        raise
     if load.status == "EMPTY":
         return CycleResult("EMPTY", load=load)
     result = CycleResult("RUNNING", load.batch_id, load)
     try:
         result.gates.append(gate_mirror(store, load.batch_id, as_of, size))
-        merged = stage_new_rows(store)
+        stage_new_rows(store)
         result.gates.append(gate_staging(store, load.batch_id, size))
-        if merged:
-            refresh_mart(store, merged)
-        result.gates.append(gate_mart(store, load.batch_id, size))
+        # The refresh belongs to the time of the third gate.
+        refreshing = time.time()
+        refresh_mart(store)
+        result.gates.append(gate_mart(store, load.batch_id, size, refreshing))
         result.status = "SUCCESS"
     except GateFailed as stop:
         result.status, result.failed = "FAILED", stop.failed

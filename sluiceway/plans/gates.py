@@ -85,9 +85,12 @@ def gate_staging(store: Store, batch_id: str, size: str = "") -> GateResult:
     return _conclude(store, "STG", "staging", batch_id, values, suite, began, size)
 
 
-def gate_mart(store: Store, batch_id: str, size: str = "") -> GateResult:
-    """Third gate: 11 checks on one batch of the mart, 6 between mart and staging."""
-    began = time.time()
+def gate_mart(store: Store, batch_id: str, size: str = "", began: float | None = None) -> GateResult:
+    """Third gate: 11 checks on one batch of the mart, 6 between mart and staging.
+
+    `began` is when the refresh before it began, so that the phase holds both.
+    """
+    began = began or time.time()
     mart, staging = store.mart_rows(), store.staging.read()
     suite = tx.mart_suite() + tx.consistency_suite()
     batch = fused_metrics(mart.where(F.col("_BATCH_ID") == batch_id), tx.mart_suite()).first()

@@ -10,10 +10,14 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from sluiceway.operators.audit import AuditLog
 from sluiceway.plans.transactions import MART_COLUMNS, MART_SCHEMA, STAGING_SCHEMA
+from sluiceway.session import delete_path, list_names, path_exists
 from sluiceway.sources.mirror import open_mirror
 from sluiceway.sources.tables import PartTable
 
 BUCKET = "_ACCOUNT_BUCKET"
+STAGED_SCHEMA = "batch string, version string"
+CHANGE_SCHEMA = "TXN_ID string, ACCOUNT_ID string, part string"
+CHANGE_COLUMNS = ["TXN_ID", "ACCOUNT_ID", "part"]
 
 
 @dataclass(frozen=True)
@@ -48,8 +52,51 @@ class Store:
     def audit(self) -> AuditLog:
         return AuditLog(self.spark, f"{self.root}/audit")
 
+    @property
+    def bucket_count(self) -> int:
+        """The bucket number stored with the mart; `buckets` is only asked when the mart is new."""
+        names = list_names(self.spark, f"{self.root}/mart/buckets")
+        if not names:
+            path = f"{self.root}/mart/buckets/{self.buckets}"
+            self.spark.range(1).write.mode("overwrite").parquet(path)
+            return self.buckets
+        return int(names[0])
+
     def bucket_of(self, account: str = "ACCOUNT_ID") -> Column:
-        return F.pmod(F.xxhash64(account), F.lit(self.buckets)).cast("string")
+        return F.pmod(F.xxhash64(account), F.lit(self.bucket_count)).cast("string")
+
+    # ---- what was staged, and what the mart still has to take over --------
+
+    def staged_deliveries(self) -> DataFrame:
+        """(batch, version) of every delivery that went through staging."""
+        path = f"{self.root}/staged"
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], STAGED_SCHEMA)
+        return self.spark.read.schema(STAGED_SCHEMA).parquet(path)
+
+    def mark_staged(self, deliveries: DataFrame) -> None:
+        deliveries.repartition(1).write.mode("append").parquet(f"{self.root}/staged")
+
+    def note_change(self, changed: DataFrame) -> None:
+        """Keep (TXN_ID, ACCOUNT_ID, part) of a merge that is about to show in staging.
+
+        The note bears the number the merge will have in staging's log, so a merge that never came to show
+        is told from one the mart has not taken over.
+        """
+        path = f"{self.root}/changes/{self.staging.next_seq():012d}"
+        changed.select(CHANGE_COLUMNS).write.mode("overwrite").parquet(path)
+
+    def open_changes(self) -> list[str]:
+        """Notes of merges that show in staging and not yet in the mart; a few at most."""
+        shown = f"{self.staging.next_seq():012d}"
+        return [n for n in list_names(self.spark, f"{self.root}/changes") if n < shown]
+
+    def changes(self, notes: list[str]) -> DataFrame:
+        return self.spark.read.schema(CHANGE_SCHEMA).parquet(*[f"{self.root}/changes/{n}" for n in notes])
+
+    def forget_changes(self, notes: list[str]) -> None:
+        for name in notes:
+            delete_path(self.spark, f"{self.root}/changes/{name}")
 
     def mart_rows(self) -> DataFrame:
         return self.mart.read().select(*MART_COLUMNS)

@@ -122,10 +122,9 @@ def _mart_blocks(spark: SparkSession, sf: str) -> DataFrame:
 
 def _refresh(spark: SparkSession, sf: str) -> DataFrame:
     old, new = _before_and_after(spark, sf)
-    after = upsert(old, new, KEY, ORDER())
-    replaced = old.join(new.select(*KEY).distinct(), KEY, "left_semi")
-    touched = new.select("ACCOUNT_ID").unionByName(replaced.select("ACCOUNT_ID"))
-    return b.plain(tx.refresh_affected(tx.derive_mart(old), after, touched))
+    changed = latest_per_key(new, KEY, ORDER())
+    gone = old.join(new.select(*KEY).distinct(), KEY, "left_semi").select("TXN_ID", "ACCOUNT_ID")
+    return b.plain(tx.refresh_affected(tx.derive_mart(old), changed, gone))
 
 
 QUERIES = {

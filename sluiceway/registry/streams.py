@@ -33,7 +33,8 @@ def _pickup(spark: SparkSession, sf: str) -> DataFrame:
             unload_parquet(part.select(*tx.KEYS), f"{landing}/{name}")
         pick_up(spark, landing, mirror, checkpoint).awaitTermination()
     keys = tx.mirror_keys(mirror.read())
-    return keys.select(*tx.KEYS, F.substring_index("_FILENAME", "/", 1).alias("folder"), "_BATCH_ID")
+    return keys.select(*tx.KEYS, F.substring_index("_FILENAME", "/", 1).alias("folder"),
+                       F.regexp_replace("_BATCH_ID", "-[0-9a-f]{12}-", "-").alias("_BATCH_ID"))
 
 
 PICKUP_SQL = f"""WITH {b.RAW} SELECT {', '.join(tx.KEYS)},

@@ -58,6 +58,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder, sorted; none if there is no such folder.  Hidden names are left out."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not files.exists(target):
+        return []
+    names = (status.getPath().getName() for status in files.listStatus(target))
+    return sorted(n for n in names if n[0] not in "._")
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(_shared_base(spark))

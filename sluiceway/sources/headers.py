@@ -9,8 +9,6 @@ from sluiceway.functions.scalars import header_fingerprint, header_names, stray_
 from sluiceway.session import scoped_conf
 from sluiceway.sources.listing import file_path
 
-MAX_COLUMNS = 200
-
 # One file per task, never split: the task can stop after the file's first line.
 _ONE_FILE_PER_TASK = {
     "spark.sql.files.maxPartitionBytes": str(1 << 50),
@@ -42,40 +40,41 @@ def first_lines(spark: SparkSession, files: list[str]) -> list[tuple[str, str]]:
         return [(r.file, r.line) for r in lines.collect()]
 
 
-def describe_headers(lines: DataFrame, line: str = "line") -> DataFrame:
-    """Add `names`, `fingerprint` and `problem` (NULL if the header is usable)."""
+def describe_headers(lines: DataFrame, line: str = "line", max_columns: int | None = None) -> DataFrame:
+    """Add `names`, `fingerprint` and `problem` (NULL if the header is usable); no column limit unless given."""
     return (
         lines.withColumn("names", header_names(F.col(line)))
         .withColumn("fingerprint", header_fingerprint(F.col("names")))
-        .withColumn("problem", header_problem(F.col("names"), F.col(line)))
+        .withColumn("problem", header_problem(F.col("names"), F.col(line), max_columns))
     )
 
 
-def header_problem(names: Column, line: Column) -> Column:
+def header_problem(names: Column, line: Column, max_columns: int | None = None) -> Column:
     quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
     return (
         F.when(line.isNull() | (F.trim(line) == ""), "no header row")
         .when(quotes % 2 == 1, "unbalanced quote")
         .when(stray_quote(line), "stray quote")
-        .when(F.size(names) >= MAX_COLUMNS, "too many columns")
+        .when(F.size(names) >= max_columns if max_columns else F.lit(False), "too many columns")
         .when(F.exists(names, lambda n: n == ""), "empty column name")
         .when(F.size(F.array_distinct(names)) != F.size(names), "duplicate column name")
     )
 
 
-def header_groups(spark: SparkSession, files: list[str]) -> list[tuple[list[str], str, list[str]]]:
+def header_groups(spark: SparkSession, files: list[str], max_columns: int | None = None) -> list[tuple[list[str], str, list[str]]]:
     """(names, fingerprint, files) per distinct header; fails on the first bad file."""
     found = first_lines(spark, files)
     if len(found) < len(files):
         raise BadHeader(f"no header row in {len(files) - len(found)} of {len(files)} files")
-    described = describe_headers(spark.createDataFrame(found, "file string, line string"))
-    groups: dict[str, tuple[list[str], str, list[str]]] = {}
+    described = describe_headers(spark.createDataFrame(found, "file string, line string"), max_columns=max_columns)
+    # By names: different name lists can share a fingerprint.
+    groups: dict[tuple[str, ...], tuple[list[str], str, list[str]]] = {}
     bad = []
     for row in described.select("file", "names", "fingerprint", "problem").collect():
         if row.problem:
             bad.append(f"{row.file}: {row.problem}: {row.names}")
         else:
-            groups.setdefault(row.fingerprint, (row.names, row.fingerprint, []))[2].append(row.file)
+            groups.setdefault(tuple(row.names), (row.names, row.fingerprint, []))[2].append(row.file)
     if bad:
         raise BadHeader("; ".join(sorted(bad)[:3]) + (f" and {len(bad) - 3} more" if len(bad) > 3 else ""))
     return list(groups.values())

@@ -23,6 +23,11 @@ def relative_to(path: Column, base: str | None) -> Column:
     return F.when(start > 0, F.substr(path, start + len(root))).otherwise(path)
 
 
+def log_name(path: Column, base: str | None) -> Column:
+    """Name under which a file is logged: below `base`, else the whole path; local paths in one spelling."""
+    return relative_to(F.regexp_replace(path, "^file:/+", "file:///"), base)
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """Directory listing: relative path, full path, size and time.  File content is not read."""
     found = (

@@ -16,7 +16,7 @@ from sluiceway.functions.payload import object_of
 from sluiceway.functions.scalars import blank_to_null, row_hash
 from sluiceway.session import broadcast_bounded, scoped_conf
 from sluiceway.sources.headers import header_groups
-from sluiceway.sources.listing import file_path, relative_to
+from sluiceway.sources.listing import file_path, log_name
 from sluiceway.sources.mirror import Lineage, mirror_rows, technical_columns
 from sluiceway.sources.tables import PartTable
 
@@ -51,15 +51,41 @@ def _start(files: list[str] | None, context: dict | None, metadata: dict | None,
     return Lineage(batch_id, context, metadata or {}, loaded_at, user)
 
 
+class BatchInUse(Exception):
+    """A used batch id was given with files of which only some are in that batch."""
+
+
 def _finish(
-    mirror: PartTable, groups: list[DataFrame], lineage: Lineage, headers: int, began: float, verify=None
+    mirror: PartTable,
+    groups: list[DataFrame],
+    lineage: Lineage,
+    files: list[str],
+    base: str | None,
+    headers: int,
+    began: float,
+    verify=None,
 ) -> LoadSummary:
-    """Write all groups in one job, publish, and report what the log now says."""
-    version = mirror.replace(reduce(DataFrame.unionByName, groups), verify=verify)
-    # The log has one entry per file.
-    entries = mirror.log().where(F.col("version") == version)
-    files, rows = entries.agg(F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0))).first()
-    return LoadSummary(lineage.batch_id, "LOADED", headers, files, rows, time.time() - began)
+    """Write all groups in one job, publish, and report what the log now says.
+
+    A used batch id never replaces silently: other files add to the batch, the files of
+    earlier deliveries are a retry of these, and anything between is refused.
+    """
+    spark, batch = mirror.spark, lineage.batch_id
+    named = spark.createDataFrame([(f,) for f in files], "path string").select(log_name(F.col("path"), base).alias("item"))
+    given = {r.item for r in named.collect()}
+    earlier: dict[str, set[str]] = {}
+    for r in mirror.items().where(F.col("part") == batch).collect():
+        earlier.setdefault(r.version, set()).add(r.item)
+    same = [version for version, items in earlier.items() if items & given]
+    if same and set().union(*(earlier[v] for v in same)) != given:
+        raise BatchInUse(f"batch {batch} already holds some of these files, but not just these")
+    version = mirror.write(reduce(DataFrame.unionByName, groups))
+    if verify:
+        verify()
+    logged = named.distinct().select(F.lit(batch).alias("part"), F.lit(version).alias("version"), "item")
+    mirror.publish([version], hide=[(batch, v) for v in same], op="add", given=logged)
+    rows = mirror.items().where(F.col("version") == version).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    return LoadSummary(batch, "LOADED", headers, len(given), rows, time.time() - began)
 
 
 # ---- Parquet -------------------------------------------------------------
@@ -81,7 +107,7 @@ def load_parquet(
     if not files:
         return LoadSummary(lineage.batch_id, "EMPTY")
     groups = [parquet_payload(spark, g, lineage, base) for g in compatible_groups(spark, files)]
-    return _finish(mirror, groups, lineage, 0, began)
+    return _finish(mirror, groups, lineage, files, base, 0, began)
 
 
 def parquet_payload(spark: SparkSession, files: list[str], lineage: Lineage, base: str | None) -> DataFrame:
@@ -91,7 +117,7 @@ def parquet_payload(spark: SparkSession, files: list[str], lineage: Lineage, bas
     key = lineage.business_key
     technical = technical_columns(
         lineage,
-        relative_to(file_path(), base),
+        log_name(file_path(), base),
         F.col("_metadata.row_index") + 1,
         F.lit(None),
         named.get(key) if key else None,
@@ -148,7 +174,7 @@ def load_csv(
             else:
                 rows = rows.withColumn("row_number", F.lit(None).cast("bigint"))
             parts.append(csv_payload(rows, names, fingerprint, lineage, base))
-        return _finish(mirror, parts, lineage, len(groups), began, lambda: _verify(checks))
+        return _finish(mirror, parts, lineage, files, base, len(groups), began, lambda: _verify(checks))
 
 
 def _verify(checks: list[tuple[Observation, int]]) -> None:
@@ -208,7 +234,7 @@ def csv_payload(rows: DataFrame, names: list[str], fingerprint: str, lineage: Li
     key = lineage.business_key
     technical = technical_columns(
         lineage,
-        relative_to(F.col("file"), base),
+        log_name(F.col("file"), base),
         F.col("row_number"),
         F.lit(fingerprint),
         named.get(key) if key else None,

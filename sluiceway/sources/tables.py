@@ -3,7 +3,10 @@
 Rows are written under a fresh version folder by one job; a second, one-file
 append to the log then makes them visible.  A job that dies in between leaves
 files nobody reads, so a batch is seen entirely or not at all and can be retried.
-Earlier versions stay on disk, which keeps running readers valid.
+Earlier versions stay on disk until `vacuum`, which keeps running readers valid.
+
+Every few publishes a snapshot of what is shown replaces the log before it, so reading the log
+costs what is live now, not what ever happened.
 """
 
 from __future__ import annotations
@@ -15,12 +18,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from sluiceway.session import path_exists, scoped_conf
+from sluiceway.session import delete_path, list_names, scoped_conf
 
 VERSION = "_VERSION"
 # Timestamps as plain integers: smaller, and with the statistics that let a scan skip row groups.
 WRITE_SETTINGS = {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}
-LOG_SCHEMA = "seq bigint, part string, version string, item string, rows bigint"
+# What a log entry does to a part: `show` makes the version its only one, `add` one more, `drop` hides
+# the version, or all if none is named.  `stale` keeps note of a part that a still-used version also wrote.
+LOG_SCHEMA = "seq bigint, op string, part string, version string, item string, rows bigint"
+SNAPSHOT_EVERY = 20
 
 
 class SchemaChanged(Exception):
@@ -48,46 +54,69 @@ class PartTable:
     # ---- reading ---------------------------------------------------------
 
     def log(self) -> DataFrame:
-        if not path_exists(self.spark, self._log):
+        """Entries since the latest snapshot, and the snapshot itself."""
+        snapshots, entries = list_names(self.spark, f"{self.path}/snapshot"), list_names(self.spark, self._log)
+        last = max(snapshots, default="")
+        folders = [f"{self.path}/snapshot/{last}"] if last else []
+        folders += [f"{self._log}/{e}" for e in entries if e > last]
+        if not folders:
             return self.spark.createDataFrame([], LOG_SCHEMA)
-        return self.spark.read.schema(LOG_SCHEMA).parquet(self._log)
+        return self.spark.read.schema(LOG_SCHEMA).parquet(*folders)
 
-    def _versions(self) -> dict[str, dict[str | None, int]]:
-        """Per part, the versions that were ever shown and when; a few entries per part."""
-        seen = self.log().groupBy("part", "version").agg(F.max("seq").alias("seq")).collect()
-        versions: dict[str, dict[str | None, int]] = {}
-        for row in seen:
-            versions.setdefault(row.part, {})[row.version] = row.seq
-        return versions
+    def next_seq(self) -> int:
+        """The number the next publish will have."""
+        names = list_names(self.spark, f"{self.path}/snapshot") + list_names(self.spark, self._log)
+        return max((int(n) for n in names), default=0) + 1
 
-    def live_parts(self) -> dict[str, str]:
-        """Part -> version it currently shows."""
-        newest = {part: max(seen, key=seen.get) for part, seen in self._versions().items()}
-        return {part: version for part, version in newest.items() if version is not None}
+    def _state(self) -> tuple[dict[str, list[str]], dict[str, set[str]]]:
+        """Versions each part shows, and the parts each version wrote.
+
+        One entry per live part and per part a live version wrote, however long the table has existed.
+        """
+        seen = self.log().select("seq", "op", "part", "version").distinct()
+        live: dict[str, list[str]] = {}
+        written: dict[str, set[str]] = {}
+        # Of one publish, parts are emptied before versions are shown.
+        for r in sorted(seen.collect(), key=lambda r: (r.seq, r.op != "drop", r.version or "")):
+            if r.op == "drop":
+                live[r.part] = [v for v in live.get(r.part, []) if r.version is not None and v != r.version]
+                continue
+            written.setdefault(r.version, set()).add(r.part)
+            if r.op == "show":
+                live[r.part] = [r.version]
+            elif r.op == "add":
+                live.setdefault(r.part, []).append(r.version)
+        return {part: versions for part, versions in live.items() if versions}, written
+
+    def live_parts(self) -> dict[str, list[str]]:
+        """Part -> versions it currently shows."""
+        return self._state()[0]
+
+    def _live_entries(self) -> DataFrame:
+        """Log entries of what is shown."""
+        pairs = [(part, v) for part, versions in self.live_parts().items() for v in versions]
+        shown = self.spark.createDataFrame(pairs, "part string, version string")
+        entries = self.log().where("op IN ('show', 'add')")
+        return entries.join(shown, ["part", "version"], "left_semi")
 
     def items(self) -> DataFrame:
-        """What has been loaded: item, part and row count."""
-        live = self.live_parts()
-        shown = self.spark.createDataFrame(list(live.items()), "part string, version string")
-        return self.log().join(shown, ["part", "version"], "left_semi").select("item", "part", "rows")
+        """What has been loaded: item, part, version and row count."""
+        return self._live_entries().select("item", "part", "rows", "version")
 
     def is_empty(self) -> bool:
         return not self.live_parts()
 
     def read(self) -> DataFrame:
         """Current rows.  Columns added to the schema later are NULL in older files."""
-        versions = self._versions()
-        live: dict[str, set[str]] = {}
-        written: dict[str, set[str]] = {}
-        for part, seen in versions.items():
-            live.setdefault(max(seen, key=seen.get), set()).add(part)
-            for version in seen:
-                written.setdefault(version, set()).add(part)
-        live.pop(None, None)
-        if not live:
+        live, written = self._state()
+        shown: dict[str, set[str]] = {}
+        for part, versions in live.items():
+            for version in versions:
+                shown.setdefault(version, set()).add(part)
+        if not shown:
             return self.spark.createDataFrame([], self.schema)
-        rows = self.stored(*live)
-        for version, parts in live.items():
+        rows = self.stored(*shown)
+        for version, parts in shown.items():
             # Parts of a still-used folder that a later version replaced.
             stale = sorted(written[version] - parts)
             if stale:
@@ -116,23 +145,64 @@ class PartTable:
         source = self.spark.read.schema(self._stored).option("basePath", self._data)
         return source.parquet(*[self._folder(v) for v in versions])
 
-    def publish(self, versions: Iterable[str], drop: Iterable[str] = ()) -> None:
-        """Show the versions' parts and empty the dropped ones, by appending one log file.
-
-        A part that is dropped and written at once ends up written.
+    def publish(
+        self,
+        versions: Iterable[str],
+        drop: Iterable[str] = (),
+        hide: Iterable[tuple[str, str]] = (),
+        op: str = "show",
+        given: DataFrame | None = None,
+    ) -> None:
+        """Show the versions' parts, by appending one log entry; empty `drop` parts, hide `hide` (part, version) pairs.
+
+        A part that is dropped and written at once ends up written.  `given` (part, version, item) names
+        items to be logged even if they hold no row.
         """
-        seq = (self.log().agg(F.max("seq")).first()[0] or 0) + 1
+        seq = self.next_seq()
         item = F.col(self.item) if self.item else F.lit(None).cast("string")
-        entries = (
-            self.stored(*versions)
-            .groupBy(F.col(self.part).alias("part"), F.col(VERSION).alias("version"), item.alias("item"))
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .select(F.lit(seq + 1).cast("bigint").alias("seq"), "part", "version", "item", "rows")
-        )
-        emptied = [(seq, part, None, None, 0) for part in drop]
+        keys = [F.col(self.part).alias("part"), F.col(VERSION).alias("version"), item.alias("item")]
+        entries = self.stored(*versions).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+        if given is not None:
+            zero = given.select("part", "version", "item", F.lit(0).cast("bigint").alias("rows"))
+            entries = entries.unionByName(zero).groupBy("part", "version", "item").agg(F.sum("rows").alias("rows"))
+        stamp = F.lit(seq).cast("bigint").alias("seq")
+        entries = entries.select(stamp, F.lit(op).alias("op"), "part", "version", "item", "rows")
+        emptied = [(seq, "drop", part, None, None, 0) for part in drop]
+        emptied += [(seq, "drop", part, version, None, 0) for part, version in hide]
         if emptied:
             entries = entries.unionByName(self.spark.createDataFrame(emptied, LOG_SCHEMA))
-        entries.coalesce(1).write.mode("append").parquet(self._log)
+        # One file, gathered after the counting.
+        entries.repartition(1).write.parquet(f"{self._log}/{seq:012d}")
+        if seq % SNAPSHOT_EVERY == 0:
+            self.snapshot(seq)
+
+    def snapshot(self, seq: int | None = None) -> None:
+        """Write what is shown as one log entry and forget the entries before the previous snapshot."""
+        seq = seq if seq is not None else self.next_seq()
+        live, written = self._state()
+        shown = {(part, v) for part, versions in live.items() for v in versions}
+        used = {v for _, v in shown}
+        stale = [(seq, "stale", part, v, None, 0) for v in used for part in written[v] if (part, v) not in shown]
+        entries = self._live_entries().select(
+            F.lit(seq).cast("bigint").alias("seq"), F.lit("add").alias("op"), "part", "version", "item", "rows"
+        )
+        if stale:
+            entries = entries.unionByName(self.spark.createDataFrame(stale, LOG_SCHEMA))
+        before = max(list_names(self.spark, f"{self.path}/snapshot"), default="")
+        entries.repartition(1).write.parquet(f"{self.path}/snapshot/{seq:012d}")
+        # Readers may still hold the previous snapshot and what follows it.
+        for kind in ("snapshot", "log"):
+            for name in list_names(self.spark, f"{self.path}/{kind}"):
+                if name < before:
+                    delete_path(self.spark, f"{self.path}/{kind}/{name}")
+
+    def vacuum(self, keep: Iterable[str] = ()) -> list[str]:
+        """Delete version folders that nothing shows, but for `keep`; only while no reader or writer is at work."""
+        used = {v for versions in self.live_parts().values() for v in versions} | set(keep)
+        gone = [n for n in list_names(self.spark, self._data) if n.split("=")[-1] not in used]
+        for name in gone:
+            delete_path(self.spark, f"{self._data}/{name}")
+        return gone
 
     def replace(
         self,

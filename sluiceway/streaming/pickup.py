@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sluiceway.sources.listing import log_name, not_loaded
 from sluiceway.sources.loading import load_csv, load_parquet
 from sluiceway.sources.tables import PartTable
 
@@ -25,9 +27,9 @@ def pick_up(
 ) -> StreamingQuery:
     """Load everything that has landed and stop; the checkpoint remembers what was seen.
 
-    The stream carries file names only.  Each micro-batch becomes one mirror batch
-    named after its epoch, so an epoch that is repeated after a failure replaces
-    itself instead of loading twice.
+    The stream carries file names only.  Each micro-batch becomes one mirror batch named after
+    the stream's own id and its epoch, so streams and checkpoints do not share names.  Files the
+    mirror's log already knows, as after a failure between loading and checkpointing, are not loaded again.
     """
     names = (
         spark.readStream.format("binaryFile")
@@ -40,9 +42,13 @@ def pick_up(
     )
 
     def load(arrived: DataFrame, epoch: int) -> None:
-        files = sorted(r.path for r in arrived.collect())
-        run = {**(context or {}), "BATCH_ID": f"{prefix}-{epoch}"}
-        LOADERS[file_format](arrived.sparkSession, mirror, files, run, metadata, base=landing)
+        session = arrived.sparkSession
+        known = mirror.items().select(F.col("item").alias("file"))
+        fresh = not_loaded(arrived.withColumn("file", log_name(F.col("path"), landing)), known)
+        files = sorted(r.path for r in fresh.select("path").collect())  # at most files_per_batch
+        stream = (session.sparkContext.getLocalProperty("sql.streaming.queryId") or "").replace("-", "")[:12]
+        run = {**(context or {}), "BATCH_ID": f"{prefix}-{stream}-{epoch}"}
+        LOADERS[file_format](session, mirror, files, run, metadata, base=landing)
 
     return (
         names.writeStream.foreachBatch(load)

@@ -41,7 +41,7 @@ HEADERS = [
     ('a"b"c,D', None, "stray quote"),
     ("", None, "no header row"),
     (",".join(f"c{i}" for i in range(199)), [f"c{i}" for i in range(199)], None),
-    (",".join(f"c{i}" for i in range(200)), [f"c{i}" for i in range(200)], "too many columns"),
+    (",".join(f"c{i}" for i in range(200)), [f"c{i}" for i in range(200)], None),
 ]
 
 
