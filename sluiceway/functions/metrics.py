@@ -23,7 +23,6 @@ class Check:
 
     name: str
     category: str
-    about: str
     metric: Column | None = None
     low: float | None = 0
     high: float | None = 0

@@ -21,6 +21,11 @@ def blank_to_null(text: Column, tokens: list[str] = NULL_TOKENS) -> Column:
     return F.when(~trimmed.isin(tokens), trimmed)
 
 
+def token_to_null(text: Column, tokens: list[str] = NULL_TOKENS) -> Column:
+    """Turn a no-value token into NULL and leave other text, blanks included, as it is."""
+    return F.when(~text.isin(tokens), text)
+
+
 def safe_decimal(text: Column, precision: int = 18, scale: int = 4) -> Column:
     """Decimal or NULL; rounds half up at the last digit, NULL on overflow."""
     return text.try_cast(DecimalType(precision, scale))

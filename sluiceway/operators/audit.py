@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.session import path_exists
+from sluiceway.session import path_exists, swap_folder
 
 # The audit tables and their columns.
 AUDIT_SCHEMAS = {
@@ -57,6 +58,19 @@ class AuditLog:
         full = empty.unionByName(typed, allowMissingColumns=True)
         full.coalesce(1).write.mode("append").parquet(f"{self.path}/{name}")
 
+    def delete_where(self, name: str, condition: Column) -> None:
+        """Remove matching rows; the rest is written to a new folder first, and takes the old one's place.
+
+        This also gathers the many small files that single rows leave.
+        """
+        kept = self.table(name).where(~F.coalesce(condition, F.lit(False)))
+        fresh, path = f"{self.path}/{name}.new-{uuid.uuid4().hex}", f"{self.path}/{name}"
+        kept.repartition(1).write.parquet(fresh)
+        swap_folder(self.spark, fresh, path)
+
+    def compact(self, name: str) -> None:
+        self.delete_where(name, F.lit(False))
+
     def add(self, name: str, **values) -> None:
         """Add one row; the key and the time stamp are filled in."""
         key = AUDIT_SCHEMAS[name].split(" ", 1)[0]
@@ -131,12 +145,13 @@ def alert_message(results: DataFrame, as_of: Column, minutes: int = 10) -> DataF
         F.lit(" | Time: "), F.date_format("RUN_AT", "yyyy-MM-dd HH:mm:ss"),
         F.lit(" | Batch: "), "BATCH_ID",
     )
-    return recent.orderBy(F.desc("RUN_AT"), F.desc("BATCH_ID")).limit(1).select(text.alias("message"))
+    return recent.orderBy(F.desc("RUN_AT"), F.desc("BATCH_ID"), F.desc("LAYER")).limit(1).select(text.alias("message"))
 
 
 def runs_by_note(runs: DataFrame, pattern: str, limit: int = 20) -> DataFrame:
-    """Latest runs whose note matches."""
-    return runs.where(F.col("NOTES").like(pattern)).orderBy(F.desc("RUN_AT")).limit(limit)
+    """Latest runs whose note matches; runs of one moment in order of their other columns."""
+    ties = [F.desc(c) for c in sorted(runs.columns) if c != "RUN_AT"]
+    return runs.where(F.col("NOTES").like(pattern)).orderBy(F.desc("RUN_AT"), *ties).limit(limit)
 
 
 def performance_by_note(benchmarks: DataFrame) -> DataFrame:

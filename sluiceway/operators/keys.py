@@ -26,9 +26,9 @@ class KeyBounds:
     def metrics(key: str) -> list[Check]:
         """Aggregates to put into the fused pass; they are not judged."""
         return [
-            Check("KEY_LONGEST", "", "", F.coalesce(F.max(F.octet_length(key)), F.lit(0))),
-            Check("KEY_LOW", "", "", F.min(key)),
-            Check("KEY_HIGH", "", "", F.max(key)),
+            Check("KEY_LONGEST", "", F.coalesce(F.max(F.octet_length(key)), F.lit(0))),
+            Check("KEY_LOW", "", F.min(key)),
+            Check("KEY_HIGH", "", F.max(key)),
         ]
 
     @staticmethod

@@ -43,9 +43,12 @@ def attach(metrics: DataFrame, more: DataFrame, by: Sequence[str] = ()) -> DataF
     return metrics.join(more, list(by), "left")
 
 
-def batch_profile(rows: DataFrame, batch: str, key: str, loaded_at: str) -> DataFrame:
-    """Per batch: rows, distinct keys, first and last load time."""
-    return (
+def batch_profile(rows: DataFrame, batch: str, key: str, loaded_at: str, others: Sequence[str] = ()) -> DataFrame:
+    """Per batch: rows, distinct keys, first and last load time, distinct values of other columns.
+
+    Every distinct count is reduced inside the tasks in a pass of its own.
+    """
+    profile = (
         rows.groupBy(batch, key)
         .agg(F.count(F.lit(1)).alias("_n"), F.min(loaded_at).alias("_lo"), F.max(loaded_at).alias("_hi"))
         .groupBy(batch)
@@ -56,6 +59,10 @@ def batch_profile(rows: DataFrame, batch: str, key: str, loaded_at: str) -> Data
             F.max("_hi").alias("latest_load"),
         )
     )
+    for column in others:
+        members = rows.select(batch, column).distinct().groupBy(batch).agg(F.count(column).alias(f"distinct_{column}"))
+        profile = profile.join(members, batch, "left")
+    return profile
 
 
 def distinct_count(rows: DataFrame, column: str, name: str) -> DataFrame:

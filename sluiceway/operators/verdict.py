@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.functions.metrics import Check
 
-RULE_SCHEMA = "metric string, category string, about string, source string, low double, high double"
+RULE_SCHEMA = "metric string, category string, source string, low double, high double"
 
 
 class GateFailed(Exception):
@@ -30,12 +30,26 @@ class EmptyBatch(GateFailed):
 def rules(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
     """The bounds as a relation; its size is the length of the suite."""
     rows = [
-        (c.name, c.category, c.about, c.detail, *(None if b is None else float(b) for b in (c.low, c.high)))
+        (c.name, c.category, c.detail, *(None if b is None else float(b) for b in (c.low, c.high)))
         for c in checks
     ]
     return spark.createDataFrame(rows, RULE_SCHEMA)
 
 
+def judge(values: dict, checks: Sequence[Check]) -> list[Row]:
+    """The same verdicts for one row of metrics that is already here; starts no job."""
+    judged = []
+    for c in checks:
+        value = None if values.get(c.name) is None else float(values[c.name])
+        low, high = (None if b is None else float(b) for b in (c.low, c.high))
+        passed = value is not None and (low is None or value >= low) and (high is None or value <= high)
+        detail = f"{'value' if passed else 'FAILED: value'}={'unknown' if value is None else value}"
+        judged.append(
+            Row(source=c.detail, category=c.category, metric=c.name, value=value, low=low, high=high, passed=passed, detail=detail)
+        )
+    return judged
+
+
 def verdicts(metrics: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -> DataFrame:
     """Unpivot the metrics and judge each; an unknown value does not pass."""
     names = [c.name for c in checks if c.name in metrics.columns]

@@ -15,7 +15,7 @@ from sluiceway.operators.keys import KeyBounds, key_metrics, keys_without_origin
 from sluiceway.operators.modeltests import missing_columns
 from sluiceway.operators.profile import attach, duplicate_metric, fused_metrics
 from sluiceway.operators.reconcile import consistency, table_totals
-from sluiceway.operators.verdict import EmptyBatch, GateFailed, verdicts
+from sluiceway.operators.verdict import EmptyBatch, GateFailed, judge
 from sluiceway.plans import transactions as tx
 from sluiceway.plans.store import Store
 
@@ -117,11 +117,7 @@ def _conclude(
     log_speed: bool = False,
 ) -> GateResult:
     """Judge the values, write the audit row whatever the outcome, then stop on failure."""
-    one = store.spark.createDataFrame(
-        [tuple(None if values[c.name] is None else float(values[c.name]) for c in suite)],
-        ", ".join(f"`{c.name}` double" for c in suite),
-    )
-    checks = verdicts(one, suite).collect()
+    checks = judge(values, suite)
     rows, seconds = int(values["TOTAL_ROWS"]), time.time() - began
     result = GateResult(
         layer, table, batch_id, all(r.passed for r in checks), rows, int(values.get("TABLE_ROWS", rows)), checks,

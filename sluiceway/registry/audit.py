@@ -60,7 +60,7 @@ def _alert(spark: SparkSession, sf: str) -> DataFrame:
 ALERT_SQL = f"""WITH {b.AUDIT} SELECT 'Layer: ' || LAYER || ' | Table: ' || TABLE_NAME || ' | Failed: ' || FAILED_COUNT ||
   '/' || TOTAL_CHECKS || ' | Time: ' || strftime(RUN_AT, '%Y-%m-%d %H:%M:%S') || ' | Batch: ' || BATCH_ID AS message
   FROM audit WHERE NOT PASSED AND RUN_AT >= TIMESTAMP '{b.EVENTS_AS_OF}' - INTERVAL 2880 MINUTE
-  ORDER BY RUN_AT DESC, BATCH_ID DESC LIMIT 1"""
+  ORDER BY RUN_AT DESC, BATCH_ID DESC, LAYER DESC LIMIT 1"""
 
 
 def _performance(spark: SparkSession, sf: str) -> DataFrame:
@@ -72,7 +72,7 @@ def _performance(spark: SparkSession, sf: str) -> DataFrame:
 def _recent_runs(spark: SparkSession, sf: str) -> DataFrame:
     """The latest runs with a matching note; a top-k report."""
     runs = b.audit_rows(spark, sf).where("ROW_COUNT is not null")
-    return b.plain(a.runs_by_note(runs, "%v2 error%").select("BATCH_ID", "LAYER", "RUN_AT", "NOTES"))
+    return b.plain(a.runs_by_note(runs.select("BATCH_ID", "LAYER", "RUN_AT", "NOTES"), "%v2 error%"))
 
 
 def _stored_results(spark: SparkSession, sf: str) -> DataFrame:
@@ -109,7 +109,7 @@ QUERIES = {
     "recent_runs": Query(
         _recent_runs,
         f"""WITH {b.AUDIT} SELECT BATCH_ID, LAYER, strftime(RUN_AT, '%Y-%m-%d %H:%M:%S') AS RUN_AT, NOTES FROM audit
-        WHERE NOTES LIKE '%v2 error%' ORDER BY audit.RUN_AT DESC LIMIT 20""",
+        WHERE NOTES LIKE '%v2 error%' ORDER BY audit.RUN_AT DESC, BATCH_ID DESC, LAYER DESC, NOTES DESC LIMIT 20""",
     ),
     "audit_append": Query(
         _stored_results,

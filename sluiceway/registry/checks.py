@@ -208,7 +208,7 @@ def _model_tests_sql() -> str:
 
 
 def _batch_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return b.plain(batch_profile(b.txn_multi(spark, sf), "_BATCH_ID", "TXN_ID", "_LOADED_AT"))
+    return b.plain(batch_profile(b.txn_raw(spark, sf), "_BATCH_ID", "TXN_ID", "_LOADED_AT", ["ACCOUNT_ID"]))
 
 
 QUERIES = {
@@ -242,8 +242,9 @@ QUERIES = {
     "model_tests": Query(_model_tests, _model_tests_sql()),
     "batch_profile": Query(
         _batch_profile,
-        f"""WITH {b.MULTI} SELECT _BATCH_ID, count(*) AS total_rows, count(DISTINCT TXN_ID) AS distinct_keys,
+        f"""WITH {b.RAW} SELECT _BATCH_ID, count(*) AS total_rows, count(DISTINCT TXN_ID) AS distinct_keys,
+        count(DISTINCT ACCOUNT_ID) AS "distinct_ACCOUNT_ID",
         strftime(min(_LOADED_AT), '%Y-%m-%d %H:%M:%S') AS earliest_load,
-        strftime(max(_LOADED_AT), '%Y-%m-%d %H:%M:%S') AS latest_load FROM txn_multi GROUP BY _BATCH_ID""",
+        strftime(max(_LOADED_AT), '%Y-%m-%d %H:%M:%S') AS latest_load FROM txn_raw GROUP BY _BATCH_ID""",
     ),
 }

@@ -20,20 +20,20 @@ KINDS = ["signup", "purchase", "view", "click"]
 def event_suite() -> list[Check]:
     value, props = F.col("value"), F.col("props")
     return [
-        Check("NULL_USER", "completeness", "user present", m.null_count(F.col("user_id"))),
-        Check("BAD_KIND", "domain", "known event type", m.not_in(F.col("event_type"), KINDS)),
-        Check("BAD_RANGE_VALUE", "range", "value in range", m.out_of_range(value, 0, 500)),
-        Check("BAD_FMT_PROPS", "column_type", "props look like an object",
+        Check("NULL_USER", "completeness", m.null_count(F.col("user_id"))),
+        Check("BAD_KIND", "domain", m.not_in(F.col("event_type"), KINDS)),
+        Check("BAD_RANGE_VALUE", "range", m.out_of_range(value, 0, 500)),
+        Check("BAD_FMT_PROPS", "column_type",
               m.bad_format(props, props.like("{%}"))),
-        Check("BAD_CAST_PROPS", "column_type", "props parse", m.bad_cast(props, F.try_parse_json(props))),
-        Check("TOTAL_ROWS", "volume", "rows present", m.row_count(), 1, None),
+        Check("BAD_CAST_PROPS", "column_type", m.bad_cast(props, F.try_parse_json(props))),
+        Check("TOTAL_ROWS", "volume", m.row_count(), 1, None),
     ]
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
     rows = b.table(spark, sf, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     metrics = fused_metrics(rows, event_suite(), ["day"])
-    suite = [*event_suite(), Check("DUP_EVENT", "uniqueness", "event once")]
+    suite = [*event_suite(), Check("DUP_EVENT", "uniqueness")]
     metrics = attach(metrics, duplicate_metric(rows, "event_id", "DUP_EVENT", ["day"]), ["day"])
     return verdicts(metrics, suite, ["day"]).select("day", "metric", "value", "passed")
 
@@ -53,10 +53,10 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     """Whole texts: stated length against counted length, languages, repeated texts."""
     rows = b.table(spark, sf, "documents")
     checks = [
-        Check("NULL_TEXT", "completeness", "text present", m.null_count(F.col("text"))),
-        Check("BAD_DERIVED_N_CHARS", "derived_column", "n_chars is the length", m.bad_derived(F.col("n_chars"), F.length("text"))),
-        Check("BAD_LANG", "domain", "known language", m.not_in(F.col("lang"), ["en", "de"])),
-        Check("TOTAL_ROWS", "volume", "rows present", m.row_count(), 1, None),
+        Check("NULL_TEXT", "completeness", m.null_count(F.col("text"))),
+        Check("BAD_DERIVED_N_CHARS", "derived_column", m.bad_derived(F.col("n_chars"), F.length("text"))),
+        Check("BAD_LANG", "domain", m.not_in(F.col("lang"), ["en", "de"])),
+        Check("TOTAL_ROWS", "volume", m.row_count(), 1, None),
     ]
     metrics = fused_metrics(rows, checks, ["source"])
     hashed = rows.select("source", F.md5("text").alias("digest"))
@@ -66,9 +66,9 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
 def _conversations(spark: SparkSession, sf: str) -> DataFrame:
     rows = b.table(spark, sf, "conversations")
     checks = [
-        Check("MISSING_ANY", "schema", "all parts present", m.missing_any([F.col(c) for c in ["conv_id", "turn", "role", "text"]])),
-        Check("EMPTY_TEXT", "completeness", "text not blank", F.count_if(F.trim("text") == "")),
-        Check("TOTAL_ROWS", "volume", "rows present", m.row_count(), 1, None),
+        Check("MISSING_ANY", "schema", m.missing_any([F.col(c) for c in ["conv_id", "turn", "role", "text"]])),
+        Check("EMPTY_TEXT", "completeness", F.count_if(F.trim("text") == "")),
+        Check("TOTAL_ROWS", "volume", m.row_count(), 1, None),
     ]
     return fused_metrics(rows, checks, ["role"])
 

@@ -272,11 +272,12 @@ def _load_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _inferred(spark: SparkSession, sf: str) -> DataFrame:
+    """All columns of the orders, every fifth price a token for no value."""
     path = scratch_dir(spark, "inferred")
-    unload_csv(b.table(spark, sf, "orders").drop("o_orderdate"), path)
-    found = read_csv_inferred(spark, _files_below(spark, path, "csv"))
-    # Small keys are inferred as int, large ones as bigint.
-    return found.withColumns({c: F.col(c).cast("bigint") for c in ["o_orderkey", "o_custkey"]})
+    token = F.element_at(F.array(*[F.lit(x) for x in fn.NULL_TOKENS]), (F.col("o_orderkey") % 5 + 1).cast("int"))
+    price = F.when(F.col("o_orderkey") % 7 == 0, token).otherwise(F.col("o_totalprice").cast("string"))
+    unload_csv(b.table(spark, sf, "orders").withColumn("o_totalprice", price), path)
+    return b.plain(read_csv_inferred(spark, _files_below(spark, path, "csv")))
 
 
 # ---- stored tables ---------------------------------------------------------
@@ -385,7 +386,9 @@ QUERIES = {
         count(*) AS rows FROM orders GROUP BY ALL""",
     ),
     "csv_inferred": Query(
-        _inferred, "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders"
+        _inferred,
+        """SELECT * REPLACE (CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS o_totalprice,
+        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate) FROM orders""",
     ),
     "delete_by_predicate": Query(
         _deleted,

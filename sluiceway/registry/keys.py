@@ -19,7 +19,7 @@ def _cross_batch(spark: SparkSession, sf: str) -> DataFrame:
 def _newest_against_history(spark: SparkSession, sf: str) -> DataFrame:
     """The newest batch against all earlier ones, with the size bound measured first."""
     rows = b.txn_multi(spark, sf)
-    bounds = fused_metrics(rows, [*k.KeyBounds.metrics("TXN_ID"), Check("n", "", "", row_count())], ["_BATCH_ID"])
+    bounds = fused_metrics(rows, [*k.KeyBounds.metrics("TXN_ID"), Check("n", "", row_count())], ["_BATCH_ID"])
     newest = bounds.orderBy(F.desc("_BATCH_ID")).limit(1).first()
     current = rows.where(F.col("_BATCH_ID") == newest["_BATCH_ID"])
     history = rows.where(F.col("_BATCH_ID") != newest["_BATCH_ID"])

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from sluiceway.functions.payload import object_of
-from sluiceway.functions.scalars import blank_to_null, row_hash
+from sluiceway.functions.scalars import ISO_DATE, row_hash, token_to_null
 from sluiceway.session import broadcast_bounded, scoped_conf
 from sluiceway.sources.headers import header_groups
 from sluiceway.sources.listing import file_path, log_name
@@ -188,7 +188,7 @@ def read_csv_fields(spark: SparkSession, files: list[str], width: int, multi_lin
     schema = StructType([StructField(f"f{i}", StringType()) for i in range(width)])
     rows = spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=str(multi_line).lower()).csv(files)
     return rows.select(
-        *[blank_to_null(F.col(n)).alias(n) for n in schema.names],
+        *[token_to_null(F.col(n)).alias(n) for n in schema.names],
         file_path().alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("id"),
@@ -243,6 +243,38 @@ def csv_payload(rows: DataFrame, names: list[str], fingerprint: str, lineage: Li
     return mirror_rows(rows, object_of(named), technical)
 
 
+# From the narrowest on: the form a text must have, and the type it then gets.
+_FORMS = [
+    (r"^[+-]?[0-9]{1,18}\z", "bigint"),
+    (r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z", "double"),
+    (ISO_DATE, "date"),
+    (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?\z", "timestamp_ntz"),
+    (r"^(?i)(true|false)\z", "boolean"),
+]
+
+
+def infer_types(texts: DataFrame) -> dict[str, str]:
+    """For each text column the narrowest type that all its values convert to; one pass over all rows."""
+    counts = []
+    for i, name in enumerate(texts.columns):
+        value = F.col(f"`{name}`")
+        counts.append(F.count(value).alias(f"n{i}"))
+        for j, (form, kind) in enumerate(_FORMS):
+            counts.append(F.count_if(value.rlike(form) & value.try_cast(kind).isNotNull()).alias(f"n{i}_{j}"))
+    row = texts.agg(*counts).first()
+    found = {}
+    for i, name in enumerate(texts.columns):
+        fits = [kind for j, (_, kind) in enumerate(_FORMS) if row[f"n{i}"] and row[f"n{i}_{j}"] == row[f"n{i}"]]
+        found[name] = fits[0] if fits else "string"
+    return found
+
+
 def read_csv_inferred(spark: SparkSession, files: list[str]) -> DataFrame:
-    """Ad-hoc reading: names from the header, types from a sample of the values."""
-    return spark.read.options(**CSV_OPTIONS, inferSchema="true", nullValue="NULL").csv(files)
+    """Ad-hoc reading: names from each file's header, types from all values; every no-value token is NULL."""
+    groups = []
+    for names, _, members in header_groups(spark, files):
+        fields = read_csv_fields(spark, members, len(names))
+        groups.append(fields.select(*[F.col(f"f{i}").alias(n) for i, n in enumerate(names)]))
+    texts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), groups)
+    kinds = infer_types(texts)
+    return texts.select(*[F.col(f"`{n}`").try_cast(kind).alias(n) for n, kind in kinds.items()])

@@ -149,7 +149,7 @@ def test_references(spark):
 
 def test_bounds_and_unknown_values(spark):
     metrics = spark.createDataFrame([(5, 0, None)], "a int, b int, c int")
-    checks = [Check("a", "", "", None, 1, None), Check("b", "", "", None, None, -1), Check("c", "", "", None, None, 3)]
+    checks = [Check("a", "", None, 1, None), Check("b", "", None, None, -1), Check("c", "", None, None, 3)]
     assert {r.metric: r.passed for r in verdicts(metrics, checks).collect()} == {"a": True, "b": False, "c": False}
 
 
