@@ -11,7 +11,8 @@ from sluiceway.registry.base import Query
 from sluiceway.session import scratch_dir
 from sluiceway.sources.mirror import open_mirror
 from sluiceway.sources.unload import unload_parquet
-from sluiceway.streaming.gates import profile_stream, repeats_in_stream, unique_within
+from sluiceway.operators.audit import AuditLog
+from sluiceway.streaming.gates import gate_stream, profile_stream, repeats_in_stream, unique_within
 from sluiceway.streaming.pickup import pick_up
 
 
@@ -64,15 +65,33 @@ def _stream_unique(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stream_repeats(spark: SparkSession, sf: str) -> DataFrame:
-    """Arrivals whose key an earlier table already holds."""
+    """Rows whose key came before: in a known table, an earlier micro-batch or the same one."""
     rows = b.txn_multi(spark, sf).select("TXN_ID", "_BATCH_ID")
-    known = rows.where("_BATCH_ID < 'B1999'")
+    known = rows.where("_BATCH_ID < 'B1996'")
     path = scratch_dir(spark, "repeats")
-    arriving = _as_stream(spark, rows.where("_BATCH_ID >= 'B1999'"), "arrivals")
-    repeats_in_stream(arriving, known, "TXN_ID", path, scratch_dir(spark, "progress")).awaitTermination()
+    arriving = _as_stream(spark, rows.where("_BATCH_ID >= 'B1996'"), "arrivals")
+    keys, progress = scratch_dir(spark, "keys"), scratch_dir(spark, "progress")
+    repeats_in_stream(arriving, "TXN_ID", keys, path, progress, known).awaitTermination()
     return spark.read.parquet(path).agg(F.sum("repeats").alias("repeats"))
 
 
+def _stream_verdicts(spark: SparkSession, sf: str) -> DataFrame:
+    """All rows as one micro-batch: a verdict for each batch and check, and the audit row of the epoch."""
+    rows = b.txn_dirty(spark, sf).drop("k")
+    source = scratch_dir(spark, "arrivals")
+    unload_parquet(rows, source, 10_000_000)
+    stream = spark.readStream.schema(rows.schema).parquet(source)
+    log, path = AuditLog(spark, scratch_dir(spark, "audit")), scratch_dir(spark, "verdicts")
+    gate_stream(
+        stream, tx.mirror_suite(), "TXN_ID", ["_BATCH_ID"], log, path, scratch_dir(spark, "progress"), "DUP_TXN_ID_IN_BATCH", False
+    ).awaitTermination()
+    judged = spark.read.parquet(path).select("_BATCH_ID", "metric", "value", "passed")
+    logged = log.table("TDQ_RESULTS").select(
+        "BATCH_ID", F.lit("logged").alias("metric"), F.col("ROW_COUNT").cast("double").alias("value"), "PASSED"
+    )
+    return judged.unionAll(logged)
+
+
 _GATE1 = "SELECT * EXCLUDE (DUP_TXN_ID_IN_BATCH) FROM gate1"
 
 
@@ -82,13 +101,22 @@ def _gate_sql() -> str:
     return f"WITH {b.DIRTY}, {GATE1_SQL} {_GATE1}"
 
 
+def _verdict_sql() -> str:
+    from sluiceway.registry.checks import GATE1_SQL, VERDICT_SQL
+
+    return f"""WITH {b.DIRTY}, {GATE1_SQL}, {VERDICT_SQL} SELECT _BATCH_ID, metric, value, passed FROM verdict
+    UNION ALL SELECT 'epoch-0', 'logged', CAST(count(*) AS DOUBLE), FALSE FROM txn_dirty"""
+
+
 QUERIES = {
     "stream_pickup": Query(_pickup, PICKUP_SQL),
     "stream_gate": Query(_stream_gate, _gate_sql()),
     "stream_unique_keys": Query(_stream_unique, f"WITH {b.MULTI} SELECT DISTINCT TXN_ID FROM txn_multi"),
     "stream_repeats": Query(
         _stream_repeats,
-        f"""WITH {b.MULTI} SELECT count(*) AS repeats FROM txn_multi WHERE _BATCH_ID >= 'B1999' AND TXN_ID IN
-        (SELECT TXN_ID FROM txn_multi WHERE _BATCH_ID < 'B1999')""",
+        f"""WITH {b.MULTI}, k AS (SELECT DISTINCT TXN_ID FROM txn_multi WHERE _BATCH_ID < 'B1996'),
+        a AS (SELECT TXN_ID FROM txn_multi WHERE _BATCH_ID >= 'B1996')
+        SELECT count(*) - (SELECT count(DISTINCT TXN_ID) FROM a WHERE TXN_ID NOT IN (SELECT TXN_ID FROM k)) AS repeats FROM a""",
     ),
+    "stream_verdicts": Query(_stream_verdicts, _verdict_sql()),
 }

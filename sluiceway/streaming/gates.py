@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -9,7 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluiceway.functions.metrics import Check
-from sluiceway.operators.profile import fused_metrics
+from sluiceway.operators.audit import AuditLog
+from sluiceway.operators.keys import key_counts
+from sluiceway.operators.profile import attach, duplicate_metric, fused_metrics
+from sluiceway.operators.verdict import GateFailed, verdicts
+from sluiceway.session import fits_broadcast, list_names
 
 
 def profile_stream(
@@ -35,12 +40,70 @@ def unique_within(rows: DataFrame, keys: Sequence[str], event_time: str, bound:
     return rows.withWatermark(event_time, bound).dropDuplicatesWithinWatermark(list(keys))
 
 
-def repeats_in_stream(rows: DataFrame, known: DataFrame, key: str, path: str, checkpoint: str) -> StreamingQuery:
-    """Without a time bound: count per micro-batch the rows whose key is already known."""
+def gate_stream(
+    rows: DataFrame, checks: Sequence[Check], key: str, by: Sequence[str], audit: AuditLog, path: str, checkpoint: str,
+    duplicates: str, stop: bool = True,
+) -> StreamingQuery:
+    """Judge every micro-batch: verdicts per group to `path`, one audit row, and the stream stops on a failure.
+
+    A repeated epoch overwrites its own verdicts.  The audit row is written before the stop, as for batches.
+    """
+
+    def judge_batch(arrived: DataFrame, epoch: int) -> None:
+        began, session = time.time(), arrived.sparkSession
+        metrics = fused_metrics(arrived, checks, by)
+        metrics = attach(metrics, duplicate_metric(arrived, key, duplicates, by), by)
+        verdicts(metrics, checks, by).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        judged = session.read.parquet(f"{path}/epoch={epoch}")
+        found = judged.groupBy("passed").count().collect()
+        total, bad = sum(r["count"] for r in found), sum(r["count"] for r in found if not r["passed"])
+        # The names of the failed checks, at most one per check of the suite.
+        names = sorted(r.metric for r in judged.where("NOT passed").select("metric").distinct().collect())
+        size = judged.where("metric = 'TOTAL_ROWS'").agg(F.coalesce(F.sum("value"), F.lit(0.0))).first()[0]
+        audit.add(
+            "TDQ_RESULTS", BATCH_ID=f"epoch-{epoch}", TABLE_NAME="stream", LAYER="ML", CHECK_TYPE="TDQ", PASSED=not bad,
+            TOTAL_CHECKS=total, FAILED_COUNT=bad, FAILED_DETAILS=names, ROW_COUNT=int(size),
+            EXECUTION_TIME_SECS=time.time() - began, SUITE_NAME="stream_ml",
+        )
+        if bad and stop:
+            raise GateFailed("ML", f"epoch-{epoch}", names)
+
+    return (
+        rows.writeStream.foreachBatch(judge_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def repeats_in_stream(
+    rows: DataFrame, key: str, keys_path: str, path: str, checkpoint: str, known: DataFrame | None = None
+) -> StreamingQuery:
+    """Without a time bound: count per micro-batch the rows whose key came before, in it or in an earlier one.
+
+    Every micro-batch's keys are stored under its epoch, so a repeated epoch replaces itself and is not compared
+    with itself.  Stored keys outside the arriving range are skipped in the scan; the arriving keys go
+    to the tasks if they are proven small, so history is not shuffled.  `known` seeds the keys.
+    """
+    seed = "seed"
 
     def compare(arrived: DataFrame, epoch: int) -> None:
-        again = arrived.join(known.select(key).distinct(), key, "left_semi")
-        again.agg(F.count(F.lit(1)).alias("repeats")).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        session = arrived.sparkSession
+        if known is not None and not list_names(session, f"{keys_path}/{seed}"):
+            known.select(key).distinct().write.mode("overwrite").parquet(f"{keys_path}/{seed}")
+        own = f"{keys_path}/{epoch:012d}"
+        key_counts(arrived.where(F.col(key).isNotNull()), key).write.mode("overwrite").parquet(own)
+        mine = session.read.parquet(own)
+        n, longest, low, high = mine.agg(F.count(key), F.max(F.octet_length(key)), F.min(key), F.max(key)).first()
+        inside = mine.agg(F.coalesce(F.sum("_n") - F.count(key), F.lit(0)).alias("repeats"))
+        earlier = [f"{keys_path}/{x}" for x in list_names(session, keys_path) if x == seed or x < f"{epoch:012d}"]
+        if n and earlier:
+            before = session.read.schema(mine.select(key).schema).parquet(*earlier).where(F.col(key).between(low, high))
+            arriving = F.broadcast(mine.select(key)) if fits_broadcast(n, longest) else mine.select(key)
+            again = before.join(arriving, key, "left_semi").distinct()
+            # The first row of a key that came in an earlier batch is a repeat, too.
+            inside = inside.unionByName(again.agg(F.count(key).alias("repeats")))
+        inside.agg(F.sum("repeats").alias("repeats")).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
     return (
         rows.writeStream.foreachBatch(compare)
