@@ -95,7 +95,7 @@ def _keep_ids(df: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def candidate_tables(classes: DataFrame) -> DataFrame:
-    """(bucket, node, n) of all table keys that at least two classes share."""
+    """(bucket, node, n, size, centre, centre_n) of all table keys that at least two classes share."""
     rows = classes.select("node", "n", F.posexplode("halves").alias("place", "half"))
     shared = store(rows.groupBy("half").count().where("count > 1").select("half"), "halves")
     if fits_broadcast(shared.count(), 8):
@@ -107,7 +107,9 @@ def candidate_tables(classes: DataFrame) -> DataFrame:
     pairs = owned.select("node", "n", F.explode("first").alias("f"), "second")
     keys = pairs.select("node", "n", "f", F.explode("second").alias("s"))
     tables = store(keys.select(F.xxhash64("f", "s").alias("bucket"), "node", "n"), "tables")
-    full = tables.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("centre"))
+    least = F.min(F.struct("node", "n")).alias("least")
+    full = tables.groupBy("bucket").agg(F.count("*").alias("size"), least)
+    full = full.select("bucket", "size", F.col("least.node").alias("centre"), F.col("least.n").alias("centre_n"))
     return store(tables.join(full.where("size > 1"), "bucket"), "buckets")
 
 
@@ -238,9 +240,9 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     sets = _keep_ids(docs, needed).mapInArrow(_full_sets, "id long, shingles array<long>")
     sets = store(sets.distinct(), "sets")
 
-    centres = classes.select(F.col("node").alias("centre"), F.col("n").alias("m"))
-    star = buckets.where("node <> centre").select("node", "n", "centre").distinct().join(centres, "centre")
-    star = star.where(sizes_allow(F.col("n"), F.col("m"))).select(F.col("centre").alias("a"), F.col("node").alias("b"))
+    # A centre may have very many members; both joins below are shuffled anew, so that Spark can split them.
+    star = buckets.where("node <> centre").where(sizes_allow(F.col("n"), F.col("centre_n")))
+    star = star.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     links = store(confirmed(star, sets), "star")
 
     rows = _with_components(buckets, connected_components(links))
