@@ -15,6 +15,7 @@ import time
 from pyspark.sql import functions as F
 
 from sluiceway.functions.scalars import pad_number
+from sluiceway.operators.verdict import GateFailed
 from sluiceway.plans import cycle, gates
 from sluiceway.plans import transactions as tx
 from sluiceway.plans.store import Store
@@ -33,6 +34,7 @@ HEADLINE = [
     "incremental_slice", "mart_derived", "mart_refresh_affected", "batch_profile", "load_acceptance",
     "technical_columns", "new_files", "header_groups", "model_tests", "group_checks_events", "group_checks_documents",
     "variant_extract", "latest_audit_by_layer", "phase_timing", "freshness_verdict",
+    "csv_batch_load", "stored_merge", "cycle_mart", "stream_repeats", "stream_verdicts", "late_passed_batch",
 ]
 
 
@@ -85,6 +87,33 @@ def run_phases(spark) -> tuple[dict[str, float], int]:
         return gates.gate_mart(store, "bench")
 
     phase("phase_refresh_gate3", refresh_and_check)
+
+    # The steady state: a second batch with rows that replace old ones, and repeats that stop gate 1.
+    again = payload_of_line_items(spark)
+    number = F.substring("TXN_ID", 5, 10).cast("bigint")
+    replaced = again.where(number % 20 == 0).withColumn("STATUS", F.lit("PENDING"))
+    added = again.where(number % 10 == 1).withColumn("TXN_ID", F.concat(F.lit("TXN-9"), F.substring("TXN_ID", 6, 9)))
+    unload_parquet(replaced.unionByName(added).repartition(8), f"{landing}/b")
+    files = pending_files(spark, landing, store.mirror)
+    phase("phase2_load", lambda: load_parquet(spark, store.mirror, files, {"BATCH_ID": "second"}, base=landing))
+
+    def gate_with_repeats():
+        try:
+            gates.gate_mirror(store, "second")
+        except GateFailed:
+            return
+        raise RuntimeError("repeated keys were not found")
+
+    phase("phase2_gate1", gate_with_repeats)
+    store.audit.add("TDQ_RESULTS", BATCH_ID="second", LAYER="ML", PASSED=True)
+    phase("phase2_transform", lambda: cycle.stage_new_rows(store))
+    phase("phase2_gate2", lambda: gates.gate_staging(store, "second"))
+
+    def refresh_and_check_again():
+        cycle.refresh_mart(store)
+        return gates.gate_mart(store, "second")
+
+    phase("phase2_refresh_gate3", refresh_and_check_again)
     return took, count
 
 
@@ -109,7 +138,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
-                "rows_per_second": {n: round(rows / s) for n, s in phases.items()},
+                "rows_per_second": {n: round(rows / s) for n, s in phases.items() if not n.startswith("phase2")},
                 "phase_rows": rows,
                 "sf": os.path.basename(SF_DIR).removeprefix("sf"),
             }

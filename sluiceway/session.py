@@ -65,7 +65,7 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     if not files.exists(target):
         return []
     names = (status.getPath().getName() for status in files.listStatus(target))
-    return sorted(n for n in names if n[0] not in "._")
+    return sorted(n for n in names if n[0] not in "._" or "=" in n)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

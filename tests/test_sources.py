@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from sluiceway.functions.payload import value_of
 from sluiceway.functions.scalars import blank_to_null, row_hash
 from sluiceway.operators.profile import load_profile
+from sluiceway.functions.metrics import Check
+from sluiceway.operators.audit import AuditLog
 from sluiceway.operators.upsert import merge_into
+from sluiceway.operators.verdict import judge, verdicts
 from sluiceway.plans import transactions as tx
 from sluiceway.session import scoped_conf
 from sluiceway.sources.headers import BadHeader, describe_headers, first_lines, header_groups
 from sluiceway.sources.listing import list_files, pending_files
-from sluiceway.sources.loading import load_csv, load_parquet, read_csv_inferred
+from sluiceway.sources.loading import BatchInUse, load_csv, load_parquet, read_csv_inferred
 from sluiceway.sources.mirror import MIRROR_SCHEMA, open_mirror
 from sluiceway.sources.samples import sample_accounts, sample_transactions
 from sluiceway.sources.tables import PartTable
@@ -94,7 +97,7 @@ def test_reordered_columns_are_keyed_by_name(spark, folder):
 
 @pytest.mark.parametrize("multi_line", [False, True])
 def test_row_numbers_over_many_blocks(spark, folder, multi_line):
-    files = [put(folder, f"in/{n}.csv", "K,V\n" + "".join(f"{i},{'x' * (i % 40)}\n" for i in range(1, n + 1)))
+    files = [put(folder, "in/{n}.csv", "K,V\n" + "".join(f"{i},{'x' * (i % 40)}\n" for i in range(1, n + 1)))
              for n in (1, 700, 5000)]
     mirror = open_mirror(spark, f"{folder}/mirror")
     with scoped_conf(spark, {"spark.sql.files.maxPartitionBytes": "4096"}):
@@ -244,3 +247,86 @@ def test_columns_added_later_are_null(spark, folder):
 def test_samples_are_repeatable(spark):
     a, b = sample_transactions(spark, 50, "2024-03-01"), sample_transactions(spark, 20, "2024-03-01", 30)
     assert b.exceptAll(a).count() == 0 and a.select("TXN_ID").distinct().count() == 50
+
+
+def rows_as_text(mirror):
+    return sorted(r[0] for r in mirror.read().select(F.to_json("RAW_DATA")).collect())
+
+
+def test_headers_that_join_alike_and_wide_headers(spark, folder):
+    mirror = open_mirror(spark, folder + "/m")
+    wide = [f"c{i}" for i in range(250)]
+    files = [
+        put(folder, "in/a.csv", '"a,b",c\n1,2\n'), put(folder, "in/b.csv", "a,b,c\n7,8,9\n"),
+        put(folder, "in/c.csv", ",".join(wide) + "\n" + ",".join("1" for _ in wide) + "\n"),
+        put(folder, "in/d.csv", 'a,b\n" x ", y \n'),
+    ]
+    found = load_csv(spark, mirror, files, {"BATCH_ID": "x"})
+    assert (found.headers, found.files, found.rows) == (4, 4, 4)
+    texts = rows_as_text(mirror)
+    assert {'{"a":"7","b":"8","c":"9"}', '{"a,b":"1","c":"2"}', '{"a":" x ","b":"y"}'} < set(texts)
+    assert max(map(len, texts)) > 250 * 5
+
+
+def test_files_without_rows_are_logged(spark, folder):
+    mirror = open_mirror(spark, folder + "/m")
+    files = [put(folder, "in/full.csv", "a\n1\n"), put(folder, "in/empty.csv", "a\n")]
+    found = load_csv(spark, mirror, files, {"BATCH_ID": "x"}, base=f"{folder}/in")
+    assert (found.files, found.rows) == (2, 1)
+    assert {(r.item, r.rows) for r in mirror.items().collect()} == {("full.csv", 1), ("empty.csv", 0)}
+    assert pending_files(spark, f"{folder}/in", mirror) == []
+    only = put(folder, "in/header.csv", "a\n")
+    assert load_csv(spark, mirror, [only], {"BATCH_ID": "y"}, base=f"{folder}/in").rows == 0
+    assert pending_files(spark, f"{folder}/in", mirror) == [] and mirror.read().count() == 1
+
+
+def test_a_used_batch_id_adds_or_retries_but_never_replaces(spark, folder):
+    mirror, base = open_mirror(spark, folder + "/m"), f"{folder}/in"
+    one, two = put(base, "one.csv", "a\n1\n"), put(base, "two.csv", "a\n2\n")
+    go = lambda *files: load_csv(spark, mirror, list(files), {"BATCH_ID": "x"}, base=base)
+    go(one)
+    go(two)
+    assert rows_as_text(mirror) == ['{"a":"1"}', '{"a":"2"}']
+    put(base, "two.csv", "a\n2\n3\n")
+    go(two)
+    assert rows_as_text(mirror) == ['{"a":"1"}', '{"a":"2"}', '{"a":"3"}']
+    with pytest.raises(BatchInUse):
+        go(two, put(base, "three.csv", "a\n4\n"))
+    go(one, two)
+    assert len(rows_as_text(mirror)) == 3 and pending_files(spark, base, mirror) == [f"file:{base}/three.csv"]
+
+
+def test_many_publishes_leave_a_small_log(spark, folder, monkeypatch):
+    monkeypatch.setattr("sluiceway.sources.tables.SNAPSHOT_EVERY", 4)
+    table = PartTable(spark, folder + "/t", spark.createDataFrame([], "p string, k int").schema, part="p")
+    table.replace(spark.createDataFrame([("a", 0), ("b", 0)], table.schema))
+    sizes = []
+    for i in range(1, 26):
+        table.replace(spark.createDataFrame([("a", i)], table.schema))
+        sizes.append((table.log().count(), len(table.read()._jdf.inputFiles())))
+    assert content(table) == [("a", 25), ("b", 0)]
+    assert max(sizes[-8:]) <= max(sizes[:8])
+    assert len(os.listdir(f"{folder}/t/log")) < 20
+    assert len(table.vacuum()) == 24 and content(table) == [("a", 25), ("b", 0)]
+    table.delete_where(F.col("k") == 0)
+    assert content(table) == [("a", 25)]
+
+
+def test_audit_rows_can_be_deleted(spark, folder):
+    log = AuditLog(spark, folder + "/audit")
+    for name in ["one", "two", "three"]:
+        log.add("PIPELINE_RUNS", BATCH_ID=name, STATUS="SUCCESS")
+    log.delete_where("PIPELINE_RUNS", F.col("BATCH_ID") == "two")
+    assert {r.BATCH_ID for r in log.table("PIPELINE_RUNS").collect()} == {"one", "three"}
+    assert len([f for f in os.listdir(folder + "/audit/PIPELINE_RUNS") if f.endswith(".parquet")]) == 1
+    log.add("PIPELINE_RUNS", BATCH_ID="four", STATUS="FAILED")
+    assert log.table("PIPELINE_RUNS").count() == 3
+
+
+def test_verdicts_on_the_driver_are_the_same(spark):
+    suite = [Check("a", "x"), Check("b", "x", None, 1, None), Check("c", "x", None, None, 3), Check("d", "x")]
+    values = {"a": 0, "b": 0.5, "c": 3, "d": None}
+    frame = spark.createDataFrame([(0.0, 0.5, 3.0, None)], "a double, b double, c double, d double")
+    fields = ["metric", "category", "source", "value", "low", "high", "passed", "detail"]
+    one = {tuple(r[f] for f in fields) for r in judge(values, suite)}
+    assert one == {tuple(r[f] for f in fields) for r in verdicts(frame, suite).collect()}
