@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.llm.graph import store
 from sluiceway.llm.skew import attach
-from sluiceway.llm.text import lower_ascii
+from sluiceway.llm.text import ROW, lower_ascii, wrapped
 from sluiceway.session import fits_broadcast, path_exists, scratch_dir
 
 BUCKETS = 24
@@ -79,12 +79,13 @@ class DigestIndex:
 
 def drop_exact_duplicates(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Deliver `docs` to the index and return the rows that stay; columns unchanged."""
-    gone = index.add(docs, id_col, text_col).where("NOT kept").select(F.col(id_col).alias("_id"), F.col("digest").alias("_d"))
+    gone = index.add(docs, id_col, text_col).where("NOT kept").select(F.col(id_col).alias("gone_id"), "digest")
     gone = store(gone.distinct(), "gone")
     if fits_broadcast(gone.count(), 40):
         gone = F.broadcast(gone)
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (digest(F.col(text_col)) == F.col("_d"))
-    return docs.join(gone, same, "left_anti")
+    rows = wrapped(docs, id=F.col(id_col), own=digest(F.col(text_col)))
+    same = rows["id"].eqNullSafe(F.col("gone_id")) & (rows["own"] == F.col("digest"))
+    return rows.join(gone, same, "left_anti").select(f"{ROW}.*")
 
 
 def fresh_index(spark: SparkSession) -> DigestIndex:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.llm.graph import connected_components, store
-from sluiceway.llm.text import mix64, shingle_set
+from sluiceway.llm.text import ROW, mix64, shingle_set, wrapped
 from sluiceway.session import fits_broadcast
 
 WIDTH = 5
@@ -293,8 +293,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` without the rows whose id is not the smallest of its component; columns unchanged."""
-    dropped = near_duplicates(docs, id_col, text_col).where("NOT kept").select(F.col(id_col).alias("_dropped")).distinct()
+    dropped = near_duplicates(docs, id_col, text_col).where("NOT kept").select(F.col(id_col).alias("id")).distinct()
     dropped = store(dropped, "dropped")
     if fits_broadcast(dropped.count(), 8):
         dropped = F.broadcast(dropped)
-    return docs.join(dropped, F.col(id_col) == F.col("_dropped"), "left_anti")
+    return wrapped(docs, id=F.col(id_col)).join(dropped, "id", "left_anti").select(f"{ROW}.*")

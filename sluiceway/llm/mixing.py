@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sluiceway.llm.graph import store
-from sluiceway.llm.text import words
+from sluiceway.llm.text import ROW, words, wrapped
 from sluiceway.session import fits_broadcast
 
 BLOCK_ROWS = 1000
@@ -132,11 +132,12 @@ def reading_order(plan: DataFrame, id_col: str = "doc_id", source_col: str = "so
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
     """`docs` with every row repeated as the plan says; columns unchanged."""
     plan = mixing_plan(docs, id_col, source_col, text_col, **options).where("copies <> 1")
-    plan = store(plan.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_s"), "copies").distinct(), "copies")
-    plan = plan.withColumnRenamed("copies", "_copies")
+    plan = plan.select(F.col(id_col).alias("plan_id"), F.col(source_col).alias("plan_source"), "copies").distinct()
+    plan = store(plan, "copies")
     if fits_broadcast(plan.count(), 48):
         plan = F.broadcast(plan)
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & F.col(source_col).eqNullSafe(F.col("_s"))
-    copies = F.coalesce("_copies", F.lit(1).cast("long"))
+    rows = wrapped(docs, id=F.col(id_col), source=F.col(source_col))
+    same = rows["id"].eqNullSafe(F.col("plan_id")) & rows["source"].eqNullSafe(F.col("plan_source"))
+    copies = F.coalesce("copies", F.lit(1).cast("long"))
     times = F.when(copies > 0, F.sequence(F.lit(1).cast("long"), copies))
-    return docs.join(plan, same, "left").withColumn("_copy", F.explode(times)).select(*[docs[c] for c in docs.columns])
+    return rows.join(plan, same, "left").select(ROW, F.explode(times).alias("copy")).select(f"{ROW}.*")

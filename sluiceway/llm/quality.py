@@ -11,7 +11,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.text import SPACE_CLASS, let, words
+from sluiceway.llm.text import ROW, SPACE_CLASS, let, words, wrapped
 
 # Fixed values of the base rules.
 SYMBOLS = "#*$%&|<>"
@@ -123,7 +123,7 @@ def quality_columns(docs: DataFrame, text_col: str = "text", rules: tuple[Rule,
 
 def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, the base counts, base_failed and kept."""
-    found = quality_columns(docs.select(id_col, text_col), text_col).select(id_col, "_quality.*")
+    found = quality_columns(docs.select(F.col(id_col), F.col(text_col)), text_col).select(id_col, "_quality.*")
     return found.select(
         id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
@@ -131,7 +131,8 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """`docs` without the rows that the rules reject; columns unchanged."""
-    return quality_columns(docs, text_col).where("_quality.kept").drop("_quality")
+    rows = wrapped(docs, text=F.col(text_col))
+    return quality_columns(rows, "text").where("_quality.kept").select(f"{ROW}.*")
 
 
 def _sql_words(x: str) -> str:

@@ -32,6 +32,14 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+ROW = "row"
+
+
+def wrapped(docs: DataFrame, **named: Column) -> DataFrame:
+    """Whole rows in one column beside named ones, so that no column of `docs` can clash with these."""
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias(ROW), *[c.alias(n) for n, c in named.items()])
+
+
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

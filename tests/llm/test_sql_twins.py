@@ -26,9 +26,14 @@ def test_pipeline_matches_sql(spark, con):
 
 
 def test_stages_keep_the_columns(make_docs, spark):
-    docs = make_docs([(1, " ".join(f"the word{i}" for i in range(60)), "en", "a"), (2, None, None, None)])
+    clashing = ["row", "id", "own", "copy", "copies", "digest", "gone_id", "_quality", "plan_id", "key", "n_tokens", "bucket_length"]
+    rows = [(1, " ".join(f"the word{i}" for i in range(60)), "en", "a"), (2, None, None, None)]
+    docs = make_docs(rows, clashing)
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, docs, SF).columns == docs.columns, name
+        kept = stage(spark, docs, SF)
+        assert kept.columns == docs.columns, name
+        assert [tuple(r) for r in kept.where("doc_id = 1").collect()] == [tuple(docs.first())], name
+    assert sorted(r["doc_id"] for r in corpus_pipeline.packing_stage(spark, docs, SF).collect()) == [1, 2]
 
 
 def test_stages_take_an_empty_table(make_docs, spark):
