@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.llm.graph import connected_components, store
+from sluiceway.llm.skew import attach
 from sluiceway.llm.text import ROW, mix64, shingle_set, wrapped
 from sluiceway.session import fits_broadcast
 
@@ -277,13 +278,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = store(grouped, "classes")
     links = _links(docs.where("id IS NOT NULL"), classes)
     repeats = sketches.where("n > 0 AND id IS NOT NULL").groupBy("key").agg(
-        F.min("id").alias("node"), F.max("id").alias("most")
+        F.min("id").alias("node"), F.max("id").alias("most"), F.count("*").alias("size")
     )
     components = connected_components(links)
     # Only classes of several rows and linked classes need a look-up; the rest are their own component.
-    labels = _with_components(repeats, components).where("component <> node OR node <> most").select("key", "component")
+    labels = _with_components(repeats, components).where("component <> node OR node <> most")
+    labels = store(labels.select("key", "component", "size"), "labels-by-key")
     by_id = components.select(F.col("node").alias("id"), F.col("component").alias("own"))
-    found = sketches.select("id", "n", "key").join(labels, "key", "left").join(by_id, "id", "left")
+    # One text may be a third of all rows.
+    found = attach(sketches.select("id", "n", "key"), labels, "key", "size", 48).join(by_id, "id", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "own", "id"))
     return found.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
