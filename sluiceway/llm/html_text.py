@@ -2,7 +2,9 @@
 
 Paragraphs pass points for length and commas to their ancestors; a container's points are discounted by the
 share of its text that is link text; the best container is kept with those siblings that score well
-themselves.  Menus, forms and other furniture, known by tag, role or class, neither score nor appear.
+themselves.  Menus and other furniture, known by tag, role or class, neither score nor appear.  Menus, footers,
+controls and hidden parts always go.  Other tags, roles and names only raise a suspicion: what holds the article or
+main part, or a major share of the page's unlinked paragraph points, alone or with its namesakes, stays.
 
 A page is read once into flat lists (parents before children), so nesting depth costs no recursion.
 """
@@ -40,24 +42,34 @@ CLOSES = {
 SCOPE = frozenset("table ul ol dl div section article body main blockquote select".split())
 FURNITURE = frozenset("nav footer aside form button select dialog menu head label fieldset".split())
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
+SUSPECT = frozenset("aside dialog form fieldset label".split())
+SUSPECT_ROLES = frozenset("banner complementary search dialog alert form".split())
 FURNITURE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
     "gdpr notice alert popup modal overlay newsletter subscribe subscription signup login nav navbar navigation menu "
     "breadcrumb breadcrumbs pager pagination sidebar aside widget footer masthead toolbar share sharing social related "
     "recommended comment comments commentlist disqus replies respond search skip".split()
 )
-NEVER_FURNITURE = frozenset("html body article main".split())
+COMMENTS = frozenset("comment comments commentlist disqus replies respond".split())
+ADVERTS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion".split())
+STATES = frozenset("has no with without".split())  # 'has-sidebar' tells of the page, not of the element
+NEVER_FURNITURE = frozenset("html body main h1".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 START_POINTS = {"article": 10, "main": 10, "div": 5, "section": 5, "pre": 3, "td": 3, "blockquote": 3, "ul": -3, "ol": -3}
 MIN_PARAGRAPH = 25
+MAJOR, MAJOR_FORM = 1 / 2, 1 / 3  # shares of the page's points from which a suspect is no furniture
+LEFT_BY_COMMENTS, LEFT = 0.1, 0.2  # less than this share left: the suspects were the content
+TEASER = 0.25  # an article of less than this share of the largest one does not vouch for what it stands in
 
 
 class Page:
-    """Elements and texts of a page in order; `names=False` judges furniture by tag and role only."""
+    """Elements and texts of a page in order; `names=False` judges furniture by tag and role only, `suspects=False` drops no suspect."""
 
-    def __init__(self, source: str, names: bool = True):
+    def __init__(self, source: str, names: bool = True, suspects: bool = True):
         self.tags, self.parents, self.dropped, self.linked, self.inside = ["html"], [0], [False], [False], [False]
         self.events: list[tuple[int, str | None]] = []  # (element, text), or (element, None) where a block starts or ends
-        self.names, stack = names, [0]
+        self.keys: list[set[str]] = [set()]  # why an element may be furniture: <tag>, role= or a word of its names
+        self.names, self.suspects, stack = names, suspects, [0]
         at, end = 0, len(source)
         for token in _TOKEN.finditer(source):
             if token.start() < at:
@@ -79,6 +91,8 @@ class Page:
                 self._open(stack, tag, token.group(3))
         if at < end:
             self._text(stack[-1], source[at:])
+        if suspects and any(self.keys):
+            self._judge()
 
     def _text(self, element: int, text: str) -> None:
         if not self.dropped[element]:
@@ -99,7 +113,8 @@ class Page:
         self.parents.append(parent)
         self.linked.append(tag == "a" or self.linked[parent])
         self.inside.append(tag in ("article", "main") or self.inside[parent])
-        self.dropped.append(self.dropped[parent] or self._furniture(tag, attributes, self.inside[parent]))
+        self.keys.append(set())
+        self.dropped.append(self.dropped[parent] or self._furniture(tag, attributes, self.inside[parent], self.keys[index]))
         stack.append(index)
         if tag in BLOCK:
             self.events.append((index, None))
@@ -112,9 +127,12 @@ class Page:
                 del stack[i:]
                 return
 
-    def _furniture(self, tag: str, attributes: str, inside: bool) -> bool:
-        if tag in FURNITURE or (tag == "header" and not inside):
+    def _furniture(self, tag: str, attributes: str, inside: bool, keys: set[str]) -> bool:
+        """Whether the element is furniture for certain; else `keys` gets the reasons to suspect it."""
+        if tag in FURNITURE or (tag == "label" and not self.suspects):
             return True
+        if tag in SUSPECT or (tag == "header" and not inside):
+            keys.add(f"<{tag}>")
         if len(attributes) < 5:
             return False
         for name, value in _ATTRIBUTE.findall(attributes):
@@ -122,27 +140,148 @@ class Page:
             if name == "role":
                 if value.lower() in FURNITURE_ROLES:
                     return True
+                if value.lower() in SUSPECT_ROLES:
+                    keys.add(f"role={value.lower()}")
             elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
                 return True
             elif name == "style":
                 if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                     return True
-            elif self.names and name in ("class", "id") and tag not in NEVER_FURNITURE | {"p"} | {"h1"}:
-                words = {w.lower() for w in _NAME.findall(value)}
-                if words & FURNITURE_NAMES or not inside and "header" in words:
-                    return True
-            elif self.names and name in ("class", "id") and tag in ("article", "p"):
-                if {w.lower() for w in _NAME.findall(value)} & {"comment", "comments", "ad", "advert", "sponsored"}:
-                    return True
+            elif self.names and name in ("class", "id") and tag not in NEVER_FURNITURE:
+                for part in value.split():
+                    words = [w.lower() for w in _NAME.findall(part)]
+                    if not words or words[0] in STATES:
+                        continue
+                    if tag in ("article", "p"):
+                        keys.update({"comment", "comments", "ad", "advert", "sponsored"}.intersection(words))
+                    else:
+                        keys.update(FURNITURE_NAMES.intersection(words))
+                        if not inside and "header" in words:
+                            keys.add("header")
         return False
 
-    def kept_elements(self) -> set[int] | None:
-        """Roots of the kept text; None if nothing scores."""
-        n = len(self.tags)
-        block = list(range(n))
-        for i in range(1, n):
+    def _blocks(self) -> list[int]:
+        """The block that each element's text belongs to."""
+        block = list(range(len(self.tags)))
+        for i in range(1, len(block)):
             if self.tags[i] not in BLOCK:
                 block[i] = block[self.parents[i]]
+        return block
+
+    def _sums(self, values: list, skip: list[bool]) -> list:
+        """Sums over subtrees, without skipped elements."""
+        sums = [0 if out else x for x, out in zip(values, skip)]
+        for i in range(len(sums) - 1, 0, -1):
+            sums[self.parents[i]] += sums[i]
+        return sums
+
+    def _below(self, roots: set[int]) -> list[bool]:
+        """Which elements are roots or stand in one."""
+        inside = [i in roots for i in range(len(self.tags))]
+        for i in range(1, len(inside)):
+            inside[i] = inside[i] or inside[self.parents[i]]
+        return inside
+
+    def _judge(self) -> None:
+        """Drops those suspects that are furniture."""
+        tags, parents, keys, n = self.tags, self.parents, self.keys, len(self.tags)
+        block, own, commas, every = self._blocks(), [0] * n, [0] * n, [0] * n
+        for element, text in self.events:
+            if text and text.strip():
+                every[element] += len(text)
+                if not self.linked[element]:
+                    own[block[element]] += len(text)
+                    commas[block[element]] += text.count(",")
+        points = [
+            1 + commas[i] + min(own[i] / 100, 3) if own[i] >= MIN_PARAGRAPH and tags[i] not in HEADINGS else 0.0 for i in range(n)
+        ]
+        weight, chars = self._sums(points, self.dropped), self._sums(every, self.dropped)
+
+        # The articles and main parts, and what holds one.
+        nested = [False] * n
+        for i in range(1, n):
+            nested[i] = nested[parents[i]] or tags[parents[i]] == "article"
+        articles = [i for i in range(n) if tags[i] == "article" and chars[i] and not nested[i] and not keys[i]]
+        largest = max((weight[i] for i in articles), default=0.0)
+        articles = [i for i in articles if weight[i] >= TEASER * largest]
+        roots = [i for i in range(n) if tags[i] == "main" and chars[i]] + articles
+        holds, has_article = [False] * n, [False] * n
+        for found, marks in ((roots, holds), (articles, has_article)):
+            for i in found:
+                while not marks[i]:
+                    marks[i] = True
+                    i = parents[i]
+        within = self._below({i for i in range(n) if tags[i] == "article" or tags[i] == "main" and not has_article[i]})
+        for i in range(n):
+            if keys[i] and within[i] and (tags[i] == "section" or tags[i] in HEADINGS):
+                keys[i] &= COMMENTS | ADVERTS
+
+        # Comments may outweigh the article: they stay only where they hold it or nearly nothing is left without them.
+        suspects = {i for i in range(n) if keys[i] & COMMENTS and not self.dropped[i] and not holds[i]}
+        suspects -= {i for i in suspects if tags[i] == "article" and weight[i] >= MAJOR * weight[0] > 0}
+        depth = [0] * n
+        for i in range(1, n):
+            depth[i] = depth[parents[i]] + (i in suspects)
+
+        def without(named: set[int]) -> tuple[list[bool], list]:
+            out = [a or b for a, b in zip(self.dropped, self._below(named))]
+            return out, self._sums(points, out)
+
+        # Outer ones that are the content may still hold comments: the least depth from which enough is left.
+        low, high = 1, max(depth) + 1
+        while low < high:
+            middle = (low + high) // 2
+            left = without({i for i in suspects if depth[i] >= middle})[1]
+            if left[0] >= LEFT_BY_COMMENTS * weight[0] or any(left[i] for i in roots):
+                high = middle
+            else:
+                low = middle + 1
+        self.dropped = without({i for i in suspects if depth[i] >= low})[0]
+
+        weight, chars = self._sums(points, self.dropped), self._sums(every, self.dropped)
+        for i in range(n):
+            keys[i] -= COMMENTS
+        suspects = set()
+        for i in range(n):
+            if keys[i] and not self.dropped[i] and not holds[i]:
+                form = tags[i] in ("form", "fieldset")
+                size = chars if form and not weight[0] else weight
+                if not size[i] or size[i] < (MAJOR_FORM if form else MAJOR) * size[0]:
+                    suspects.add(i)
+
+        # A word that stands on most of the text says nothing on this page, unless an article or main part does without it.
+        for key in sorted({k for i in suspects for k in keys[i]} - {"<label>"}):
+            named = {i for i in suspects if key in keys[i]}
+            if sum(weight[i] for i in named) >= MAJOR * weight[0] > 0:  # nested ones count twice here, not below
+                left = without(named)[1]
+                if left[0] <= (1 - MAJOR) * weight[0] and not any(0 < weight[i] <= 2 * left[i] for i in roots):
+                    for i in named:
+                        keys[i].discard(key)
+        # Nor may the suspects take nearly all of an article, a main part or, if there is neither, the page.
+        scopes = {*roots, 0}
+        while True:
+            suspects = {i for i in suspects if keys[i]}
+            out, left = without(suspects)
+            robbed = {i for i in scopes if left[i] < LEFT * weight[i] and (i or not any(left[j] for j in roots))}
+            if not robbed:
+                break
+            owner, totals = [0 if 0 in robbed else -1] * n, {i: {} for i in robbed}
+            for i in range(1, n):
+                owner[i] = i if i in robbed else owner[parents[i]]
+            for i in suspects:
+                if owner[i] >= 0:
+                    for key in keys[i]:
+                        totals[owner[i]][key] = totals[owner[i]].get(key, 0.0) + weight[i]
+            worst = {i: min(found, key=lambda k: (-found[k], k)) for i, found in totals.items() if found}
+            scopes -= robbed - worst.keys()
+            for i in suspects:
+                if owner[i] in worst:
+                    keys[i].discard(worst[owner[i]])
+        self.dropped = out
+
+    def kept_elements(self) -> set[int] | None:
+        """Roots of the kept text; None if nothing scores."""
+        n, block = len(self.tags), self._blocks()
         own, commas, chars, links = [0] * n, [0] * n, [0] * n, [0] * n
         for element, text in self.events:
             if text and not self.dropped[element]:
@@ -201,9 +340,7 @@ class Page:
         return {0}
 
     def text(self, roots: set[int]) -> str:
-        inside = [i in roots for i in range(len(self.tags))]
-        for i in range(1, len(inside)):
-            inside[i] = inside[i] or inside[self.parents[i]]
+        inside = self._below(roots)
         blocks, current = [], []
         for element, text in self.events:
             if text is None:
@@ -221,8 +358,8 @@ def main_text(source: str | None) -> str:
     """Main text of one page; null and empty pages, and pages of markup only, have none."""
     if not source:
         return ""
-    for names in (True, False):
-        page = Page(source, names)
+    for names, suspects in ((True, True), (False, True), (False, False)):
+        page = Page(source, names, suspects)
         roots = page.kept_elements()
         text = page.text(roots if roots is not None else page.semantic_elements())
         if text:

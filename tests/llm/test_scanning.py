@@ -33,6 +33,53 @@ def test_article_without_furniture():
     assert html_text.main_text(page) == "\n\n".join(want)
 
 
+@pytest.mark.parametrize(
+    "wrapper", ["content-sidebar-wrap", "site has-sidebar", "no-sidebar", "elementor-widget", "with-comments", "ad-free", "widget search-page"]
+)
+def test_names_of_wrappers_do_not_lose_the_article(wrapper):
+    text = f"<p>{PROSE}</p><p>{PROSE}</p>"
+    side = f'<div class="sidebar"><p>{PROSE}</p></div><div id="comments"><p>{PROSE}</p></div>'
+    want = f"{PROSE}\n\n{PROSE}"
+    for inner in (f"<main>{text}</main>", f"<article>{text}</article>", f"<div>{text}{text}</div>"):
+        page = f'<body><h1>Title</h1><p>A tagline of the whole site</p><div class="{wrapper}">{inner}{side}</div></body>'
+        got = html_text.main_text(page)
+        assert got.count(PROSE) == page.count(PROSE) - 2, (inner, got)
+        assert want in got
+
+
+@pytest.mark.parametrize("around", ["<main>{}</main>", "<div>{}</div>", "<article>{}</article>"])
+def test_a_name_on_every_block_means_nothing(around):
+    block = '<div class="elementor-widget elementor-widget-text-editor"><div class="elementor-widget-container">{}</div></div>'
+    title = block.replace("text-editor", "heading").format("<h2>Part</h2>")
+    blocks = [f"{i} {PROSE}" for i in range(6)]
+    page = "<body><h1>Title</h1>" + around.format(title + "".join(block.format(f"<p>{x}</p>") for x in blocks))
+    got = html_text.main_text(page + f'<div class="sidebar"><p>{PROSE}</p></div></body>')
+    assert [x for x in got.split("\n\n") if x != "Title"] == ["Part", *blocks]
+
+
+def test_sections_and_headings_of_an_article_stay():
+    page = f"""<body><article><h1>T</h1><p>{PROSE}</p><section id="related-work"><h2 id="search-results">Found</h2><p>1 {PROSE}</p>
+    </section><section class="comments"><p>{PROSE}</p></section><div class="related"><p>{PROSE}</p></div></article></body>"""
+    assert html_text.main_text(page) == f"T\n\n{PROSE}\n\nFound\n\n1 {PROSE}"
+
+
+def test_comments_go_though_they_outweigh_the_article():
+    comments = f'<div class="comment"><p>{PROSE}</p></div>' * 20
+    for post in (f"<article><p>1 {PROSE}</p></article>", f"<div><p>1 {PROSE}</p><p>2 {PROSE}</p><p>3 {PROSE}</p></div>"):
+        got = html_text.main_text(f'<body>{post}<div id="comments">{comments}</div></body>')
+        assert got == "\n\n".join(f"{i} {PROSE}" for i in range(1, 1 + post.count("<p>")))
+    assert html_text.main_text(f"<body><h1>Thread</h1>{comments}</body>").count(PROSE) == 20
+    related = '<div class="related"><article><p>A short teaser, with a comma.</p></article></div>'
+    assert html_text.main_text(f"<main><article>{f'<p>{PROSE}</p>' * 5}</article>{related}</main>") == "\n\n".join([PROSE] * 5)
+
+
+def test_many_and_deep_suspects_end():
+    for name in ("comment", "widget"):
+        assert html_text.main_text(f'<div class="{name}">' * 20_000 + PROSE) == PROSE
+    page = "".join(f'<article><div class="widget"><p>{i} {PROSE}</p></div></article>' for i in range(3000))
+    assert html_text.main_text(page).count(PROSE) == 3000
+
+
 def test_scoring_finds_the_container_without_semantic_tags():
     links = "".join(f'<a href="{i}">Link, number {i}, of a long list of links</a> ' for i in range(30))
     page = f"<body><div><div>{links}</div><div><p>{PROSE}</p><p>{PROSE}</p><p>tail</p></div></div></body>"
