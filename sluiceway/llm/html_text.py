@@ -40,8 +40,8 @@ CLOSES = {
     "th": {"td", "th"}, "option": {"option"}, "thead": {"tr"}, "tbody": {"thead", "tr"}, "tfoot": {"tbody", "tr"},
 }
 SCOPE = frozenset("table ul ol dl div section article body main blockquote select".split())
-FURNITURE = frozenset("nav footer aside form button select dialog menu head label fieldset".split())
-FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
+FURNITURE = frozenset("nav footer button select menu head".split())
+FURNITURE_ROLES = frozenset("navigation contentinfo menu menubar".split())
 SUSPECT = frozenset("aside dialog form fieldset label".split())
 SUSPECT_ROLES = frozenset("banner complementary search dialog alert form".split())
 FURNITURE_NAMES = frozenset(

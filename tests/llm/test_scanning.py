@@ -80,6 +80,22 @@ def test_many_and_deep_suspects_end():
     assert html_text.main_text(page).count(PROSE) == 3000
 
 
+@pytest.mark.parametrize("tag", ["form id='aspnetForm' method='post'", "fieldset", "dialog open", "aside", "div role='form'", "form><fieldset"])
+def test_a_tag_around_the_page_does_not_lose_it(tag):
+    small = f"<form><label>Find <b>words</b></label><input name='q'><select><option>all</select><button>Go</button><p>{PROSE}</p></form>"
+    for title in ("", "<h1>Title</h1>"):
+        for inner in ("<div>{}</div>", "<article>{}</article>", "<main>{}</main>", "{}"):
+            text = "".join(f"<p>{i} {PROSE}</p>" for i in range(4))
+            got = html_text.main_text(f"<body>{title}<{tag}>{inner.format(text)}<aside>{PROSE}</aside>{small}</{tag.split()[0]}></body>")
+            assert [x for x in got.split("\n\n") if x != "Title"] == [f"{i} {PROSE}" for i in range(4)], (title, inner)
+
+
+def test_short_text_of_a_form_page():
+    assert html_text.main_text("<body><form><label>Name</label><h1>Title</h1><p>Short.</p><button>Go</button></form></body>") == "Title\n\nShort."
+    assert html_text.main_text("<h1>Title</h1><form><label>Name</label><p>Short.</p></form>") == "Title\n\nShort."
+    assert html_text.main_text("<body><form><label>Find</label><input><button>Go</button></form></body>") == ""
+
+
 def test_scoring_finds_the_container_without_semantic_tags():
     links = "".join(f'<a href="{i}">Link, number {i}, of a long list of links</a> ' for i in range(30))
     page = f"<body><div><div>{links}</div><div><p>{PROSE}</p><p>{PROSE}</p><p>tail</p></div></div></body>"
