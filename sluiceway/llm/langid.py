@@ -5,26 +5,29 @@ proportions; sets of one, two, ... languages, by falling proportion, are compare
 each language, and the growing set is kept while it pays.
 
 N-gram likelihoods come from rows whose crc32(doc_id) mod 5 is not 0, on a bounded sample: of each language the
-SAMPLE_ROWS rows with the smallest hash of their id, and of those the texts of at most SAMPLE_CHARS.
+SAMPLE_ROWS texts of at most SAMPLE_CHARS with the smallest hash of their id.  If there are fewer, longer texts fill up,
+shortest first, while the language's sample stays within SAMPLE_TOTAL characters; a language that would have none takes its
+shortest text, up to SAMPLE_TOTAL.  More than MAX_LANGUAGES languages are refused, as the model (128 KB each) is broadcast.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sluiceway.llm.ngrams import grams
-from sluiceway.llm.toxicity import held_out
+from sluiceway.llm.toxicity import choose, held_out
 
 BITS = 14
 LOW, HIGH = 1, 3
 SAMPLE_ROWS = 800
 SAMPLE_CHARS = 20_000
+SAMPLE_TOTAL = 4_000_000
+MAX_LANGUAGES = 256
 SMOOTHING = 0.5
 ROUNDS = 12
 PENALTY = 6.0  # log-likelihood a further language must add, per log of the n-gram count
@@ -42,12 +45,18 @@ def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(texts: list[str], langs: list[str]) -> tuple[list[str], np.ndarray]:
     """Language names and their log-likelihoods of every bucket."""
-    names = sorted(set(langs))
-    counts = np.full((len(names), 1 << BITS), SMOOTHING)
-    for text, lang in zip(texts, langs):
+    return fit_rows(zip(texts, langs))
+
+
+def fit_rows(rows: Iterable[tuple[str, str]]) -> tuple[list[str], np.ndarray]:
+    """`fit` of (text, lang) one by one; only counts are kept."""
+    counts: dict[str, np.ndarray] = {}
+    for text, lang in rows:
         buckets, n = bag(text)
-        counts[names.index(lang), buckets] += n
-    return names, np.log(counts / counts.sum(axis=1, keepdims=True))
+        counts.setdefault(lang, np.full(1 << BITS, SMOOTHING))[buckets] += n
+    names = sorted(counts)
+    table = np.array([counts[x] for x in names]).reshape(len(names), 1 << BITS)
+    return names, np.log(table / table.sum(axis=1, keepdims=True))
 
 
 def proportions(logs: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
@@ -103,27 +112,29 @@ def predict(text: str | None, names: list[str], logs: np.ndarray) -> tuple[str,
     return names[main], min(1.0, found[main]), ",".join(f"{names[i]}:{p:.3f}" for i, p in found.items())
 
 
-def training_sample(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> list:
-    """(text, lang) of the bounded sample; chosen by id first, so that texts move only once chosen."""
-    known = docs.select("doc_id", "lang").where("lang IS NOT NULL AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id")))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows)
-    chosen = chosen.select("doc_id").distinct()
-    texts = docs.select("doc_id", "text", "lang").where(F.length("text").between(1, chars)).where("lang IS NOT NULL")
-    found = texts.join(F.broadcast(chosen), "doc_id", "left_semi")
-    return found.orderBy("doc_id", "lang", "text").select("text", "lang").collect()
+def training_sample(
+    docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, total: int = SAMPLE_TOTAL, languages: int = MAX_LANGUAGES
+) -> DataFrame:
+    """(text, lang) of the bounded sample; chosen by narrow columns, so that texts move only once chosen."""
+    if docs.select("lang").where("lang IS NOT NULL").distinct().limit(languages + 1).count() > languages:
+        raise ValueError(f"more than {languages} languages")
+    known = docs.select("doc_id", "lang", F.length("text").alias("size")).where("lang IS NOT NULL AND doc_id IS NOT NULL AND size > 0")
+    chosen = choose(known.where(~held_out(F.col("doc_id"))), "lang", rows, chars, total)
+    texts = docs.select("doc_id", "lang", "text", F.length("text").alias("size"))
+    found = texts.join(F.broadcast(chosen), ["doc_id", "lang", "size"], "left_semi")
+    found = found.withColumn("text", F.substring("text", 1, max(chars, total)))
+    return found.orderBy("doc_id", "lang", "text").select("text", "lang")
 
 
 def language_of(docs: DataFrame) -> DataFrame:
     """One row per input row: doc_id, held_out, lang_pred, score, languages.
 
     score is the proportion of lang_pred in the text's mixture, `languages` the whole mixture.  Null texts, texts
-    without letters, and all texts when there is nothing to learn from are 'und' with score 0.  Whole texts are
-    read; rows are independent, repeated rows are predicted alike.  Null lang values are not learned from; other
+    without letters, and all texts when there is nothing to learn from are 'und' with score 0.  More than MAX_LANGUAGES
+    lang values are an error.  Whole texts are read; rows are independent, repeated rows are predicted alike.  Null lang values are not learned from; other
     columns are not read.
     """
-    sample = training_sample(docs)
-    names, logs = fit([r["text"] for r in sample], [r["lang"] for r in sample])
+    names, logs = fit_rows(training_sample(docs).toLocalIterator())
     shared = docs.sparkSession.sparkContext.broadcast(logs)  # 128 KB per language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,8 +4,10 @@ A word is the mean of the vectors of its character n-grams (3 to 6, with its bou
 shares most of its vector with known ones.  A passage is the mean of WINDOW consecutive words and goes
 through the softmax; a text scores as its most toxic passage, so length does not dilute it.
 
-Only rows whose crc32(doc_id) mod 5 is not 0 are learned from, on a bounded sample: of each label
-the SAMPLE_ROWS rows with the smallest hash of their id, and of those the texts of at most SAMPLE_CHARS.
+Only rows whose crc32(doc_id) mod 5 is not 0 are learned from, on a bounded sample: of each label the SAMPLE_ROWS
+texts of at most SAMPLE_CHARS with the smallest hash of their id.  If there are fewer, longer texts fill up, shortest
+first, while the label's sample stays within SAMPLE_TOTAL characters.  A label that would have none takes its
+shortest text, up to SAMPLE_TOTAL.
 Scoring reads whole texts of all rows.
 """
 
@@ -27,6 +29,7 @@ LOW, HIGH = 3, 6
 WINDOW = 3
 SAMPLE_ROWS = 1500
 SAMPLE_CHARS = 8000
+SAMPLE_TOTAL = 4_000_000
 SEED = 5
 
 
@@ -151,12 +154,25 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> list:
-    """(text, label) of the bounded sample; chosen from the narrow label table, then looked up."""
+def choose(known: DataFrame, group: str, rows: int, chars: int, total: int) -> DataFrame:
+    """Rows (doc_id, group, size) of the bounded sample: short texts by hash of the id, then long ones by size."""
+    long = F.col("size") > chars
+    order = Window.partitionBy(group).orderBy(F.when(long, F.col("size")).otherwise(0), F.xxhash64("doc_id"), "doc_id", "size")
+    chosen = known.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows)
+    so_far = F.sum("size").over(Window.partitionBy(group).orderBy("place"))
+    chosen = chosen.withColumn("so_far", so_far).where(~long | (F.col("place") == 1) | (F.col("so_far") <= total))
+    return chosen.select("doc_id", group, "size").distinct()
+
+
+def training_sample(
+    docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, total: int = SAMPLE_TOTAL
+) -> list:
+    """(text, label) of the bounded sample; chosen by narrow columns, so that texts move only once chosen."""
     known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", "toxic").where(~held_out(F.col("doc_id")))
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows)
-    found = docs.select("doc_id", "text").where(F.length("text").between(1, chars)).join(F.broadcast(chosen), "doc_id")
+    sizes = docs.select("doc_id", F.length("text").alias("size")).where("size > 0")
+    chosen = choose(sizes.join(known.distinct(), "doc_id"), "toxic", rows, chars, total)
+    texts = docs.select("doc_id", "text", F.length("text").alias("size"))
+    found = texts.join(F.broadcast(chosen), ["doc_id", "size"]).withColumn("text", F.substring("text", 1, max(chars, total)))
     return found.orderBy("doc_id", "text", "toxic").select("text", "toxic").collect()
 
 

@@ -277,6 +277,36 @@ def test_odd_languages(make_docs):
     assert langid.language_of(docs.limit(0)).collect() == []
 
 
+def test_long_texts_are_learned_from_where_short_ones_are_few(spark, make_docs):
+    cat, chat = "the cat sat on the mat and then it ran ", "le chat est sur la table avec nous "
+    docs = make_docs([(i, cat, "en", "s") for i in range(30)] + [(i, chat * 700, "fr", "s") for i in range(30, 36)] + [(99, chat, None, None)])
+    assert {r["doc_id"]: r["lang_pred"] for r in langid.language_of(docs).collect()}[99] == "fr"
+    clean, bad = ["good day to you all", "what a nice garden"], "you stupid moron there "
+    rows = [(i, clean[i % 2]) for i in range(40)] + [(i, bad * 400) for i in range(40, 60)]
+    labels = spark.createDataFrame([(i, int(i >= 40)) for i in range(60)], "doc_id long, toxic int")
+    found = {r["doc_id"]: r["predicted"] for r in toxicity.toxicity(make_docs([*rows, (99, bad)]), labels).collect()}
+    assert found[99] == 1 and found[0] == found[1] == 0
+
+
+def test_samples_are_filled_up_and_bounded(make_docs):
+    rows = [(i, "x" * size, lang, "s") for i, (size, lang) in enumerate([(0, "a"), (9, "a"), (12, "a"), (30, "a"), (5, "a"), (50, "b"), (40, "b")] * 20)]
+    docs = make_docs([*rows, *((1000 + i, None, "a", "s") for i in range(50))])
+    ids = {i for i, *_ in rows if zlib.crc32(str(i).encode()) % 5}
+
+    def sizes(**bounds):
+        found = langid.training_sample(docs, chars=10, **bounds).collect()
+        return {x: sorted(len(r["text"]) for r in found if r["lang"] == x) for x in "ab"}
+
+    usable = sorted(len(t) for i, t, lang, _ in rows if i in ids and lang == "a" and t)
+    short = sum(x <= 10 for x in usable)
+    assert sizes(rows=short, total=0)["a"] == usable[:short]
+    assert sizes(rows=10**6, total=10**6)["a"] == usable
+    assert sizes(rows=short + 2, total=10**6)["a"] == usable[: short + 2]
+    assert sizes(rows=5, total=85)["b"] == [40, 40] and sizes(rows=5, total=25)["b"] == [25]
+    with pytest.raises(ValueError):
+        langid.training_sample(docs, languages=1)
+
+
 def test_unseen_spellings_are_toxic(spark, make_docs):
     rng = random.Random(4)
     vocabulary = ["".join(rng.choices("abcdehilnorstu", k=rng.randrange(2, 9))) for _ in range(300)]
