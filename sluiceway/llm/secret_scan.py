@@ -60,6 +60,16 @@ def _always(match: re.Match) -> bool:
     return True
 
 
+# Line ends and slashes may be escaped, as in JSON and env files.  Header lines (encrypted keys, PGP) come before the key.
+_KEY_END = r"(?:\s|\\+[rn\s])"
+_KEY_HEADER = (
+    rf"{_KEY_END}*+(?:(?:Proc-Type|DEK-Info):\x20?[^\s\\]++(?={_KEY_END})"
+    rf"|[A-Za-z][A-Za-z0-9-]*+:(?:(?!-----)[^\r\n\\]|\\(?!\\*[rn\s]))*+(?={_KEY_END}))"
+)
+PRIVATE_KEY = re.compile(
+    rf"-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----(?:{_KEY_HEADER})*+"
+    r"(?:[A-Za-z0-9+/=\s]|\\+[rn/\s])++-----END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----"
+)
 HEX = re.compile(r"[0-9a-f]{24,}")
 # Order matters: spans that start together are listed in this order.  The first two and hex are the base kinds.
 KINDS = (
@@ -75,7 +85,7 @@ KINDS = (
     Kind("forge_token", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), re.compile(r"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])"), _token_with_crc),
     Kind("package_token", ("npm_",), re.compile(r"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])"), _token_with_crc),
     Kind("web_token", ("eyj",), re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{16,}"), _json_header),
-    Kind("private_key", ("-----begin ",), re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----"), _always),
+    Kind("private_key", ("-----begin ",), PRIVATE_KEY, _always),
 )
 BASE_KINDS = ("assign", "access", "hex")
 

@@ -230,6 +230,36 @@ def test_checksums_decide():
     assert secret_scan.redact(None) is None
 
 
+HEADERS = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B2C3D\n\n"
+KEY = "MIIEow/IBAAKCAQEA+z\nnrQ9==\n"
+
+
+@pytest.mark.parametrize(
+    ("kind", "body"),
+    [
+        ("RSA PRIVATE KEY", f"\n{KEY}"), ("PRIVATE KEY", f"\r\n{KEY}"), ("RSA PRIVATE KEY", f"\n{HEADERS}{KEY}"),
+        ("RSA PRIVATE KEY", f" {' '.join(HEADERS.split(chr(10)))} {KEY}"), ("PGP PRIVATE KEY BLOCK", f"\n\n{KEY}=aB1/\n"),
+        ("PGP PRIVATE KEY BLOCK", f"\nVersion: GnuPG v2.0 (\\Linux)\nComment: a, b - c\n\n{KEY}=aB1/\n"),
+    ],
+)
+def test_forms_of_private_keys(kind, body):
+    key = f"-----BEGIN {kind}-----{body}-----END {kind}-----"
+    for form in (key, key.replace("\n", "\\n"), key.replace("\n", "\\\\n"), key.replace("\n", "\\\n"), key.replace("\r\n", "\n").replace("\n", "\\r\\n")):
+        if form != key and "\\Linux" in key:
+            form = form.replace("\\Linux", "Linux")
+        text = f'{{"k": "{form}"}} {form}'
+        assert secret_scan.redact(text) == '{"k": "[private_key]"} [private_key]', form
+
+
+def test_no_private_keys():
+    for text in (
+        "-----BEGIN PUBLIC KEY-----\nMIIE\n-----END PUBLIC KEY-----", "-----BEGIN PRIVATE KEY----------END PRIVATE KEY-----",
+        "-----BEGIN PRIVATE KEY-----\nsee: the manual\nwith words, and so on\n-----END PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----\nMIIE",
+        "-----BEGIN PRIVATE KEY-----" * 20_000, "-----BEGIN PRIVATE KEY-----" + "\\" * 100_000, "-----BEGIN PRIVATE KEY-----" + "a: b\n" * 100_000,
+    ):
+        assert secret_scan.redact(text) == text
+
+
 def test_secret_rows(spark, make_docs):
     docs = make_docs([(1, "token: abcdefgh"), (1, "token: abcdefgh"), (2, None), (None, ""), (3, "w " * 200_000 + "secret=abcdef")], ("spans",))
     found = {r["doc_id"]: (r["n_assign"], r["spans"]) for r in secret_scan.secret_spans(docs).collect()}
