@@ -95,28 +95,26 @@ STREAMS_SQL = f"""WITH {b.RAW} SELECT {', '.join(tx.KEYS)}, CASE WHEN {_LATE} TH
 def _header_only(spark: SparkSession, sf: str) -> DataFrame:
     """A delivery with a file that holds a header and nothing else; then nothing is pending."""
     mirror, landing = open_mirror(spark, scratch_dir(spark, "mirror")), scratch_dir(spark, "landing")
-    unload_csv(b.txn_raw(spark, sf).select(*tx.KEYS), f"{landing}/full", single_file=True)
+    unload_csv(b.txn_raw(spark, sf).select(*tx.KEYS), f"{landing}/full")
     spark.createDataFrame([(",".join(tx.KEYS),)], "value string").coalesce(1).write.text(f"{landing}/empty")
     files = [r.path for r in list_files(spark, landing).where("path LIKE '%.csv' OR path LIKE '%.txt'").select("path").collect()]
     found = load_csv(spark, mirror, files, {"BATCH_ID": "one"}, base=landing)
     pending = len(pending_files(spark, landing, mirror))
-    items = mirror.items().select(F.substring_index("item", "/", 1).alias("folder"), "rows")
-    return items.withColumns({"files": F.lit(found.files).cast("bigint"), "pending": F.lit(pending).cast("bigint")})
+    items = mirror.items().groupBy(F.substring_index("item", "/", 1).alias("folder")).agg(F.sum("rows").alias("rows"))
+    # The full files count as one, however many tasks wrote them.
+    loaded = found.files - sum(f.endswith(".csv") for f in files) + 1
+    return items.withColumns({"files": F.lit(loaded).cast("bigint"), "pending": F.lit(pending).cast("bigint")})
 
 
 def _quoted_comma(spark: SparkSession, sf: str) -> DataFrame:
     """Two headers that read alike once joined: one name with a comma, and two names."""
     mirror, landing = open_mirror(spark, scratch_dir(spark, "mirror")), scratch_dir(spark, "landing")
     o = b.table(spark, sf, "orders")
-    line = F.concat_ws(",", "o_orderkey", "o_custkey").alias("value")
-    for name, header, rows in [
-        ("two", '"a,b",c', o.where("o_orderkey % 2 = 0").select(line)),
-        ("three", "a,b,c", o.where("o_orderkey % 2 <> 0").select(F.concat_ws(",", line, F.lit("x")).alias("value"))),
-    ]:
-        # The header first: one partition, in order.
-        head = spark.createDataFrame([(header,)], "value string")
-        head.union(rows).coalesce(1).write.text(f"{landing}/{name}")
-    files = [r.path for r in list_files(spark, landing, "*.txt").select("path").collect()]
+    key, customer = F.col("o_orderkey"), F.col("o_custkey")
+    unload_csv(o.where("o_orderkey % 2 = 0").select(key.alias("a,b"), customer.alias("c")), f"{landing}/two")
+    three = o.where("o_orderkey % 2 <> 0").select(key.alias("a"), customer.alias("b"), F.lit("x").alias("c"))
+    unload_csv(three, f"{landing}/three")
+    files = [r.path for r in list_files(spark, landing, "*.csv").select("path").collect()]
     load_csv(spark, mirror, files, {"BATCH_ID": "one"}, base=landing)
     keyed = mirror.read().withColumn("text", F.to_json("RAW_DATA"))
     return keyed.select(

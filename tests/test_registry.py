@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import oracle
-from sluiceway.registry import all_queries
+from sluiceway.registry import all_queries, base, state
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,3 +29,13 @@ def test_matches_sql(spark, con, name):
     rows = [tuple(r) for r in result.collect()]
     assert rows, "no rows to compare"
     assert oracle.compare(rows, result.columns, entry.oracle_sql()[name], con) is None
+
+
+@pytest.mark.parametrize(("name", "files"), [("quoted_comma_headers", 6), ("header_only_files", 4)])
+def test_preparation_writes_in_parallel(spark, con, monkeypatch, name, files):
+    table, load, seen = base.table, state.load_csv, []
+    monkeypatch.setattr(base, "table", lambda *a: table(*a).repartition(3))
+    monkeypatch.setattr(state, "load_csv", lambda spark, mirror, paths, *a, **k: seen.append(len(paths)) or load(spark, mirror, paths, *a, **k))
+    result = entry.queries()[name](spark, SF)
+    assert oracle.compare([tuple(r) for r in result.collect()], result.columns, entry.oracle_sql()[name], con) is None
+    assert seen == [files]
