@@ -211,6 +211,11 @@ def _batch_profile(spark: SparkSession, sf: str) -> DataFrame:
     return b.plain(batch_profile(b.txn_raw(spark, sf), "_BATCH_ID", "TXN_ID", "_LOADED_AT", ["ACCOUNT_ID"]))
 
 
+def _batch_profile_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys that repeat within and across batches, so that distinct keys are fewer than rows."""
+    return b.plain(batch_profile(b.txn_multi(spark, sf), "_BATCH_ID", "TXN_ID", "_LOADED_AT", ["l_suppkey"]))
+
+
 QUERIES = {
     "gate1_metrics": Query(_gate1, f"WITH {b.DIRTY}, {GATE1_SQL} SELECT * FROM gate1"),
     "gate1_verdict": Query(
@@ -247,4 +252,11 @@ QUERIES = {
         strftime(min(_LOADED_AT), '%Y-%m-%d %H:%M:%S') AS earliest_load,
         strftime(max(_LOADED_AT), '%Y-%m-%d %H:%M:%S') AS latest_load FROM txn_raw GROUP BY _BATCH_ID""",
     ),
+    "batch_profile_repeats": Query(
+        _batch_profile_repeats,
+        f"""WITH {b.MULTI} SELECT _BATCH_ID, count(*) AS total_rows, count(DISTINCT TXN_ID) AS distinct_keys,
+        count(DISTINCT l_suppkey) AS "distinct_l_suppkey",
+        strftime(min(_LOADED_AT), '%Y-%m-%d %H:%M:%S') AS earliest_load,
+        strftime(max(_LOADED_AT), '%Y-%m-%d %H:%M:%S') AS latest_load FROM txn_multi GROUP BY _BATCH_ID""",
+    ),
 }

@@ -39,3 +39,8 @@ def test_preparation_writes_in_parallel(spark, con, monkeypatch, name, files):
     result = entry.queries()[name](spark, SF)
     assert oracle.compare([tuple(r) for r in result.collect()], result.columns, entry.oracle_sql()[name], con) is None
     assert seen == [files]
+
+
+def test_a_profile_meets_repeated_keys(spark):
+    rows = entry.queries()["batch_profile_repeats"](spark, SF).collect()
+    assert rows and all(0 < r["distinct_keys"] < r["total_rows"] for r in rows)
