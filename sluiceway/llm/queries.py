@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import digest_index, html_text, langid, minhash, mixing, packing, quality, secret_scan, toxicity, warc
+from sluiceway.llm import (
+    digest_index, fill_middle, filter_audit, html_text, langid, minhash, mixing, packing, quality, secret_scan, toxicity,
+    vector_join, warc,
+)
 from sluiceway.llm import pipeline_sql as sql
 from sluiceway.llm.text import read_table
 from sluiceway.session import scratch_dir
@@ -53,6 +56,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(spark, f"{sf_dir}/documents.parquet", read_table(spark, sf_dir, "labels"))
+
+
+def op12_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_join.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.middle_digests(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_mixing": op2_mixing,
@@ -64,6 +79,9 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_langid": op9_langid,
     "op10_toxicity": op10_toxicity,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_vector_dedup": op12_vector_dedup,
+    "op13_fill_middle": op13_fill_middle,
 }
 
 ORACLE_SQL = {
@@ -73,4 +91,7 @@ ORACLE_SQL = {
     "op5_packing": sql.PACKING_SQL,
     "op6_quality": sql.QUALITY_SQL,
     "op7_warc": sql.WARC_SQL,
+    "op11_filter_audit": filter_audit.oracle_query(),
+    "op12_vector_dedup": vector_join.oracle_query(),
+    "op13_fill_middle": fill_middle.oracle_query(),
 }
