@@ -105,7 +105,7 @@ def run_phases(spark) -> tuple[dict[str, float], int]:
         raise RuntimeError("repeated keys were not found")
 
     phase("phase2_gate1", gate_with_repeats)
-    store.audit.add("TDQ_RESULTS", BATCH_ID="second", LAYER="ML", PASSED=True)
+    store.approve("second")
     phase("phase2_transform", lambda: cycle.stage_new_rows(store))
     phase("phase2_gate2", lambda: gates.gate_staging(store, "second"))
 

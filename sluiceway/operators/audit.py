@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import json
-import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.session import path_exists, swap_folder
+from sluiceway.sources.rowlog import RowLog
 
 # The audit tables and their columns.
 AUDIT_SCHEMAS = {
@@ -40,36 +39,29 @@ def utc_now() -> datetime:
 
 
 class AuditLog:
-    """Append-only tables below one folder."""
+    """Append-only tables below one folder; see `RowLog` for how they are stored."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
+    def log(self, name: str) -> RowLog:
+        return RowLog(self.spark, f"{self.path}/{name}", AUDIT_SCHEMAS[name])
+
     def table(self, name: str) -> DataFrame:
-        path = f"{self.path}/{name}"
-        if not path_exists(self.spark, path):
-            return self.spark.createDataFrame([], AUDIT_SCHEMAS[name])
-        return self.spark.read.schema(AUDIT_SCHEMAS[name]).parquet(path)
+        return self.log(name).read()
 
     def append(self, name: str, rows: DataFrame) -> None:
-        """Add rows; columns not given are NULL."""
+        """Add rows; columns not given are NULL.  Now and then this gathers the small files of earlier rows."""
         empty = self.spark.createDataFrame([], AUDIT_SCHEMAS[name])
         typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in empty.schema if f.name in rows.columns])
-        full = empty.unionByName(typed, allowMissingColumns=True)
-        full.coalesce(1).write.mode("append").parquet(f"{self.path}/{name}")
+        self.log(name).append(empty.unionByName(typed, allowMissingColumns=True))
 
     def delete_where(self, name: str, condition: Column) -> None:
-        """Remove matching rows; the rest is written to a new folder first, and takes the old one's place.
-
-        This also gathers the many small files that single rows leave.
-        """
-        kept = self.table(name).where(~F.coalesce(condition, F.lit(False)))
-        fresh, path = f"{self.path}/{name}.new-{uuid.uuid4().hex}", f"{self.path}/{name}"
-        kept.repartition(1).write.parquet(fresh)
-        swap_folder(self.spark, fresh, path)
+        """Remove matching rows; readers see the table before or after it, never without its rows."""
+        self.log(name).rewrite(lambda rows: rows.where(~F.coalesce(condition, F.lit(False))))
 
     def compact(self, name: str) -> None:
-        self.delete_where(name, F.lit(False))
+        self.log(name).compact()
 
     def add(self, name: str, **values) -> None:
         """Add one row; the key and the time stamp are filled in."""
@@ -82,11 +74,6 @@ class AuditLog:
         one = self.spark.range(1).select(*[c.alias(n) for n, c in columns.items()])
         self.append(name, one)
 
-    def passed_batches(self, layer: str) -> DataFrame:
-        """Batches whose latest result in `layer` is a pass."""
-        latest = latest_results(self.table("TDQ_RESULTS").where(F.col("LAYER") == layer))
-        return latest.where("PASSED").select("BATCH_ID")
-
 
 def latest_results(results: DataFrame) -> DataFrame:
     """Newest row per batch and layer, for all layers in one pass."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -15,6 +16,7 @@ from sluiceway.operators.upsert import Merged, merge_into
 from sluiceway.operators.verdict import GateFailed
 from sluiceway.plans import transactions as tx
 from sluiceway.plans.gates import GateResult, gate_mart, gate_mirror, gate_staging
+from sluiceway.plans.ledger import LOADED, PASSED, STAGED, VERIFIED
 from sluiceway.plans.store import BUCKET, Store
 from sluiceway.sources.listing import pending_files
 from sluiceway.sources.loading import LoadSummary, load_csv, load_parquet
@@ -30,23 +32,22 @@ class CycleResult:
     load: LoadSummary | None = None
     gates: list[GateResult] = field(default_factory=list)
     failed: list[str] = field(default_factory=list)
+    # Batches that earlier runs had left before the end, and what this run made of them.
+    caught_up: list[CycleResult] = field(default_factory=list)
 
 
 def stage_new_rows(store: Store) -> Merged | None:
-    """Typed rows of passed batches not staged yet, merged by key; None if there are none.
+    """Typed rows of the passed deliveries, merged by key; None if there are none.
 
-    What is left to do follows from stored logs, not from load times, so a batch that passes late
-    or a second delivery of a batch is taken up, too.  A late row does not replace a newer one.  The changed keys
-    are noted before they show, for the mart.
+    What is left to do follows from the ledger, not from load times, so a batch that passes late is taken up, and of
+    a batch that was delivered twice just the deliveries that passed.  A late row does not replace a newer one.
+    The changed keys are noted before they show, for the mart.
     """
     row = "_FILE_ROW_NUM"
-    loaded = store.mirror.items().select(F.col("part").alias("batch"), "version").distinct()
-    passed = store.audit.passed_batches("ML")
-    # The batches of this run only.
-    waiting = [r[0] for r in tx.not_staged(loaded, passed, store.staged_deliveries()).collect()]
+    waiting = store.waiting(PASSED)
     if not waiting:
         return None
-    mirror = tx.mirror_keys(store.mirror.read().where(F.col("_BATCH_ID").isin(waiting)), row)
+    mirror = tx.mirror_keys(store.mirror.read(set(waiting)), row)
     accepted = tx.accepted_rows(tx.typed_rows(mirror, row))
     rows = latest_per_key(accepted, ["TXN_ID"], tx.newest_first(row)).drop(row)
 
@@ -56,7 +57,7 @@ def stage_new_rows(store: Store) -> Merged | None:
         store.note_change(new.unionByName(old))
 
     merged = merge_into(store.staging, rows, ["TXN_ID"], carry=["ACCOUNT_ID"], age="_LOADED_AT", ready=note)
-    store.mark_staged(loaded.where(F.col("batch").isin(waiting)))
+    store.ledger.record(waiting, STAGED)
     return merged
 
 
@@ -135,33 +136,59 @@ def run_cycle(
     as_of: datetime | None = None,
     size: str = "",
 ) -> CycleResult:
-    """One run over whatever has landed.  Stops at the first failed gate, after logging it."""
+    """One run over whatever has landed, and over what earlier runs left before the end.
+
+    Every delivery goes on from the state in which the ledger has it, so nothing depends on the run that loaded it.  A batch
+    stops at its first failed gate, after logging it; the others go on.  An error of any kind is logged as a
+    failed run before it is raised.  The result is that of the batch loaded now, or of the last one caught up.
+    """
     began = time.time()
-    files = pending_files(store.spark, landing, store.mirror, f"*.{file_format}")
+    results: dict[str, CycleResult] = {}
+    batch_id, load = (context or {}).get("BATCH_ID"), None
     try:
+        files = pending_files(store.spark, landing, store.mirror, f"*.{file_format}")
         load = LOADERS[file_format](store.spark, store.mirror, files, context, metadata, base=landing)
+        if load.status != "EMPTY":
+            batch_id = load.batch_id
+        _work_off(store, results, as_of, size)
     except Exception as problem:
-        failed = CycleResult("FAILED", (context or {}).get("BATCH_ID"), failed=[f"load: {type(problem).__name__}"])
-        _log_run(store, failed, time.time() - began)
+        broken = results.get(batch_id) or CycleResult("FAILED", batch_id, load)
+        broken.status = "FAILED"
+        broken.failed.append(f"{'run' if load else 'load'}: {type(problem).__name__}")
+        _log_run(store, broken, time.time() - began)
         raise
-    if load.status == "EMPTY":
+    for result in results.values():
+        _log_run(store, result, time.time() - began)
+        if result.status == "SUCCESS":
+            log_timings(store, result.batch_id, size)
+    if not results:
         return CycleResult("EMPTY", load=load)
-    result = CycleResult("RUNNING", load.batch_id, load)
-    try:
-        result.gates.append(gate_mirror(store, load.batch_id, as_of, size))
-        stage_new_rows(store)
-        result.gates.append(gate_staging(store, load.batch_id, size))
+    own = results.pop(batch_id if batch_id in results else next(reversed(results)))
+    own.load, own.caught_up = load, list(results.values())
+    return own
+
+
+def _work_off(store: Store, results: dict[str, CycleResult], as_of: datetime | None, size: str) -> None:
+    """Bring all open deliveries as far as they get; `results` has an entry per batch that was worked on."""
+
+    def attempt(state: str, gate: Callable[[str], GateResult], last: bool = False) -> None:
+        # A few batches at most: those of this run and of runs that broke off.
+        for batch in sorted({b for b, _ in store.waiting(state)}):
+            result = results.setdefault(batch, CycleResult("RUNNING", batch))
+            try:
+                result.gates.append(gate(batch))
+                result.status = "SUCCESS" if last else result.status
+            except GateFailed as stop:
+                result.status, result.failed = "FAILED", stop.failed
+
+    attempt(LOADED, lambda batch: gate_mirror(store, batch, as_of, size))
+    stage_new_rows(store)
+    attempt(STAGED, lambda batch: gate_staging(store, batch, size))
+    if store.waiting(VERIFIED):
         # The refresh belongs to the time of the third gate.
         refreshing = time.time()
         refresh_mart(store)
-        result.gates.append(gate_mart(store, load.batch_id, size, refreshing))
-        result.status = "SUCCESS"
-    except GateFailed as stop:
-        result.status, result.failed = "FAILED", stop.failed
-    _log_run(store, result, time.time() - began)
-    if result.status == "SUCCESS":
-        log_timings(store, load.batch_id, size)
-    return result
+        attempt(VERIFIED, lambda batch: gate_mart(store, batch, size, refreshing), last=True)
 
 
 def _log_run(store: Store, result: CycleResult, seconds: float) -> None:

@@ -17,9 +17,12 @@ from sluiceway.operators.profile import attach, duplicate_metric, fused_metrics
 from sluiceway.operators.reconcile import consistency, table_totals
 from sluiceway.operators.verdict import EmptyBatch, GateFailed, judge
 from sluiceway.plans import transactions as tx
+from sluiceway.plans.ledger import FAILED, PASSED, REJECTED, SERVED, VERIFIED, Delivery
 from sluiceway.plans.store import Store
 
 CHECK_TYPES = {"ML": "TDQ", "STG": "TDQ+BDQ", "SDM": "BDQ"}
+# What a gate makes of the deliveries it saw, by its outcome.
+OUTCOMES = {"ML": (PASSED, FAILED), "STG": (VERIFIED, REJECTED), "SDM": (SERVED, REJECTED)}
 
 
 @dataclass(frozen=True)
@@ -42,21 +45,22 @@ def gate_mirror(store: Store, batch_id: str, as_of: datetime | None = None, size
     """First gate: 17 checks on one batch of the mirror.
 
     Two jobs: the fused metrics of the batch, which also give the bound on its
-    keys, and the key pass against all other batches.
+    keys, and the key pass against all other batches.  The outcome holds for the
+    deliveries the mirror showed at the beginning.
     """
-    began = time.time()
+    began, seen = time.time(), store.deliveries(batch_id)
     rows = tx.mirror_keys(store.mirror.read())
     batch = rows.where(F.col("_BATCH_ID") == batch_id)
     suite = tx.mirror_suite(_literal(as_of))
     first = fused_metrics(batch, [*suite, *KeyBounds.metrics("TXN_ID")]).first()
     if first.TOTAL_ROWS == 0:
-        raise _empty(store.audit, "ML", "mirror", batch_id, began, size)
+        raise _empty(store, "ML", "mirror", batch_id, began, size, seen)
     others = set(store.mirror.live_parts()) - {batch_id}
     history = rows.where(F.col("_BATCH_ID") != batch_id) if others else None
     bounds = KeyBounds.of(first.TOTAL_ROWS, first)
     keys = key_metrics(batch, history, "TXN_ID", bounds, "DUP_TXN_ID_IN_BATCH", "cross_batch_dup_txn_ids")
     values = {**first.asDict(), **keys.first().asDict()}
-    return _conclude(store, "ML", "mirror", batch_id, values, suite, began, size, log_speed=True)
+    return _conclude(store, "ML", "mirror", batch_id, values, suite, began, size, seen, log_speed=True)
 
 
 def gate_staging(store: Store, batch_id: str, size: str = "") -> GateResult:
@@ -65,7 +69,7 @@ def gate_staging(store: Store, batch_id: str, size: str = "") -> GateResult:
     The reference checks read one column each.  Batch ids are parts of both tables,
     so provenance compares their logs and reads no rows.
     """
-    began = time.time()
+    began, seen = time.time(), store.deliveries(batch_id)
     table = store.staging.read()
     batch = table.where(F.col("_BATCH_ID") == batch_id)
     suite = tx.staging_suite()
@@ -81,8 +85,8 @@ def gate_staging(store: Store, batch_id: str, size: str = "") -> GateResult:
     values = metrics.first().asDict()
     values["MISSING_SCHEMA_COLS"] = len(missing_columns(table, tx.KEYS))
     if values["TOTAL_ROWS"] == 0:
-        raise _empty(store.audit, "STG", "staging", batch_id, began, size)
-    return _conclude(store, "STG", "staging", batch_id, values, suite, began, size)
+        raise _empty(store, "STG", "staging", batch_id, began, size, seen)
+    return _conclude(store, "STG", "staging", batch_id, values, suite, began, size, seen)
 
 
 def gate_mart(store: Store, batch_id: str, size: str = "", began: float | None = None) -> GateResult:
@@ -90,7 +94,7 @@ def gate_mart(store: Store, batch_id: str, size: str = "", began: float | None =
 
     `began` is when the refresh before it began, so that the phase holds both.
     """
-    began = began or time.time()
+    began, seen = began or time.time(), store.deliveries(batch_id)
     mart, staging = store.mart_rows(), store.staging.read()
     suite = tx.mart_suite() + tx.consistency_suite()
     batch = fused_metrics(mart.where(F.col("_BATCH_ID") == batch_id), tx.mart_suite()).first()
@@ -100,8 +104,8 @@ def gate_mart(store: Store, batch_id: str, size: str = "", began: float | None =
     ]
     values = {**batch.asDict(), **consistency(*sides).first().asDict()}
     if values["TOTAL_ROWS"] == 0:
-        raise _empty(store.audit, "SDM", "mart", batch_id, began, size)
-    return _conclude(store, "SDM", "mart", batch_id, values, suite, began, size)
+        raise _empty(store, "SDM", "mart", batch_id, began, size, seen)
+    return _conclude(store, "SDM", "mart", batch_id, values, suite, began, size, seen)
 
 
 def _literal(as_of: datetime | None) -> Column:
@@ -114,9 +118,9 @@ def _count(rows: DataFrame, name: str) -> DataFrame:
 
 def _conclude(
     store: Store, layer: str, table: str, batch_id: str, values: dict, suite: list[Check], began: float, size: str,
-    log_speed: bool = False,
+    seen: list[Delivery], log_speed: bool = False,
 ) -> GateResult:
-    """Judge the values, write the audit row whatever the outcome, then stop on failure."""
+    """Judge the values, write the audit row and the ledger whatever the outcome, then stop on failure."""
     checks = judge(values, suite)
     rows, seconds = int(values["TOTAL_ROWS"]), time.time() - began
     result = GateResult(
@@ -124,6 +128,7 @@ def _conclude(
         seconds,
     )
     _log(store.audit, result, size)
+    store.ledger.record(seen, OUTCOMES[layer][0 if result.success else 1])
     if log_speed:
         store.audit.add(
             "PERFORMANCE_BENCHMARKS", LAYER=layer, CHECK_CATEGORY="fused_metrics", ROW_COUNT=rows,
@@ -144,10 +149,13 @@ def _log(audit: AuditLog, result: GateResult, size: str) -> None:
     )
 
 
-def _empty(audit: AuditLog, layer: str, table: str, batch_id: str, began: float, size: str) -> EmptyBatch:
-    audit.add(
+def _empty(
+    store: Store, layer: str, table: str, batch_id: str, began: float, size: str, seen: list[Delivery]
+) -> EmptyBatch:
+    store.audit.add(
         "TDQ_RESULTS", BATCH_ID=batch_id, TABLE_NAME=table, LAYER=layer, CHECK_TYPE=CHECK_TYPES[layer], PASSED=False,
         TOTAL_CHECKS=1, FAILED_COUNT=1, FAILED_DETAILS=["no rows"], ROW_COUNT=0,
         EXECUTION_TIME_SECS=time.time() - began, WAREHOUSE_SIZE=size, SUITE_NAME=f"{table}_{layer.lower()}",
     )
+    store.ledger.record(seen, OUTCOMES[layer][1])
     return EmptyBatch(layer, batch_id)

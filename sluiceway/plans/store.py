@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from sluiceway.operators.audit import AuditLog
+from sluiceway.plans.ledger import FAILED, LOADED, PASSED, Delivery, Ledger
 from sluiceway.plans.transactions import MART_COLUMNS, MART_SCHEMA, STAGING_SCHEMA
-from sluiceway.session import delete_path, list_names, path_exists
+from sluiceway.session import delete_path, list_names
 from sluiceway.sources.mirror import open_mirror
 from sluiceway.sources.tables import PartTable
 
 BUCKET = "_ACCOUNT_BUCKET"
-STAGED_SCHEMA = "batch string, version string"
 CHANGE_SCHEMA = "TXN_ID string, ACCOUNT_ID string, part string"
 CHANGE_COLUMNS = ["TXN_ID", "ACCOUNT_ID", "part"]
 
@@ -65,17 +65,24 @@ class Store:
     def bucket_of(self, account: str = "ACCOUNT_ID") -> Column:
         return F.pmod(F.xxhash64(account), F.lit(self.bucket_count)).cast("string")
 
-    # ---- what was staged, and what the mart still has to take over --------
+    # ---- deliveries, and what the mart still has to take over --------------
 
-    def staged_deliveries(self) -> DataFrame:
-        """(batch, version) of every delivery that went through staging."""
-        path = f"{self.root}/staged"
-        if not path_exists(self.spark, path):
-            return self.spark.createDataFrame([], STAGED_SCHEMA)
-        return self.spark.read.schema(STAGED_SCHEMA).parquet(path)
+    @property
+    def ledger(self) -> Ledger:
+        return Ledger(self.spark, f"{self.root}/ledger")
+
+    def deliveries(self, batch: str | None = None) -> list[Delivery]:
+        """(batch, version) of everything the mirror shows; one entry per delivery."""
+        live = self.mirror.live_parts()
+        return sorted((b, v) for b, versions in live.items() if batch in (None, b) for v in versions)
+
+    def waiting(self, *states: str) -> list[Delivery]:
+        """Deliveries in one of the states."""
+        return self.ledger.among(self.deliveries(), *states)
 
-    def mark_staged(self, deliveries: DataFrame) -> None:
-        deliveries.repartition(1).write.mode("append").parquet(f"{self.root}/staged")
+    def approve(self, batch: str) -> list[Delivery]:
+        """Let the deliveries of a batch pass that no gate has judged yet or that one has stopped."""
+        return self.ledger.record(self.ledger.among(self.deliveries(batch), LOADED, FAILED), PASSED)
 
     def note_change(self, changed: DataFrame) -> None:
         """Keep (TXN_ID, ACCOUNT_ID, part) of a merge that is about to show in staging.

@@ -46,7 +46,7 @@ def _late_batch(spark: SparkSession, sf: str) -> DataFrame:
         files = pending_files(spark, landing, store.mirror, "*.parquet")
         load_parquet(spark, store.mirror, files, {"BATCH_ID": name}, base=landing)
     for name in ["second", "first"]:
-        store.audit.add("TDQ_RESULTS", BATCH_ID=name, LAYER="ML", PASSED=True)
+        store.approve(name)
         stage_new_rows(store)
     return b.plain(store.staging.read().drop("_LOADED_AT", "_FILENAME"))
 
@@ -190,6 +190,64 @@ UNION ALL SELECT 'PIPELINE_RUNS', x, CASE WHEN x IN ('a', 'd') THEN 'SUCCESS' EL
   CAST(CASE x WHEN 'b' THEN 1 WHEN 'c' THEN 0 ELSE 2 END AS BIGINT), '' FROM n"""
 
 
+# ---- runs that broke off -------------------------------------------------------
+
+
+def _crash_after_load(spark: SparkSession, sf: str) -> DataFrame:
+    """A run dies right after its load; the next one, with files of its own, takes both batches to the mart."""
+    store, landing = _store(spark, sf), scratch_dir(spark, "landing")
+    first, second = _halves(spark, sf)
+    unload_parquet(first, f"{landing}/first")
+    files = pending_files(spark, landing, store.mirror, "*.parquet")
+    load_parquet(spark, store.mirror, files, {"BATCH_ID": "first"}, base=landing)
+    unload_parquet(second, f"{landing}/second")
+    run_cycle(store, landing, context={"BATCH_ID": "second"})
+    runs = store.audit.table("PIPELINE_RUNS").where("SDM_BDQ_PASSED").select(F.col("BATCH_ID").alias("_BATCH_ID"), F.col("STATUS").alias("run"))
+    return b.plain(store.mart_rows().drop("_LOADED_AT")).join(runs, "_BATCH_ID", "left")
+
+
+CRASH_SQL = f"""WITH {b.RAW}, {b.typed_sql('txn_raw')}, {_NAMED}, {b.mart_sql('named')}
+SELECT {b.MART_SQL.replace(b.time_text('_LOADED_AT') + ', ', '')}, 'SUCCESS' AS run FROM mart"""
+
+
+def _broken_deliveries(spark: SparkSession, sf: str) -> Store:
+    """Batch A passes; a bad second delivery of it is loaded by a run that dies; a good run of batch B follows."""
+    store, landing = _store(spark, sf), scratch_dir(spark, "landing")
+    year = F.year(F.to_date("TXN_DATE"))
+    rows = b.txn_raw(spark, sf).select(*tx.KEYS)
+    unload_parquet(rows.where(year < 1997), f"{landing}/a")
+    run_cycle(store, landing, context={"BATCH_ID": "A"})
+    unload_parquet(rows.where(year == 1997).withColumn("CURRENCY", F.lit("XXX")), f"{landing}/more")
+    files = pending_files(spark, landing, store.mirror, "*.parquet")
+    load_parquet(spark, store.mirror, files, {"BATCH_ID": "A"}, base=landing)
+    unload_parquet(rows.where(year > 1997), f"{landing}/b")
+    run_cycle(store, landing, context={"BATCH_ID": "B"})
+    return store
+
+
+def _ungated_delivery(spark: SparkSession, sf: str) -> DataFrame:
+    """What reached staging: the deliveries that passed, and not the rest of their batch."""
+    return b.plain(_broken_deliveries(spark, sf).staging.read().drop("_LOADED_AT", "_FILENAME"))
+
+
+UNGATED_SQL = f"""WITH {b.RAW}, {b.typed_sql('txn_raw')} SELECT TXN_ID, ACCOUNT_ID, INSTRUMENT_ID,
+  CAST(AMOUNT AS DOUBLE) AS AMOUNT, CURRENCY, {b.day_text('TXN_DATE')}, {b.day_text('SETTLEMENT_DATE')}, STATUS,
+  CASE WHEN year(TXN_DATE) < 1997 THEN 'A' ELSE 'B' END AS _BATCH_ID FROM typed WHERE year(TXN_DATE) <> 1997"""
+
+
+def _delivery_states(spark: SparkSession, sf: str) -> DataFrame:
+    """State of every delivery, with its rows in the mirror."""
+    store = _broken_deliveries(spark, sf)
+    states = store.ledger.latest(store.ledger.log.read()).select("version", "state")
+    sizes = store.mirror.items().groupBy(F.col("part").alias("batch"), "version").agg(F.sum("rows").alias("rows"))
+    return sizes.join(states, "version", "left").select("batch", "state", "rows")
+
+
+STATES_SQL = f"""WITH {b.RAW}, {b.typed_sql('txn_raw')}, y AS (SELECT year(TXN_DATE) AS y FROM typed)
+SELECT 'A' AS batch, 'served' AS state, count(*) AS rows FROM y WHERE y < 1997
+UNION ALL SELECT 'A', 'failed', count(*) FROM y WHERE y = 1997 UNION ALL SELECT 'B', 'served', count(*) FROM y WHERE y > 1997"""
+
+
 # ---- verdicts of all checks ----------------------------------------------------
 
 SHOWN = ["metric", "value", "passed"]
@@ -267,6 +325,9 @@ QUERIES = {
         UNION ALL SELECT 'empty', 0, 2, 0""",
     ),
     "quoted_comma_headers": Query(_quoted_comma, QUOTED_SQL),
+    "crash_after_load": Query(_crash_after_load, CRASH_SQL),
+    "ungated_delivery": Query(_ungated_delivery, UNGATED_SQL),
+    "delivery_states": Query(_delivery_states, STATES_SQL),
     "cycle_after_gate2_stop": Query(_after_stop, STOP_SQL),
     "cycle_results": Query(_cycle_results, RESULTS_SQL),
     "gate1_full": Query(_gate1_full, _gate1_full_sql()),

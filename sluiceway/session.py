@@ -73,16 +73,6 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
 
 
-def swap_folder(spark: SparkSession, fresh: str, path: str) -> None:
-    """Put `fresh` where `path` is; if it dies half way, the old content is still beside it, as `.old`."""
-    files = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    new, now, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path, f"{path}.old"))
-    if files.exists(now):
-        files.rename(now, old)
-    files.rename(new, now)
-    files.delete(old, True)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(_shared_base(spark))

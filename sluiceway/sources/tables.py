@@ -12,7 +12,7 @@ costs what is live now, not what ever happened.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Collection, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,14 +51,20 @@ class PartTable:
         self._data, self._log = f"{self.path}/data", f"{self.path}/log"
         self._stored = StructType([*schema.fields, StructField(VERSION, StringType())])
 
+    # Per path: the log folders read last, and what they say.  Folders are written once, so it holds while they are the same.
+    _known: dict[str, tuple[list[str], tuple]] = {}
+
     # ---- reading ---------------------------------------------------------
 
-    def log(self) -> DataFrame:
-        """Entries since the latest snapshot, and the snapshot itself."""
+    def _log_folders(self) -> list[str]:
         snapshots, entries = list_names(self.spark, f"{self.path}/snapshot"), list_names(self.spark, self._log)
         last = max(snapshots, default="")
         folders = [f"{self.path}/snapshot/{last}"] if last else []
-        folders += [f"{self._log}/{e}" for e in entries if e > last]
+        return folders + [f"{self._log}/{e}" for e in entries if e > last]
+
+    def log(self) -> DataFrame:
+        """Entries since the latest snapshot, and the snapshot itself."""
+        folders = self._log_folders()
         if not folders:
             return self.spark.createDataFrame([], LOG_SCHEMA)
         return self.spark.read.schema(LOG_SCHEMA).parquet(*folders)
@@ -71,8 +77,17 @@ class PartTable:
     def _state(self) -> tuple[dict[str, list[str]], dict[str, set[str]]]:
         """Versions each part shows, and the parts each version wrote.
 
-        One entry per live part and per part a live version wrote, however long the table has existed.
+        One entry per live part and per part a live version wrote, however long the table has existed.  Read anew
+        only when something was published.
         """
+        folders = self._log_folders()
+        known = PartTable._known.get(self.path)
+        if known is None or known[0] != folders:
+            known = PartTable._known[self.path] = folders, self._replayed()
+        live, written = known[1]
+        return {part: list(versions) for part, versions in live.items()}, {v: set(parts) for v, parts in written.items()}
+
+    def _replayed(self) -> tuple[dict[str, list[str]], dict[str, set[str]]]:
         seen = self.log().select("seq", "op", "part", "version").distinct()
         live: dict[str, list[str]] = {}
         written: dict[str, set[str]] = {}
@@ -106,13 +121,17 @@ class PartTable:
     def is_empty(self) -> bool:
         return not self.live_parts()
 
-    def read(self) -> DataFrame:
-        """Current rows.  Columns added to the schema later are NULL in older files."""
+    def read(self, only: Collection[tuple[str, str]] | None = None) -> DataFrame:
+        """Current rows, if wanted `only` those of some (part, version) pairs.
+
+        Columns added to the schema later are NULL in older files.
+        """
         live, written = self._state()
         shown: dict[str, set[str]] = {}
         for part, versions in live.items():
             for version in versions:
-                shown.setdefault(version, set()).add(part)
+                if only is None or (part, version) in only:
+                    shown.setdefault(version, set()).add(part)
         if not shown:
             return self.spark.createDataFrame([], self.schema)
         rows = self.stored(*shown)

@@ -105,7 +105,7 @@ def test_replaced_rows_move_between_accounts(spark, folder):
     unload_parquet(later, f"{landing}/two")
     files = pending_files(spark, landing, store.mirror, "*.parquet")
     load_parquet(spark, store.mirror, files, {"BATCH_ID": "two"}, base=landing)
-    store.audit.add("TDQ_RESULTS", BATCH_ID="two", LAYER="ML", PASSED=True)
+    store.approve("two")
     merged = stage_new_rows(store)
     assert merged.rewritten == ["one"] and merged.replaced.count() == 40
     assert refresh_mart(store) and not refresh_mart(store)
@@ -166,7 +166,7 @@ def test_mart_is_complete_after_a_gate_stop_and_a_crash(spark, folder, monkeypat
             run_cycle(store, landing, context={"BATCH_ID": "four"})
     # Killed between the note and the merge: nothing shows, and the batch is staged later.
     load(spark, store, landing, "five", sample_transactions(spark, 9, TODAY, 400, accounts=7))
-    store.audit.add("TDQ_RESULTS", BATCH_ID="five", LAYER="ML", PASSED=True)
+    store.approve("five")
     with monkeypatch.context() as patch:
         patch.setattr("sluiceway.sources.tables.PartTable.publish", killed)
         with pytest.raises(KeyboardInterrupt):
@@ -185,9 +185,9 @@ def test_batches_that_pass_late_are_staged(spark, folder):
     store, landing = make_store(spark, folder), f"{folder}/in"
     load(spark, store, landing, "one", sample_transactions(spark, 30, TODAY, 0))
     load(spark, store, landing, "two", sample_transactions(spark, 40, TODAY, 20).withColumn("STATUS", F.lit("PENDING")))
-    store.audit.add("TDQ_RESULTS", BATCH_ID="two", LAYER="ML", PASSED=True)
+    store.approve("two")
     assert stage_new_rows(store).arriving == ["two"]
-    store.audit.add("TDQ_RESULTS", BATCH_ID="one", LAYER="ML", PASSED=True)
+    store.approve("one")
     stage_new_rows(store)
     # Of the ten common keys the newer batch's rows stay.
     assert {r[0]: r[1] for r in store.staging.read().groupBy("_BATCH_ID").count().collect()} == {"one": 20, "two": 40}
