@@ -58,6 +58,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
 
 
+def qualified(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The paths with the file system that the session takes where they name none."""
+    home = None
+    found = []
+    for path in paths:
+        if path.startswith("/"):
+            if home is None:
+                root = spark._jvm.org.apache.hadoop.fs.Path("/")
+                home = str(root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(root))
+            path = home.rstrip("/") + path
+        found.append(path)
+    return found
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder, sorted; none if there is no such folder.  Hidden names are left out."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

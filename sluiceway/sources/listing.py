@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,14 @@ def file_path() -> Column:
     return F.url_decode(escaped)
 
 
+def literal(path: str) -> str:
+    """A path under which Spark's readers find just the file or folder of that name.
+
+    Readers take paths for patterns; characters with a meaning there are escaped.
+    """
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def relative_to(path: Column, base: str | None) -> Column:
     """Path below `base`, or the whole path if it lies elsewhere."""
     if not base:
@@ -35,7 +45,7 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFram
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
-        .load(folder)
+        .load(literal(folder))
         .select("path", "length", "modificationTime")
     )
     return found.withColumn("file", relative_to(F.col("path"), folder))

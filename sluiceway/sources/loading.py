@@ -14,9 +14,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from sluiceway.functions.payload import object_of
 from sluiceway.functions.scalars import ISO_DATE, row_hash, token_to_null
-from sluiceway.session import broadcast_bounded, scoped_conf
+from sluiceway.session import broadcast_bounded, qualified, scoped_conf
 from sluiceway.sources.headers import header_groups
-from sluiceway.sources.listing import file_path, log_name
+from sluiceway.sources.listing import file_path, literal, log_name
 from sluiceway.sources.mirror import Lineage, mirror_rows, technical_columns
 from sluiceway.sources.tables import PartTable
 
@@ -51,6 +51,10 @@ def _start(files: list[str] | None, context: dict | None, metadata: dict | None,
     return Lineage(batch_id, context, metadata or {}, loaded_at, user)
 
 
+class FilesDiffer(Exception):
+    """Rows came from files that were not given."""
+
+
 class BatchInUse(Exception):
     """A used batch id was given with files of which only some are in that batch."""
 
@@ -65,13 +69,13 @@ def _finish(
     began: float,
     verify=None,
 ) -> LoadSummary:
-    """Write all groups in one job, publish, and report what the log now says.
+    """Write all groups in one job, compare the files read with those given, publish, and report what the log now says.
 
     A used batch id never replaces silently: other files add to the batch, the files of
     earlier deliveries are a retry of these, and anything between is refused.
     """
     spark, batch = mirror.spark, lineage.batch_id
-    named = spark.createDataFrame([(f,) for f in files], "path string").select(log_name(F.col("path"), base).alias("item"))
+    named = spark.createDataFrame([(f,) for f in qualified(spark, files)], "path string").select(log_name(F.col("path"), base).alias("item"))
     given = {r.item for r in named.collect()}
     earlier: dict[str, set[str]] = {}
     for r in mirror.items().where(F.col("part") == batch).collect():
@@ -83,7 +87,13 @@ def _finish(
     if verify:
         verify()
     logged = named.distinct().select(F.lit(batch).alias("part"), F.lit(version).alias("version"), "item")
-    mirror.publish([version], hide=[(batch, v) for v in same], op="add", given=logged)
+
+    def only_given(entries: DataFrame) -> None:
+        strays = [r.item for r in entries.join(logged, "item", "left_anti").select("item").limit(3).collect()]
+        if strays:
+            raise FilesDiffer(f"rows were read from files that were not given: {strays}")
+
+    mirror.publish([version], hide=[(batch, v) for v in same], op="add", given=logged, check=only_given)
     rows = mirror.items().where(F.col("version") == version).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     return LoadSummary(batch, "LOADED", headers, len(given), rows, time.time() - began)
 
@@ -112,7 +122,7 @@ def load_parquet(
 
 def parquet_payload(spark: SparkSession, files: list[str], lineage: Lineage, base: str | None) -> DataFrame:
     # A file that cannot be read must fail the batch, whatever the session allows.
-    source = spark.read.option("mergeSchema", "true").option("ignoreCorruptFiles", "false").parquet(*files)
+    source = spark.read.option("mergeSchema", "true").option("ignoreCorruptFiles", "false").parquet(*map(literal, files))
     named = {n: F.col(f"`{n}`") for n in source.columns}
     key = lineage.business_key
     technical = technical_columns(
@@ -129,14 +139,14 @@ def parquet_payload(spark: SparkSession, files: list[str], lineage: Lineage, bas
 def compatible_groups(spark: SparkSession, files: list[str]) -> list[list[str]]:
     """One group if the files' schemas merge by name, else one group per footer schema."""
     try:
-        spark.read.option("mergeSchema", "true").parquet(*files)
+        spark.read.option("mergeSchema", "true").parquet(*map(literal, files))
         return [files]
     except Exception as conflict:  # raised by the footer job as an untyped error
         if "CANNOT_MERGE_SCHEMAS" not in str(conflict):
             raise
     # Footers only: no row is read here, and only batches with a conflict get this far.
     with ThreadPoolExecutor(16) as pool:
-        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema.simpleString(), files))
+        schemas = list(pool.map(lambda f: spark.read.parquet(literal(f)).schema.simpleString(), files))
     groups: dict[str, list[str]] = {}
     for file, schema in zip(files, schemas):
         groups.setdefault(schema, []).append(file)
@@ -186,7 +196,7 @@ def _verify(checks: list[tuple[Observation, int]]) -> None:
 def read_csv_fields(spark: SparkSession, files: list[str], width: int, multi_line: bool = False) -> DataFrame:
     """Fields by position as text; short rows end in NULL, extra fields are dropped."""
     schema = StructType([StructField(f"f{i}", StringType()) for i in range(width)])
-    rows = spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=str(multi_line).lower()).csv(files)
+    rows = spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=str(multi_line).lower()).csv([literal(f) for f in files])
     return rows.select(
         *[token_to_null(F.col(n)).alias(n) for n in schema.names],
         file_path().alias("file"),
@@ -243,29 +253,38 @@ def csv_payload(rows: DataFrame, names: list[str], fingerprint: str, lineage: Li
     return mirror_rows(rows, object_of(named), technical)
 
 
-# From the narrowest on: the form a text must have, and the type it then gets.
+# From the narrowest on: the form a text must have, and the type it then gets.  Whole numbers that no integer type
+# holds stay text rather than lose digits.
+_WHOLE = r"^[+-]?[0-9]+\z"
 _FORMS = [
-    (r"^[+-]?[0-9]{1,18}\z", "bigint"),
+    (_WHOLE, "bigint"),
+    (_WHOLE, "decimal(38,0)"),
     (r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z", "double"),
     (ISO_DATE, "date"),
     (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?\z", "timestamp_ntz"),
     (r"^(?i)(true|false)\z", "boolean"),
 ]
+_EXACT_IN_DOUBLE = 1 << 53
 
 
 def infer_types(texts: DataFrame) -> dict[str, str]:
-    """For each text column the narrowest type that all its values convert to; one pass over all rows."""
+    """For each text column the narrowest type that all its values convert to; one pass over all rows.
+
+    A column with whole numbers beyond 2^53 is never a double, which could not tell them apart.
+    """
     counts = []
     for i, name in enumerate(texts.columns):
         value = F.col(f"`{name}`")
         counts.append(F.count(value).alias(f"n{i}"))
+        wide = F.abs(value.try_cast("decimal(38,0)")) > _EXACT_IN_DOUBLE
+        counts.append(F.count_if(value.rlike(_WHOLE) & F.coalesce(wide, F.lit(True))).alias(f"w{i}"))
         for j, (form, kind) in enumerate(_FORMS):
             counts.append(F.count_if(value.rlike(form) & value.try_cast(kind).isNotNull()).alias(f"n{i}_{j}"))
     row = texts.agg(*counts).first()
     found = {}
     for i, name in enumerate(texts.columns):
         fits = [kind for j, (_, kind) in enumerate(_FORMS) if row[f"n{i}"] and row[f"n{i}_{j}"] == row[f"n{i}"]]
-        found[name] = fits[0] if fits else "string"
+        found[name] = next((kind for kind in fits if kind != "double" or not row[f"w{i}"]), "string")
     return found
 
 

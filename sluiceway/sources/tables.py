@@ -171,16 +171,23 @@ class PartTable:
         hide: Iterable[tuple[str, str]] = (),
         op: str = "show",
         given: DataFrame | None = None,
+        check: Callable[[DataFrame], None] | None = None,
     ) -> None:
         """Show the versions' parts, by appending one log entry; empty `drop` parts, hide `hide` (part, version) pairs.
 
         A part that is dropped and written at once ends up written.  `given` (part, version, item) names
-        items to be logged even if they hold no row.
+        items to be logged even if they hold no row.  `check` gets (part, version, item, rows) of what was
+        written and may raise to keep it out.
         """
         seq = self.next_seq()
         item = F.col(self.item) if self.item else F.lit(None).cast("string")
         keys = [F.col(self.part).alias("part"), F.col(VERSION).alias("version"), item.alias("item")]
         entries = self.stored(*versions).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+        if check:
+            path = f"{self.path}/counted/{seq:012d}-{uuid.uuid4().hex}"
+            entries.write.parquet(path)
+            entries = self.spark.read.schema(entries.schema).parquet(path)
+            check(entries)
         if given is not None:
             zero = given.select("part", "version", "item", F.lit(0).cast("bigint").alias("rows"))
             entries = entries.unionByName(zero).groupBy("part", "version", "item").agg(F.sum("rows").alias("rows"))
@@ -192,6 +199,8 @@ class PartTable:
             entries = entries.unionByName(self.spark.createDataFrame(emptied, LOG_SCHEMA))
         # One file, gathered after the counting.
         entries.repartition(1).write.parquet(f"{self._log}/{seq:012d}")
+        if check:
+            delete_path(self.spark, path)
         if seq % SNAPSHOT_EVERY == 0:
             self.snapshot(seq)
 

@@ -2,6 +2,8 @@
 
 import os
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,9 +18,9 @@ from sluiceway.operators.upsert import merge_into
 from sluiceway.operators.verdict import judge, verdicts
 from sluiceway.plans import transactions as tx
 from sluiceway.session import scoped_conf
-from sluiceway.sources.headers import BadHeader, describe_headers, first_lines, header_groups
+from sluiceway.sources.headers import BadHeader, describe_headers, header_groups, line_scans
 from sluiceway.sources.listing import list_files, pending_files
-from sluiceway.sources.loading import BatchInUse, load_csv, load_parquet, read_csv_inferred
+from sluiceway.sources.loading import BatchInUse, FilesDiffer, load_csv, load_parquet, read_csv_inferred
 from sluiceway.sources.mirror import MIRROR_SCHEMA, open_mirror
 from sluiceway.sources.samples import sample_accounts, sample_transactions
 from sluiceway.sources.tables import PartTable
@@ -66,11 +68,79 @@ def test_fingerprint_depends_on_order(spark):
 
 def test_first_lines_of_many_files(spark, folder):
     files = [put(folder, f"f {i}+.csv", f"A,B{i % 3}\n" + "1,2\n" * 5000) for i in range(20)]
-    found = {os.path.basename(f): line for f, line in first_lines(spark, files)}
+    found = {os.path.basename(r.file): r.line for r in lines_of(spark, files)}
     assert found == {f"f {i}+.csv": f"A,B{i % 3}" for i in range(20)}
     assert sorted(len(members) for _, _, members in header_groups(spark, files)) == [6, 7, 7]
 
 
+def lines_of(spark, files):
+    rows = []
+    for settings, lines in line_scans(spark, files):
+        with scoped_conf(spark, settings):
+            rows += lines.collect()
+    return rows
+
+
+def test_headers_of_many_small_files_take_a_task_per_core(spark, folder, monkeypatch):
+    files = [put(folder, f"in/{i}.csv", f"A,B{i % 2}\n1,2\n") for i in range(300)]
+    (settings, lines), = line_scans(spark, files)
+    with scoped_conf(spark, settings):
+        assert lines.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    assert {len(m) for _, _, m in header_groups(spark, files)} == {150}
+    # Large files go by themselves; empty ones have no line.
+    monkeypatch.setattr("sluiceway.sources.headers.SMALL_FILE_BYTES", 100)
+    files[:3] = [put(folder, f"in/big{i}.csv", "A,B0\n" + "1,2\n" * 1000) for i in range(3)]
+    assert len(line_scans(spark, files)) == 2
+    assert sorted(len(m) for _, _, m in header_groups(spark, files)) == [149, 151]
+    with pytest.raises(BadHeader, match="no header row in 1 of 301 files"):
+        header_groups(spark, [*files, put(folder, "in/none.csv", "")])
+
+
+ODD_NAMES = ["a[1]", "a1", "{n}", "n", "x*y", "xzy", "q?", "qq", "b c", "p%41", "pA", "pl+us", "co,ma", "back\\slash", "ü é"]
+
+
+@pytest.mark.parametrize("kind", ["parquet", "csv"])
+def test_files_are_read_by_their_exact_names(spark, folder, kind):
+    files = []
+    for i, name in enumerate(ODD_NAMES):
+        path = f"{folder}/in [0-9]/{name}.{kind}"
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        if kind == "csv":
+            put(folder, f"in [0-9]/{name}.csv", "K\n" + f"{i}\n" * (i + 1))
+        else:
+            pq.write_table(pa.table({"K": [i] * (i + 1)}), path)
+        files.append(path)
+    mirror, landing = open_mirror(spark, f"{folder}/mirror"), f"{folder}/in [0-9]"
+    load = {"parquet": load_parquet, "csv": load_csv}[kind]
+    for some in (files[:1], files[1:]):
+        load(spark, mirror, some, base=landing)
+    rows = mirror.read().select("_FILENAME", value_of("K", "int").alias("k")).groupBy("_FILENAME", "k").count().collect()
+    assert {(r._FILENAME, r.k, r["count"]) for r in rows} == {(f"{n}.{kind}", i, i + 1) for i, n in enumerate(ODD_NAMES)}
+    assert pending_files(spark, landing, mirror) == []
+
+
+def test_rows_of_files_that_were_not_given_are_kept_out(spark, folder, monkeypatch):
+    """Were a path taken for a pattern again, the load would fail instead of loading other files."""
+    monkeypatch.setattr("sluiceway.sources.loading.literal", lambda path: path)
+    for name in ["b[1]", "b1"]:
+        os.makedirs(f"{folder}/in", exist_ok=True)
+        pq.write_table(pa.table({"K": [1, 2]}), f"{folder}/in/{name}.parquet")
+    mirror = open_mirror(spark, f"{folder}/mirror")
+    with pytest.raises(FilesDiffer, match="b1.parquet"):
+        load_parquet(spark, mirror, [f"{folder}/in/b[1].parquet"])
+    assert mirror.is_empty()
+
+
+def test_wide_whole_numbers_keep_their_digits(spark, folder):
+    big, wider, widest = "9223372036854775806", "12345678901234567890", "1" * 39
+    header = "A,B,C,D,E,F\n"
+    rows = f"{big},{wider},{widest},{big},0.5,+7\n-1,1,1,1.5,2,-007\n"
+    back = read_csv_inferred(spark, [put(folder, "w.csv", header + rows)])
+    assert dict(back.dtypes) == {"A": "bigint", "B": "decimal(38,0)", "C": "string", "D": "string", "E": "double", "F": "bigint"}
+    assert {str(r.A) for r in back.collect()} == {big, "-1"} and {str(r.B) for r in back.collect()} == {wider, "1"}
+    assert {r.C for r in back.collect()} == {widest, "1"} and {r.D for r in back.collect()} == {big, "1.5"}
+
+
 def test_null_tokens(spark):
     texts = ["NULL", "", "  ", "N/A", "n/a", "\\N", " NULL ", "null", " x ", "0"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select(blank_to_null(F.col("t")).alias("t"))
@@ -99,7 +169,7 @@ def test_reordered_columns_are_keyed_by_name(spark, folder):
 
 @pytest.mark.parametrize("multi_line", [False, True])
 def test_row_numbers_over_many_blocks(spark, folder, multi_line):
-    files = [put(folder, "in/{n}.csv", "K,V\n" + "".join(f"{i},{'x' * (i % 40)}\n" for i in range(1, n + 1)))
+    files = [put(folder, f"in/{n}.csv", "K,V\n" + "".join(f"{i},{'x' * (i % 40)}\n" for i in range(1, n + 1)))
              for n in (1, 700, 5000)]
     mirror = open_mirror(spark, f"{folder}/mirror")
     with scoped_conf(spark, {"spark.sql.files.maxPartitionBytes": "4096"}):
@@ -177,7 +247,7 @@ def test_unload_limits_file_size(spark, folder):
     assert list_files(spark, f"{folder}/p", "*.parquet").count() == 4
     unload_csv(spark.range(10).select("id", (F.col("id") / 2).alias("half")), f"{folder}/c", single_file=True)
     back = read_csv_inferred(spark, [r.path for r in list_files(spark, f"{folder}/c", "*.csv").collect()])
-    assert back.dtypes == [("id", "int"), ("half", "double")] and back.count() == 10
+    assert back.dtypes == [("id", "bigint"), ("half", "double")] and back.count() == 10
 
 
 # ---- stored tables ----------------------------------------------------------
