@@ -57,14 +57,14 @@ def payload_of_line_items(spark):
 
 def run_phases(spark) -> tuple[dict[str, float], int]:
     landing = scratch_dir(spark, "bench-landing")
-    store = Store(spark, scratch_dir(spark, "bench"), b.accounts(spark, SF_DIR), b.instruments(spark, SF_DIR), 16)
+    store = Store(spark, scratch_dir(spark, "bench"), b.accounts(spark, SF_DIR), b.instruments(spark, SF_DIR))
     rows = payload_of_line_items(spark).repartition(16).persist()
     unload_parquet(rows, f"{landing}/a")
     csv_landing = scratch_dir(spark, "bench-csv")
     unload_csv(rows, f"{csv_landing}/a")
     count = rows.count()
     rows.unpersist()
-    csv_store = Store(spark, scratch_dir(spark, "bench"), store.accounts, store.instruments, 16)
+    csv_store = Store(spark, scratch_dir(spark, "bench"), store.accounts, store.instruments)
     took: dict[str, float] = {}
 
     def phase(name, work):

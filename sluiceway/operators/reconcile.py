@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from sluiceway.functions.scalars import elapsed
@@ -31,6 +31,40 @@ def table_totals(rows: DataFrame, prefix: str, amount: str, key: str, dims: tupl
     return attach(small, distinct_count(rows, key, f"{prefix}_DISTINCT_{key}"))
 
 
+def fact_totals(facts: DataFrame, prefix: str, dims: tuple[str, str]) -> DataFrame:
+    """`table_totals` but for the keys, from facts (rows, amount, latest, keys, more_keys per member of the dimensions)."""
+    first, second = dims
+    sums = ["rows", "amount", "keys", "more_keys"]
+    combos = facts.groupBy(first, second).agg(*[F.sum(n).alias(n) for n in sums], F.max("latest").alias("latest"))
+    return combos.agg(
+        F.sum("amount").alias(f"{prefix}_AMOUNT"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias(f"{prefix}_ROWS"),
+        F.max("latest").alias(f"{prefix}_LATEST"),
+        F.count_distinct(first).alias(f"{prefix}_DISTINCT_{first}"),
+        F.count_distinct(second).alias(f"{prefix}_DISTINCT_{second}"),
+        F.sum("keys").alias("keys"),
+        F.sum("more_keys").alias("more_keys"),
+    )
+
+
+def with_key_counts(mart: Row, staging: Row, key: str, mart_rows: DataFrame, staging_rows: DataFrame) -> list[DataFrame]:
+    """Both totals with distinct key counts, as one-row tables.
+
+    Equal row counts and equal sums of two hashes mean equal keys, whose distinct counts do not differ: then the row counts
+    stand for them, as only their difference is judged.  Otherwise the keys of both tables are counted.
+    """
+    spark = mart_rows.sparkSession
+    alike = all(mart[m] == staging[s] for m, s in (("SDM_ROWS", "STG_ROWS"), ("keys", "keys"), ("more_keys", "more_keys")))
+    found = []
+    for total, prefix, rows in ((mart, "SDM", mart_rows), (staging, "STG", staging_rows)):
+        known = {n: v for n, v in total.asDict().items() if n not in ("keys", "more_keys")}
+        name = f"{prefix}_DISTINCT_{key}"
+        known[name] = total[f"{prefix}_ROWS"] if alike else distinct_count(rows, key, name).first()[0]
+        kinds = {f"{prefix}_AMOUNT": "decimal(38,4)", f"{prefix}_LATEST": "timestamp_ntz"}
+        found.append(spark.createDataFrame([tuple(known.values())], ", ".join(f"{n} {kinds.get(n, 'bigint')}" for n in known)))
+    return found
+
+
 def consistency(mart: DataFrame, staging: DataFrame) -> DataFrame:
     """The cross-table metrics, from the two one-row totals.
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.operators.keys import latest_per_key
+from sluiceway.session import delete_path
 from sluiceway.sources.tables import PartTable, require_same_schema
 
 
@@ -27,8 +28,9 @@ def upsert(
 
 @dataclass(frozen=True)
 class Merged:
-    """What a merge did: the rows that came in, the rows they replaced, the parts written for it."""
+    """What a merge did: the version and rows that came in, the rows they replaced, the parts written for it."""
 
+    version: str
     fresh: DataFrame
     replaced: DataFrame
     rewritten: list[str]
@@ -50,20 +52,25 @@ def merge_into(
     rows are looked for once, between the smallest and largest incoming key, reading key, part and
     `carry` columns; what is found is stored.  Parts without a match are neither read in full nor written.
     With `age`, an incoming row does not replace one with a larger value in that column.  `ready` is
-    called with the merge before anything shows.  None if there was nothing to merge.
+    called with the merge before anything shows.  None if there was nothing to merge.  Into an empty table nothing is
+    looked for.  `forget_merge` deletes what was found, when it has been used.
     """
     keys, spark = list(keys), table.spark
     before, live = table.read(), set(table.live_parts())
     staged = table.write(latest_per_key(source, keys, order) if order else source)
-    fresh = table.stored(staged).select(before.columns)
-    hits = _hits(before, fresh, keys, [table.part, *carry, *([age] if age else [])])
+    fresh, orphans = table.stored(staged).select(before.columns), []
+    columns = list(dict.fromkeys([*keys, table.part, *carry, *([age] if age else [])]))
     at = f"{table.path}/merges/{staged}"
-    hits.write.parquet(at)
-    hits = spark.read.schema(hits.schema).parquet(at)
-    if age:
+    if live:
+        _hits(before, fresh, keys, columns).write.parquet(at)
+        hits = spark.read.schema(before.select(columns).schema).parquet(at)
+    else:  # nothing to replace
+        hits = spark.createDataFrame([], before.select(columns).schema)
+    if age and live:
         mine = fresh.select(*keys, F.col(age).alias("_age"))
         newer = hits.join(mine, keys).where(F.col(age) > F.col("_age")).select(*keys)
         if not newer.isEmpty():  # late rows: store what is left of the source
+            orphans.append(staged)
             staged = table.write(fresh.join(newer, keys, "left_anti").select(before.columns))
             fresh = table.stored(staged).select(before.columns)
             hits = hits.join(fresh.select(*keys), keys, "left_semi")
@@ -72,7 +79,7 @@ def merge_into(
     if not arriving:
         return None
     touched = (_parts(hits, table.part) if live else set()) | (live & arriving)
-    merged = Merged(fresh, hits, sorted(touched), sorted(arriving))
+    merged = Merged(staged, fresh, hits, sorted(touched), sorted(arriving))
     if ready:
         ready(merged)
     kept = before.where(F.col(table.part).isin(sorted(touched))).join(fresh.select(*keys), keys, "left_anti")
@@ -83,14 +90,21 @@ def merge_into(
         table.publish([staged, table.write(kept, spread=True)], drop=touched)
     else:
         table.publish([staged])
+    for version in orphans:
+        table.forget(version)
     return merged
 
 
+def forget_merge(table: PartTable, version: str) -> None:
+    """Delete the looked-up rows of a merge once nobody needs them."""
+    delete_path(table.spark, f"{table.path}/merges/{version}")
+
+
 def _hits(before: DataFrame, fresh: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Key and named columns of the stored rows whose key comes in."""
+    """Named columns, the keys among them, of the stored rows whose key comes in."""
     first = keys[0]
     low, high = fresh.agg(F.min(first), F.max(first)).first()
-    wanted = before.select(*dict.fromkeys([*keys, *columns]))
+    wanted = before.select(*columns)
     if low is not None:
         wanted = wanted.where(F.col(first).between(low, high))
     return wanted.join(fresh.select(*keys), keys, "left_semi")

@@ -17,7 +17,7 @@ from sluiceway.operators.verdict import GateFailed
 from sluiceway.plans import transactions as tx
 from sluiceway.plans.gates import GateResult, gate_mart, gate_mirror, gate_staging
 from sluiceway.plans.ledger import LOADED, PASSED, STAGED, VERIFIED
-from sluiceway.plans.store import BUCKET, Store
+from sluiceway.plans.store import MONTH, Store
 from sluiceway.sources.listing import pending_files
 from sluiceway.sources.loading import LoadSummary, load_csv, load_parquet
 from sluiceway.sources.tables import PartTable
@@ -52,36 +52,41 @@ def stage_new_rows(store: Store) -> Merged | None:
     rows = latest_per_key(accepted, ["TXN_ID"], tx.newest_first(row)).drop(row)
 
     def note(merged: Merged) -> None:
-        new = merged.fresh.select("TXN_ID", "ACCOUNT_ID", F.col("_BATCH_ID").alias("part"))
-        old = merged.replaced.select("TXN_ID", "ACCOUNT_ID", F.lit(None).cast("string").alias("part"))
-        store.note_change(new.unionByName(old))
+        store.note_change(merged.version, merged.arriving, merged.replaced)
 
-    merged = merge_into(store.staging, rows, ["TXN_ID"], carry=["ACCOUNT_ID"], age="_LOADED_AT", ready=note)
+    merged = merge_into(store.staging, rows, ["TXN_ID"], carry=["TXN_DATE"], age="_LOADED_AT", ready=note)
     store.ledger.record(waiting, STAGED)
     return merged
 
 
-def _rows_of(table: PartTable, parts: list[str] | None = None) -> int:
-    """Rows of a table, or of its fullest of the given parts, from its log."""
+MOSTLY = 0.6  # share of the mart's rows in changed months from which everything is derived anew
+
+
+def _rows_of(table: PartTable) -> dict[str, int]:
+    """Rows per part of a table, from its log; one entry per part."""
     sizes = table.items().groupBy("part").agg(F.sum("rows").alias("n"))
-    if parts is None:
-        return sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    return sizes.where(F.col("part").isin(parts)).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    return {r.part: r.n for r in sizes.collect()}
+
+
+def _with_month(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(MONTH, F.col("TXN_MONTH").cast("string"))
 
 
 def rebuild_mart(store: Store) -> None:
     """Recompute every row of the mart."""
     notes, gone = store.open_changes(), list(store.mart.live_parts())
-    rows = tx.derive_mart(store.staging.read(), most=_rows_of(store.staging)).withColumn(BUCKET, store.bucket_of())
-    store.mart.replace(rows, drop=gone, spread=True)
+    most = sum(_rows_of(store.staging).values())
+    rows = tx.derive_months(store.staging.read(), most=most)
+    store.mart.replace(_with_month(rows), drop=gone, spread=True)
     store.forget_changes(notes)
 
 
 def refresh_mart(store: Store) -> bool:
     """Bring the mart up to staging, whatever earlier runs left undone; False if nothing was.
 
-    Works off the noted changes: only the buckets of their accounts are read from the mart and rewritten,
-    only the parts that received the rows are read from staging.  A run that dies before the notes are
+    Works off the noted changes: only the months of their rows are read from the mart and rewritten,
+    only the parts that received the rows are read from staging.  If the changed months hold most of the mart, all of
+    it is derived from staging, which saves joining.  A run that dies before the notes are
     dropped repeats the same refresh.
     """
     notes = store.open_changes()
@@ -93,15 +98,23 @@ def refresh_mart(store: Store) -> bool:
     if not notes:
         return False
     changes = store.changes(notes)
-    # Bucket numbers and batch names: one per bucket, and one per part written since the last refresh.
-    hit = [r[0] for r in changes.select(store.bucket_of()).distinct().collect()]
-    parts = [r[0] for r in changes.where("part IS NOT NULL").select("part").distinct().collect()]
-    current = store.staging.read().where(F.col("_BATCH_ID").isin(parts))
-    changed = current.join(changes.select("TXN_ID").distinct(), "TXN_ID", "left_semi")
-    old = store.mart.read().where(F.col(BUCKET).isin(hit)).select(*tx.MART_COLUMNS)
-    most = _rows_of(store.mart, hit) + sum(_rows_of(store.staging, [p]) for p in parts)
-    rows = tx.refresh_affected(old, changed, changes.select("TXN_ID", "ACCOUNT_ID"), most=most)
-    store.mart.replace(rows.withColumn(BUCKET, store.bucket_of()), drop=hit, spread=True)
+    # Versions, batch names and months: one per merge, per part written since the last refresh and per month of its rows.
+    came = changes.where("version IS NOT NULL").select("version", "part").distinct().collect()
+    fresh = store.staging.stored(*{r.version for r in came}).select("TXN_ID", "TXN_DATE")
+    changed = fresh.unionByName(changes.where("TXN_ID IS NOT NULL").select("TXN_ID", "TXN_DATE"))
+    month = F.trunc("TXN_DATE", "month").cast("string")
+    hit = sorted(r[0] for r in changed.select(month).distinct().collect())
+    sizes = _rows_of(store.mart)
+    if sum(sizes.get(m, 0) for m in hit) >= MOSTLY * sum(sizes.values()):
+        rebuild_mart(store)
+        return True
+    keys = changed.select("TXN_ID").distinct()
+    now = store.staging.read().where(F.col("_BATCH_ID").isin(sorted({r.part for r in came}))).join(keys, "TXN_ID", "left_semi")
+    old = store.mart.read().where(F.col(MONTH).isin(hit)).join(keys, "TXN_ID", "left_anti")
+    again = old.select(tx.MONTH_COLUMNS).unionByName(now.select(tx.MONTH_COLUMNS))
+    staged = _rows_of(store.staging)
+    most = max((sizes.get(m, 0) for m in hit), default=0) + sum(staged.get(r.part, 0) for r in came)
+    store.mart.replace(_with_month(tx.derive_months(again, most=most)), drop=hit, spread=True)
     store.forget_changes(notes)
     return True
 

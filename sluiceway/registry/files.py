@@ -331,7 +331,7 @@ def _page(spark: SparkSession, sf: str) -> DataFrame:
 def _cycle_store(spark: SparkSession, sf: str) -> Store:
     """Two deliveries through load, three gates, staging and mart."""
     folder = scratch_dir(spark, "landing")
-    store = Store(spark, scratch_dir(spark, "store"), b.accounts(spark, sf), b.instruments(spark, sf), buckets=8)
+    store = Store(spark, scratch_dir(spark, "store"), b.accounts(spark, sf), b.instruments(spark, sf))
     rows = b.txn_raw(spark, sf)
     later = F.col("_LOADED_AT") >= "1999-01-01"
     for name, part in [("first", rows.where(~later)), ("second", rows.where(later))]:

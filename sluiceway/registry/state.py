@@ -26,7 +26,7 @@ _LATE = f"_LOADED_AT >= TIMESTAMP '{SPLIT} 00:00:00'"
 
 
 def _store(spark: SparkSession, sf: str) -> Store:
-    return Store(spark, scratch_dir(spark, "store"), b.accounts(spark, sf), b.instruments(spark, sf), buckets=8)
+    return Store(spark, scratch_dir(spark, "store"), b.accounts(spark, sf), b.instruments(spark, sf))
 
 
 def _halves(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from sluiceway.session import delete_path, list_names
 
@@ -22,7 +23,7 @@ ROWS_PER_FILE = 1_000_000
 
 
 class RowLog:
-    def __init__(self, spark: SparkSession, path: str, schema: str):
+    def __init__(self, spark: SparkSession, path: str, schema: str | StructType):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
     def _head(self, names: list[str]) -> tuple[str | None, list[str]]:
@@ -54,9 +55,9 @@ class RowLog:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*folders)
 
-    def append(self, rows: DataFrame) -> None:
-        """Add rows of the log's schema; a few at a time, so one file."""
-        rows.coalesce(1).write.parquet(f"{self.path}/rows/{uuid.uuid4().hex}")
+    def append(self, rows: DataFrame, one_file: bool = True) -> None:
+        """Add rows of the log's schema; a few at a time go to one file."""
+        (rows.coalesce(1) if one_file else rows).write.parquet(f"{self.path}/rows/{uuid.uuid4().hex}")
         if len(self._folders()[1]) >= COMPACT_EVERY:
             self.compact()
 

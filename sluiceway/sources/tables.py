@@ -13,12 +13,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Collection, Iterable
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from sluiceway.session import delete_path, list_names, scoped_conf
+from sluiceway.sources.rowlog import RowLog
 
 VERSION = "_VERSION"
 # Timestamps as plain integers: smaller, and with the statistics that let a scan skip row groups.
@@ -43,11 +45,35 @@ def require_same_schema(expected: StructType, actual: StructType) -> None:
         raise SchemaChanged(f"missing={gone} unexpected={new} retyped={moved}")
 
 
+class Facts(NamedTuple):
+    """Statistics that add up: per part, version and members of `by`, the row count and the given sums and maxima."""
+
+    by: tuple[str, ...]
+    sums: dict[str, Column]
+    maxima: dict[str, Column]
+
+    def of(self, rows: DataFrame, *groups: Column) -> DataFrame:
+        found = [F.sum(c).alias(n) for n, c in self.sums.items()] + [F.max(c).alias(n) for n, c in self.maxima.items()]
+        return rows.groupBy(*groups, *self.by).agg(F.count(F.lit(1)).alias("rows"), *found)
+
+    def folded(self, facts: DataFrame, *groups: str) -> DataFrame:
+        """Facts over fewer groups."""
+        found = [F.sum(n).alias(n) for n in ["rows", *self.sums]] + [F.max(n).alias(n) for n in self.maxima]
+        return facts.groupBy(*groups).agg(*found)
+
+
 class PartTable:
-    """A table split by one column; `item` optionally names what a part was loaded from."""
+    """A table split by one column; `item` optionally names what a part was loaded from.
+
+    With `facts`, each publish also counts these over the rows it shows, as they were written, and `read_facts` puts
+    them together, so that totals of the whole table cost a look at a few rows per part.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, schema: StructType, part: str, item: str | None = None):
+    def __init__(
+        self, spark: SparkSession, path: str, schema: StructType, part: str, item: str | None = None, facts: Facts | None = None
+    ):
         self.spark, self.path, self.schema, self.part, self.item = spark, path.rstrip("/"), schema, part, item
+        self.facts = facts
         self._data, self._log = f"{self.path}/data", f"{self.path}/log"
         self._stored = StructType([*schema.fields, StructField(VERSION, StringType())])
 
@@ -107,12 +133,23 @@ class PartTable:
         """Part -> versions it currently shows."""
         return self._state()[0]
 
+    def _shown(self, rows: DataFrame) -> DataFrame:
+        """Those of some (part, version) rows that the table shows."""
+        pairs = [(part, v) for part, versions in self.live_parts().items() for v in versions]
+        return rows.join(self.spark.createDataFrame(pairs, "part string, version string"), ["part", "version"], "left_semi")
+
     def _live_entries(self) -> DataFrame:
         """Log entries of what is shown."""
-        pairs = [(part, v) for part, versions in self.live_parts().items() for v in versions]
-        shown = self.spark.createDataFrame(pairs, "part string, version string")
-        entries = self.log().where("op IN ('show', 'add')")
-        return entries.join(shown, ["part", "version"], "left_semi")
+        return self._shown(self.log().where("op IN ('show', 'add')"))
+
+    def _fact_log(self) -> RowLog:
+        part, version = F.col(self.part).cast("string").alias("part"), F.col(VERSION).alias("version")
+        shape = self.facts.of(self.spark.createDataFrame([], self._stored), part, version).schema
+        return RowLog(self.spark, f"{self.path}/facts", shape)
+
+    def read_facts(self) -> DataFrame:
+        """The facts of all rows shown: part, version, members, rows, sums and maxima."""
+        return self._shown(self._fact_log().read())
 
     def items(self) -> DataFrame:
         """What has been loaded: item, part, version and row count."""
@@ -182,7 +219,10 @@ class PartTable:
         seq = self.next_seq()
         item = F.col(self.item) if self.item else F.lit(None).cast("string")
         keys = [F.col(self.part).alias("part"), F.col(VERSION).alias("version"), item.alias("item")]
-        entries = self.stored(*versions).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+        if self.facts:
+            entries = self._add_facts(versions, keys)
+        else:
+            entries = self.stored(*versions).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
         if check:
             path = f"{self.path}/counted/{seq:012d}-{uuid.uuid4().hex}"
             entries.write.parquet(path)
@@ -204,6 +244,15 @@ class PartTable:
         if seq % SNAPSHOT_EVERY == 0:
             self.snapshot(seq)
 
+    def _add_facts(self, versions: Iterable[str], keys: list[Column]) -> DataFrame:
+        """Count and store the facts of versions about to show; returns their log entries."""
+        versions, log = list(versions), self._fact_log()
+        rows = self.stored(*versions)
+        log.append(self.facts.of(rows, keys[0], keys[1]).select(log.schema.names), one_file=False)
+        mine = log.read().where(F.col("version").isin(versions))
+        counted = mine.groupBy("part", "version").agg(F.sum("rows").alias("rows"))
+        return counted.select("part", "version", F.lit(None).cast("string").alias("item"), "rows")
+
     def snapshot(self, seq: int | None = None) -> None:
         """Write what is shown as one log entry and forget the entries before the previous snapshot."""
         seq = seq if seq is not None else self.next_seq()
@@ -218,6 +267,8 @@ class PartTable:
             entries = entries.unionByName(self.spark.createDataFrame(stale, LOG_SCHEMA))
         before = max(list_names(self.spark, f"{self.path}/snapshot"), default="")
         entries.repartition(1).write.parquet(f"{self.path}/snapshot/{seq:012d}")
+        if self.facts:
+            self._fact_log().rewrite(self._shown)
         # Readers may still hold the previous snapshot and what follows it.
         for kind in ("snapshot", "log"):
             for name in list_names(self.spark, f"{self.path}/{kind}"):
@@ -249,6 +300,10 @@ class PartTable:
         self.publish([version], drop)
         return version
 
+    def forget(self, version: str) -> None:
+        """Delete a version that was written and never shown."""
+        delete_path(self.spark, self._folder(version))
+
     def _folder(self, version: str) -> str:
         return f"{self._data}/{VERSION}={version}"
 

@@ -1,11 +1,13 @@
 """The whole cycle: success, re-run, failing batches, what is logged; and the same by stream."""
 
+import os
 from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from sluiceway.operators.audit import alert_message, utc_now
+from sluiceway.operators.reconcile import fact_totals, table_totals
 from sluiceway.operators.verdict import EmptyBatch, GateFailed
 from sluiceway.plans import transactions as tx
 from sluiceway.plans.cycle import newest_batch, rebuild_mart, refresh_mart, run_cycle, stage_new_rows
@@ -21,7 +23,7 @@ TODAY = "2026-11-30"
 
 
 def make_store(spark, folder):
-    return Store(spark, f"{folder}/store", sample_accounts(spark), sample_instruments(spark), buckets=4)
+    return Store(spark, f"{folder}/store", sample_accounts(spark), sample_instruments(spark))
 
 
 def same_rows(a, b):
@@ -78,7 +80,7 @@ def test_cycle(spark, folder):
         gate_mirror(store, "nothing")
     with pytest.raises(EmptyBatch):
         gate_staging(store, "nothing")
-    poor = Store(spark, store.root, store.accounts.limit(1), store.instruments.limit(1), store.buckets)
+    poor = Store(spark, store.root, store.accounts.limit(1), store.instruments.limit(1))
     with pytest.raises(GateFailed, match="BAD_REF_ACCOUNT.*BAD_REF_INSTRUMENT"):
         gate_staging(poor, "three")
     with pytest.raises(GateFailed, match="loaded_within_7_days"):
@@ -176,9 +178,71 @@ def test_mart_is_complete_after_a_gate_stop_and_a_crash(spark, folder, monkeypat
     assert stage_new_rows(store).arriving == ["five"]
     assert refresh_mart(store)
     assert same_rows(store.mart_rows(), tx.derive_mart(store.staging.read()))
-    # The bucket number is the mart's own.
-    other = Store(spark, store.root, store.accounts, store.instruments, buckets=9)
-    assert other.bucket_count == 4
+
+
+def rows_of(spark, n, first, day, accounts=7, null_account=False):
+    rows = sample_transactions(spark, n, TODAY, first, accounts=accounts)
+    rows = rows.withColumn("TXN_DATE", F.date_add(F.lit(day), (F.substring("TXN_ID", 5, 10).cast("int") % 25)).cast("string"))
+    if null_account:
+        rows = rows.withColumn("ACCOUNT_ID", F.when(F.col("TXN_ID").endswith("3"), F.lit(None)).otherwise(F.col("ACCOUNT_ID")))
+    return rows
+
+
+def test_a_refresh_rewrites_the_changed_months_only(spark, folder):
+    """Late rows, replaced rows that change month, an account that is missing: positions stay those of a full derivation."""
+    store, landing = make_store(spark, folder), f"{folder}/in"
+
+    def stage(name, rows):
+        load(spark, store, landing, name, rows)
+        store.approve(name)
+        stage_new_rows(store)
+
+    # Most of the rows lie in months that nothing changes later.
+    stage("one", rows_of(spark, 900, 5000, "2026-01-01", null_account=True).unionByName(rows_of(spark, 200, 200, "2026-02-02")).unionByName(
+        rows_of(spark, 200, 400, "2026-03-03", null_account=True)).unionByName(rows_of(spark, 200, 600, "2026-04-04")))
+    assert refresh_mart(store)
+    before = store.mart.live_parts()
+    assert len(before) == 4
+    stage("two", rows_of(spark, 30, 1000, "2026-02-01", accounts=9, null_account=True))
+    # A row of April is delivered again, with a date in March.
+    stage("three", rows_of(spark, 1, 610, "2026-03-01").withColumn("AMOUNT", F.lit("7.5")))
+    assert refresh_mart(store) and not refresh_mart(store)
+    after = store.mart.live_parts()
+    assert {m for m in after if after[m] != before[m]} == {"2026-02-01", "2026-03-01", "2026-04-01"}
+    assert same_rows(store.mart_rows(), tx.derive_mart(store.staging.read()))
+    assert os.listdir(f"{folder}/store/changes") == [] and os.listdir(f"{folder}/store/staging/merges") == []
+    stage("four", rows_of(spark, 3, 2000, "2026-04-20"))
+    assert refresh_mart(store)
+    assert store.mart.live_parts()["2026-02-01"] == after["2026-02-01"]
+    assert same_rows(store.mart_rows(), tx.derive_mart(store.staging.read()))
+    store.vacuum()
+    assert same_rows(store.mart_rows(), tx.derive_mart(store.staging.read()))
+
+
+def test_facts_add_up_to_what_the_tables_hold(spark, folder, monkeypatch):
+    """After merges, deletions and snapshots; and the third gate finds a lost row and a changed key by them."""
+    monkeypatch.setattr("sluiceway.sources.tables.SNAPSHOT_EVERY", 3)
+    store, landing = make_store(spark, folder), f"{folder}/in"
+    for i, name in enumerate(["one", "two", "three", "four"]):
+        load(spark, store, landing, name, rows_of(spark, 60, 40 * i, "2026-02-01"))
+        store.approve(name)
+        stage_new_rows(store)
+        refresh_mart(store)
+    store.staging.delete_where(F.col("TXN_ID") == "TXN-0000000007")
+    for table in (store.staging, store.mart):
+        got = fact_totals(table.read_facts(), "T", ("ACCOUNT_ID", "CURRENCY")).drop("keys", "more_keys")
+        want = table_totals(table.read(), "T", "AMOUNT", "TXN_ID", ("ACCOUNT_ID", "CURRENCY"), "_LOADED_AT").drop("T_DISTINCT_TXN_ID")
+        assert got.first() == want.first()
+    with pytest.raises(GateFailed, match="distinct_txn_id_matches_stg: FAILED: value=1.0"):
+        gate_mart(store, "four")
+    rebuild_mart(store)
+    assert gate_mart(store, "four").success
+    # Equal counts and amounts, but another key.
+    one = store.mart.read().where("TXN_ID = 'TXN-0000000009'")
+    other = store.mart.read().withColumn("TXN_ID", F.when(F.col("TXN_ID") == "TXN-0000000009", "TXN-0000000008").otherwise(F.col("TXN_ID")))
+    store.mart.replace(other.where(F.col("_MONTH") == one.first()["_MONTH"]))
+    with pytest.raises(GateFailed, match="distinct_txn_id_matches_stg: FAILED: value=1.0"):
+        gate_mart(store, "four")
 
 
 def test_batches_that_pass_late_are_staged(spark, folder):
