@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from sluiceway.registry import audit, checks, domains, files, keys, reading, staging, state, streams
+from sluiceway.registry import audit, checks, domains, files, guards, keys, reading, staging, state, streams
 from sluiceway.registry.base import Query
 
 
 def all_queries() -> dict[str, Query]:
     found: dict[str, Query] = {}
-    for module in (checks, keys, staging, audit, files, domains, streams, state, reading):
+    for module in (checks, keys, staging, audit, files, domains, streams, state, reading, guards):
         for name, query in module.QUERIES.items():
             if name in found:
                 raise ValueError(f"query {name} is registered twice")

@@ -76,7 +76,23 @@ def _wide_numbers(spark: SparkSession, sf: str) -> DataFrame:
 WIDE_SQL = """SELECT name, kind, CAST(sum(CASE name WHEN 'BROKEN' THEN 1 ELSE o_orderkey END) AS BIGINT) AS total FROM orders,
   (VALUES ('LARGE', 'bigint'), ('WIDER', 'decimal(38,0)'), ('WIDEST', 'string'), ('BROKEN', 'double')) v(name, kind) GROUP BY ALL"""
 
+LIMIT_BYTES = 64 << 10
+
+
+def _bytes_limited(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items unloaded to files of at most so many bytes: whether all rows are there, and whether a file is too large or far too small."""
+    rows, path = b.table(spark, sf, "lineitem"), scratch_dir(spark, "unloaded")
+    unload_parquet(rows, path, max_bytes_per_file=LIMIT_BYTES)
+    sizes = list_files(spark, path, "*.parquet").agg(F.min("length").alias("least"), F.max("length").alias("most"))
+    back = spark.read.parquet(path).agg(F.count("*").alias("rows"), F.sum("l_orderkey").alias("keys"))
+    fits = (F.col("most") <= LIMIT_BYTES) & (F.col("least") >= 0.8 * F.col("most"))
+    return back.select("rows", "keys", sizes.select(fits).scalar().alias("fits"))
+
+
 QUERIES = {
+    "bytes_limited_unload": Query(
+        _bytes_limited, "SELECT count(*) AS rows, CAST(sum(l_orderkey) AS BIGINT) AS keys, TRUE AS fits FROM lineitem"
+    ),
     "odd_file_names": Query(_odd_names, ODD_SQL),
     "csv_row_of_number": Query(_row_of_number, "SELECT o_orderkey AS k, CAST(0 AS BIGINT) AS off FROM orders"),
     "csv_wide_numbers": Query(_wide_numbers, WIDE_SQL),

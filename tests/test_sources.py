@@ -25,6 +25,8 @@ from sluiceway.sources.mirror import MIRROR_SCHEMA, open_mirror
 from sluiceway.sources.samples import sample_accounts, sample_transactions
 from sluiceway.sources.tables import PartTable
 from sluiceway.sources.unload import unload_csv, unload_parquet
+from sluiceway.streaming import gates as stream_gates
+from sluiceway.streaming.gates import KeyRuns
 
 
 def put(folder, name, text, encoding="utf-8"):
@@ -454,3 +456,45 @@ def test_verdicts_on_the_driver_are_the_same(spark):
     fields = ["metric", "category", "source", "value", "low", "high", "passed", "detail"]
     one = {tuple(r[f] for f in fields) for r in judge(values, suite)}
     assert one == {tuple(r[f] for f in fields) for r in verdicts(frame, suite).collect()}
+
+
+def test_key_runs_stay_few_and_survive_a_kill(spark, folder, monkeypatch):
+    """Twenty epochs: bounded folders, every key kept, also when a gathering dies before or after its entry is written."""
+    monkeypatch.setattr(stream_gates, "LOOSE_EPOCHS", 4)
+    runs, want = KeyRuns(f"{folder}/keys"), set()
+    runs.seed(spark.range(5).select(F.concat(F.lit("s"), "id").alias("k")))
+    runs.seed(spark.range(9).select(F.concat(F.lit("never"), "id").alias("k")))
+
+    def keys(epoch):
+        found = runs.folders(spark, epoch)
+        return {r.k for r in spark.read.parquet(*found).select("k").collect()} if found else set()
+
+    want |= {f"s{i}" for i in range(5)}
+    for epoch in range(20):
+        runs.add(spark.createDataFrame([(f"k{epoch}-{i}",) for i in range(3)] + [("same",)], "k string"), epoch)
+        assert keys(epoch) == want
+        if epoch in (7, 13):
+            with monkeypatch.context() as patch:
+                patch.setattr(stream_gates, "delete_path", lambda *a: (_ for _ in ()).throw(Killed()))
+                try:
+                    runs.gather(spark, "k", epoch)
+                except Killed:
+                    pass
+            os.makedirs(f"{folder}/keys/heads/{10**9:012d}", exist_ok=True)
+        else:
+            runs.gather(spark, "k", epoch)
+        assert len(os.listdir(f"{folder}/keys/epochs")) <= 12
+        want |= {f"k{epoch}-{i}" for i in range(3)} | {"same"}
+    assert keys(20) == want and len(os.listdir(f"{folder}/keys/runs")) <= 3
+
+
+def test_files_limited_in_bytes(spark, folder):
+    rows = spark.range(0, 60_000, 1, 3).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    unload_parquet(rows, f"{folder}/u", max_bytes_per_file=400_000)
+    sizes = [r.length for r in list_files(spark, f"{folder}/u", "*.parquet").collect()]
+    assert max(sizes) <= 400_000 and min(sizes) >= 0.8 * 400_000 and len(sizes) > 5
+    assert spark.read.parquet(f"{folder}/u").agg(F.count("*"), F.sum("id")).first() == (60_000, 60_000 * 59_999 // 2)
+    unload_parquet(rows.limit(0), f"{folder}/none", max_bytes_per_file=1000)
+    assert spark.read.parquet(f"{folder}/none").count() == 0
+    with pytest.raises(ValueError, match="rows are too large"):
+        unload_parquet(rows.limit(3), f"{folder}/one", max_bytes_per_file=10)
