@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.llm.graph import connected_components, store
 from sluiceway.llm.skew import attach
-from sluiceway.llm.text import ROW, mix64, shingle_set, wrapped
+from sluiceway.llm.text import ROW, mix64, release_memory, shingle_set, small_batches, wrapped
 from sluiceway.session import fits_broadcast
 
 WIDTH = 5
@@ -74,6 +74,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [ids, pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), pa.array(halves, pa.list_(pa.int64()))],
             ["id", "n", "key", "halves"],
         )
+    release_memory()
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,6 +83,7 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(at, 64)
             sets = [shingle_set(t.as_py(), WIDTH).view(np.int64) for t in part.column(1)]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"])
+    release_memory()
 
 
 def sizes_allow(a: Column, b: Column, threshold: int = THRESHOLD) -> Column:
@@ -166,12 +168,18 @@ def _jobs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     docs = docs.join(clusters, "node")
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4.0 / 3.0)) + 1e-9)
     docs = store(docs.withColumn("size_class", step), "members")
-    blocks = docs.groupBy("cluster", "size_class").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("long").alias("blocks"))
+    blocks = docs.groupBy("cluster", "size_class").agg(
+        F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("long").alias("blocks"), F.count("*").alias("members")
+    )
     above = blocks.select("cluster", (F.col("size_class") - 1).alias("size_class"), F.col("blocks").alias("above"))
     below = blocks.select("cluster", (F.col("size_class") + 1).alias("size_class"), F.col("blocks").alias("below"))
     keys = ["cluster", "size_class"]
     all_blocks = blocks.join(above, keys, "left").join(below, keys, "left").na.fill(0, ["above", "below"])
-    docs = docs.join(all_blocks, keys).withColumn("salt", F.pmod(F.xxhash64("node"), "blocks"))
+    # One class of one cluster may hold most rows, and there are few classes: these go to the rows.
+    place = F.concat_ws(":", *keys).alias("place")
+    facts = store(all_blocks.select(place, "blocks", "above", "below", "members"), "blocks")
+    docs = attach(docs.withColumn("place", place), facts, "place", "members", 64)
+    docs = docs.withColumn("salt", F.pmod(F.xxhash64("node"), "blocks"))
 
     def job(low_class, low, high_class, high, side):
         return F.struct(F.xxhash64("cluster", low_class, low, high_class, high).alias("job"), F.lit(side).alias("side"))
@@ -239,7 +247,8 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     buckets = candidate_tables(classes)
     needed = store(buckets.select(F.col("node").alias("id")).distinct(), "needed")
     sets = _keep_ids(docs, needed).mapInArrow(_full_sets, "id long, shingles array<long>")
-    sets = store(sets.distinct(), "sets")
+    with small_batches(docs.sparkSession):
+        sets = store(sets.distinct(), "sets")
 
     # A centre may have very many members; both joins below are shuffled anew, so that Spark can split them.
     star = buckets.where("node <> centre").where(sizes_allow(F.col("n"), F.col("centre_n")))
@@ -268,11 +277,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Null, empty and blank texts have no shingles and stay alone.  Texts of one shingle set are one class
     and cost one comparison.  Rows that repeat an id are told apart by their texts: each
-    gets the component of its own.  A row with a null id stays alone, with a null component_id and kept true.  An empty table
+    gets the component of its own.  Very long texts are hashed in pieces.  A row with a null id stays alone, with a null component_id and kept true.  An empty table
     gives an empty result.  Other columns are not read.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sketches = store(docs.mapInArrow(_sketches, _SKETCH), "sketches")
+    with small_batches(docs.sparkSession):
+        sketches = store(docs.mapInArrow(_sketches, _SKETCH), "sketches")
     grouped = sketches.where("n > 0 AND id IS NOT NULL").groupBy("key")
     grouped = grouped.agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("halves").alias("halves"))
     classes = store(grouped, "classes")
@@ -295,7 +305,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` without the rows whose id is not the smallest of its component; columns unchanged."""
+    """`docs` without the rows whose id is not the smallest of its component; columns unchanged, whatever their names.
+
+    Null, empty and very long texts, null ids, repeated rows and an empty table are treated as in `near_duplicates`.
+    """
     dropped = near_duplicates(docs, id_col, text_col).where("NOT kept").select(F.col(id_col).alias("id")).distinct()
     dropped = store(dropped, "dropped")
     if fits_broadcast(dropped.count(), 8):

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sluiceway.llm.graph import store
-from sluiceway.llm.text import ROW, words, wrapped
+from sluiceway.llm.text import spare_name, words
 from sluiceway.session import fits_broadcast
 
 BLOCK_ROWS = 1000
@@ -119,7 +119,10 @@ def mixing_plan(
 
 
 def reading_order(plan: DataFrame, id_col: str = "doc_id", source_col: str = "source", seed: int = SEED) -> DataFrame:
-    """One row per copy: id, source, n_tokens, epoch, block, place.  Sorting a source by (epoch, place) reads it."""
+    """One row per copy: id, source, n_tokens, epoch, block, place.  Sorting a source by (epoch, place) reads it.
+
+    Rows that repeat id and source share a place.  A null id is placed like an empty one.  An empty plan gives no rows.
+    """
     copies = plan.where("copies > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
     epoch = F.col("epoch").cast("string")
     block_key = F.md5(F.concat_ws("|", F.lit(str(seed)), epoch, F.col(source_col), F.col("block").cast("string")))
@@ -130,14 +133,19 @@ def reading_order(plan: DataFrame, id_col: str = "doc_id", source_col: str = "so
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
-    """`docs` with every row repeated as the plan says; columns unchanged."""
+    """`docs` with every row repeated as the plan says; columns unchanged, whatever their names.
+
+    Null and empty texts, null sources and ids, repeated rows and an empty table are treated as in `mixing_plan`.  Rows pass
+    as they are, however long: only ids and sources are looked up, and a row is read once for all its copies.
+    """
     plan = mixing_plan(docs, id_col, source_col, text_col, **options).where("copies <> 1")
-    plan = plan.select(F.col(id_col).alias("plan_id"), F.col(source_col).alias("plan_source"), "copies").distinct()
+    own_id, own_source, times, copy = (spare_name(docs, n) for n in ("_id", "_source", "_times", "_copy"))
+    plan = plan.select(F.col(id_col).alias(own_id), F.col(source_col).alias(own_source), F.col("copies").alias(times)).distinct()
     plan = store(plan, "copies")
     if fits_broadcast(plan.count(), 48):
         plan = F.broadcast(plan)
-    rows = wrapped(docs, id=F.col(id_col), source=F.col(source_col))
-    same = rows["id"].eqNullSafe(F.col("plan_id")) & rows["source"].eqNullSafe(F.col("plan_source"))
-    copies = F.coalesce("copies", F.lit(1).cast("long"))
-    times = F.when(copies > 0, F.sequence(F.lit(1).cast("long"), copies))
-    return rows.join(plan, same, "left").select(ROW, F.explode(times).alias("copy")).select(f"{ROW}.*")
+    same = docs[f"`{id_col}`"].eqNullSafe(plan[own_id]) & docs[f"`{source_col}`"].eqNullSafe(plan[own_source])
+    copies = F.coalesce(plan[times], F.lit(1).cast("long"))
+    wanted = docs.join(plan, same, "left").withColumn(times, copies).where(F.col(times) > 0)
+    repeated = wanted.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))))
+    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -130,7 +130,10 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """`docs` without the rows that the rules reject; columns unchanged."""
+    """`docs` without the rows that the rules reject; columns unchanged, whatever their names.
+
+    Null, empty, very long and repeated texts are treated as in `quality_columns`; an empty table stays empty.
+    """
     rows = wrapped(docs, text=F.col(text_col))
     return quality_columns(rows, "text").where("_quality.kept").select(f"{ROW}.*")
 

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
+import hashlib
+import re
 import string
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluiceway.session import scoped_conf
+
 # White space and letter case as the operators' contracts define them: ASCII only.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 DUCKDB_WORDS = r"regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')"
@@ -32,6 +38,28 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def small_batches(spark, rows: int = 512):
+    """Run what writes inside under Arrow batches of few rows: whole texts are wide, and each side holds several batches."""
+    return scoped_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)})
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: workers stay for later stages, and share the executor's limit."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
+
+
+def spare_name(df: DataFrame, name: str) -> str:
+    """`name`, lengthened until `df` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 ROW = "row"
 
 
@@ -71,17 +99,13 @@ def _power_tables(length: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
-def shingle_set(text: str | None, width: int = 5) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's word shingles.
+PIECE = 1 << 18  # bytes of text hashed at a time
+LONG_WORD = 1 << 16  # a longer word is stood for by its digest
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
-    Words are runs of non-space bytes after lower-casing A-Z.  A text with fewer words than
-    `width` has its whole word sequence as the only shingle; a text without words has none.
-    """
-    if not text:
-        return np.empty(0, np.uint64)
-    found = text.encode("utf-8").lower().split()
-    if not found:
-        return np.empty(0, np.uint64)
+
+def _hashes(found: list[bytes], width: int) -> np.ndarray:
+    """Hashes of all runs of `width` words, or of all words if there are fewer."""
     line = np.frombuffer(b" ".join(found), np.uint8)
     up, down = _power_tables(len(line))
     sums = np.empty(len(line) + 1, np.uint64)
@@ -95,3 +119,27 @@ def shingle_set(text: str | None, width: int = 5) -> np.ndarray:
     else:
         starts, ends = starts[: len(starts) - width + 1], ends[width - 1 :]
     return np.unique(mix64((sums[ends] - sums[starts]) * down[starts]))
+
+
+def shingle_set(text: str | None, width: int = 5) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of a text's word shingles.
+
+    Words are runs of non-space bytes after lower-casing A-Z.  A text with fewer words than
+    `width` has its whole word sequence as the only shingle; a text without words has none.  Long texts are
+    hashed in pieces that overlap by width - 1 words, so memory beside the text follows the shingles found.
+    """
+    if not text:
+        return np.empty(0, np.uint64)
+    data = text.encode("utf-8").lower()
+    carried, pieces, at = [], [], 0
+    while at < len(data):
+        stop = _SPACE.search(data, at + PIECE) if len(data) - at > PIECE else None
+        end = stop.start() if stop else len(data)
+        carried += [w if len(w) <= LONG_WORD else b"\0" + hashlib.sha256(w).digest().hex().encode() for w in data[at:end].split()]
+        at = end
+        if len(carried) >= width:
+            pieces.append(_hashes(carried, width))
+            carried = carried[len(carried) - width + 1 :]
+    if not pieces:
+        return _hashes(carried, width) if carried else np.empty(0, np.uint64)
+    return pieces[0] if len(pieces) == 1 else np.unique(np.concatenate(pieces))
