@@ -1,6 +1,7 @@
 """The training-text pipeline: quality rules, exact and near duplicates, source mixture, packing.
 
-Every stage reads all rows its predecessor wrote.
+Every stage reads all rows its predecessor wrote, takes an empty table, and keeps extra columns whatever their names (but the
+last, which returns its own).
 """
 
 from __future__ import annotations
@@ -18,27 +19,39 @@ from sluiceway.llm.pipeline_sql import PIPELINE_SQL  # noqa: E402
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the quality rules accept."""
+    """Rows that the quality rules accept; null, empty and blank texts go, every row is judged on its own."""
     return quality.keep_good(docs)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each text: the one with the largest doc_id."""
-    return digest_index.drop_exact_duplicates(docs, digest_index.fresh_index(spark))
+    """One row of each text: the one with the largest doc_id.
+
+    Null and empty texts are equal; rows that repeat both id and text stay or go together.
+    """
+    index = digest_index.fresh_index(spark)
+    kept = digest_index.drop_exact_duplicates(docs, index)
+    index.close()
+    return kept
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each near-duplicate group: the one with the smallest doc_id."""
+    """One row of each near-duplicate group: the one with the smallest doc_id.
+
+    Texts without words and rows without an id stay.  Very long texts are hashed in pieces.
+    """
     return minhash.drop_near_duplicates(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows repeated so that the sources have their temperature weights; none is left out."""
+    """Rows repeated so that the sources have their temperature weights; none is left out.
+
+    A null source is a source; texts without words are read once; rows that repeat id and source are read together.
+    """
     return mixing.mix(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Batch and slot of every row."""
+    """Batch and slot of every row, also of repeated ones and of those without words."""
     return packing.pack(docs)
 
 
