@@ -27,7 +27,9 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = digest_index.fresh_index(spark).add(read_table(spark, sf_dir, "documents"))
+    index = digest_index.fresh_index(spark)
+    found = index.add(read_table(spark, sf_dir, "documents"))
+    index.close()
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 

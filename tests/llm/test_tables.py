@@ -65,6 +65,60 @@ def test_later_deliveries_and_reopening(spark, make_docs):
     assert again.read().count() == 3
 
 
+def test_a_delivery_that_broke_off_can_be_repeated(spark, make_docs, monkeypatch):
+    """Killed after each append in turn: the repeated delivery keeps what an undisturbed one keeps."""
+    docs = make_docs([(i, f"t{i % 7}") for i in range(40)] + [(None, "t1"), (None, "n")])
+    want = None
+    for die_after in (0, 1, 2, 3, 9):
+        index = digest_index.fresh_index(spark)
+        index.add(make_docs([(500, "T3")]), delivery="before")
+        append, done = digest_index.DigestIndex._append, []
+
+        def dying(self, rows):
+            if len(done) == die_after:
+                raise KeyboardInterrupt
+            done.append(1)
+            append(self, rows)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(digest_index.DigestIndex, "_append", dying)
+            try:
+                index.add(docs, delivery="x")
+            except KeyboardInterrupt:
+                pass
+        found = sorted(str(tuple(r)) for r in index.add(docs, delivery="x").drop("digest").collect())
+        want = want or found
+        assert found == want and index.read().count() == 8
+        assert sum("True" in f for f in found) == 7  # six texts and the one without id; t3 was known
+        kept = digest_index.drop_exact_duplicates(docs, index, delivery="x")
+        assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, 33, 34, 35, 36, 37, 39]
+
+
+@pytest.mark.parametrize("slices", [1, 2, 7])
+def test_slices_do_not_change_what_stays(make_docs, slices):
+    docs = odd_docs(make_docs)
+    index = digest_index.fresh_index(docs.sparkSession)
+    found = index.add(docs, slices=slices).selectExpr("doc_id", "keep_id", "group_size", "kept", "lower(hex(digest)) text_sha256")
+    index.close()
+    assert twin(found, pipeline_sql.exact_sql("d"), d=docs.select("doc_id", "text")) is None
+
+
+def test_the_index_is_dealt_to_more_buckets(spark, make_docs, monkeypatch):
+    path = scratch_dir(spark, "index")
+    monkeypatch.setattr(digest_index, "TEXTS_PER_BUCKET", 1)
+    monkeypatch.setattr(digest_index, "LEAST_BUCKETS", 2)
+    index = digest_index.DigestIndex(spark, path)
+    index.add(make_docs([(i, f"t{i}") for i in range(5)]))
+    assert index.buckets == 5
+    index.rebucket(11)
+    assert sorted(r.keep_id for r in index.read().collect()) == list(range(5))
+    index.close()
+    again = digest_index.DigestIndex(spark, path)
+    assert again.buckets == 11 and again.read().count() == 5
+    assert [r["kept"] for r in again.add(make_docs([(9, "t1"), (8, "u")])).orderBy("doc_id").collect()] == [True, False]
+    again.close()
+
+
 def test_anti_join_reads_the_index_in_its_buckets(spark, make_docs):
     index = digest_index.fresh_index(spark)
     index.add(make_docs([(1, "a"), (2, "b")]))
