@@ -125,6 +125,7 @@ def alert_message(results: DataFrame, as_of: Column, minutes: int = 10) -> DataF
     """One message about the latest failure, or no row if none is recent enough."""
     failed = results.where(~F.col("PASSED"))
     recent = failed.where(F.col("RUN_AT") >= F.timestamp_add("MINUTE", F.lit(-minutes), as_of))
+    # The pieces of the message.
     text = F.concat(
         F.lit("Layer: "), "LAYER",
         F.lit(" | Table: "), "TABLE_NAME",

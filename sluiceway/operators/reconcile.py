@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -31,38 +33,47 @@ def table_totals(rows: DataFrame, prefix: str, amount: str, key: str, dims: tupl
     return attach(small, distinct_count(rows, key, f"{prefix}_DISTINCT_{key}"))
 
 
-def fact_totals(facts: DataFrame, prefix: str, dims: tuple[str, str]) -> DataFrame:
-    """`table_totals` but for the keys, from facts (rows, amount, latest, keys, more_keys per member of the dimensions)."""
+def fact_totals(facts: dict[str, DataFrame], dims: tuple[str, str]) -> dict[str, Row]:
+    """Per prefix the values of `table_totals` but for the keys, from facts (rows, amount, latest, keys, more_keys per member
+    of the dimensions); all tables in one plan.
+    """
     first, second = dims
     sums = ["rows", "amount", "keys", "more_keys"]
-    combos = facts.groupBy(first, second).agg(*[F.sum(n).alias(n) for n in sums], F.max("latest").alias("latest"))
-    return combos.agg(
-        F.sum("amount").alias(f"{prefix}_AMOUNT"),
-        F.coalesce(F.sum("rows"), F.lit(0)).alias(f"{prefix}_ROWS"),
-        F.max("latest").alias(f"{prefix}_LATEST"),
-        F.count_distinct(first).alias(f"{prefix}_DISTINCT_{first}"),
-        F.count_distinct(second).alias(f"{prefix}_DISTINCT_{second}"),
-        F.sum("keys").alias("keys"),
-        F.sum("more_keys").alias("more_keys"),
+    every = [f.select(F.lit(p).alias("side"), *dims, *sums, "latest") for p, f in facts.items()]
+    combos = reduce(DataFrame.unionByName, every).groupBy("side", *dims).agg(
+        *[F.sum(n).alias(n) for n in sums], F.max("latest").alias("latest")
     )
-
-
-def with_key_counts(mart: Row, staging: Row, key: str, mart_rows: DataFrame, staging_rows: DataFrame) -> list[DataFrame]:
-    """Both totals with distinct key counts, as one-row tables.
+    found = combos.groupBy("side").agg(
+        *[F.sum(n).alias(n) for n in sums], F.max("latest").alias("latest"),
+        F.count_distinct(first).alias("first"), F.count_distinct(second).alias("second"),
+    )
+    rows = {r.side: r for r in found.collect()}
+    totals = {}
+    for prefix in facts:
+        r = rows.get(prefix) or Row(rows=0, amount=None, keys=None, more_keys=None, latest=None, first=0, second=0)
+        totals[prefix] = Row(**{
+            f"{prefix}_AMOUNT": r["amount"], f"{prefix}_ROWS": r["rows"], f"{prefix}_LATEST": r["latest"],
+            f"{prefix}_DISTINCT_{first}": r["first"], f"{prefix}_DISTINCT_{second}": r["second"],
+            "keys": r["keys"], "more_keys": r["more_keys"],
+        })
+    return totals
+
+
+def with_key_counts(mart: Row, staging: Row, key: str, mart_rows: DataFrame, staging_rows: DataFrame) -> DataFrame:
+    """Both totals with distinct key counts, as one row.
 
     Equal row counts and equal sums of two hashes mean equal keys, whose distinct counts do not differ: then the row counts
     stand for them, as only their difference is judged.  Otherwise the keys of both tables are counted.
     """
-    spark = mart_rows.sparkSession
     alike = all(mart[m] == staging[s] for m, s in (("SDM_ROWS", "STG_ROWS"), ("keys", "keys"), ("more_keys", "more_keys")))
-    found = []
+    known: dict = {}
     for total, prefix, rows in ((mart, "SDM", mart_rows), (staging, "STG", staging_rows)):
-        known = {n: v for n, v in total.asDict().items() if n not in ("keys", "more_keys")}
+        known |= {n: v for n, v in total.asDict().items() if n not in ("keys", "more_keys")}
         name = f"{prefix}_DISTINCT_{key}"
         known[name] = total[f"{prefix}_ROWS"] if alike else distinct_count(rows, key, name).first()[0]
-        kinds = {f"{prefix}_AMOUNT": "decimal(38,4)", f"{prefix}_LATEST": "timestamp_ntz"}
-        found.append(spark.createDataFrame([tuple(known.values())], ", ".join(f"{n} {kinds.get(n, 'bigint')}" for n in known)))
-    return found
+    kinds = {"AMOUNT": "decimal(38,4)", "LATEST": "timestamp_ntz"}
+    shape = ", ".join(f"{n} {kinds.get(n[4:], 'bigint')}" for n in known)
+    return mart_rows.sparkSession.createDataFrame([tuple(known.values())], shape)
 
 
 def consistency(mart: DataFrame, staging: DataFrame) -> DataFrame:
@@ -73,7 +84,11 @@ def consistency(mart: DataFrame, staging: DataFrame) -> DataFrame:
     """
     # Two rows, each with one side's columns, folded into one.
     stacked = mart.unionByName(staging, allowMissingColumns=True)
-    both = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+    return compared(stacked.agg(*[F.max(c).alias(c) for c in stacked.columns]))
+
+
+def compared(both: DataFrame) -> DataFrame:
+    """The cross-table metrics from one row with both tables' totals."""
     m, s = (lambda n: F.col(f"SDM_{n}")), (lambda n: F.col(f"STG_{n}"))
     zero = F.lit(0)
     return both.select(

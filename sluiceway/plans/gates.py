@@ -14,7 +14,7 @@ from sluiceway.operators.audit import AuditLog, utc_now
 from sluiceway.operators.keys import KeyBounds, key_metrics, keys_without_origin, missing_references
 from sluiceway.operators.modeltests import missing_columns
 from sluiceway.operators.profile import attach, duplicate_metric, fused_metrics
-from sluiceway.operators.reconcile import consistency, fact_totals, with_key_counts
+from sluiceway.operators.reconcile import compared, fact_totals, with_key_counts
 from sluiceway.operators.verdict import EmptyBatch, GateFailed, judge
 from sluiceway.plans import transactions as tx
 from sluiceway.plans.ledger import FAILED, PASSED, REJECTED, SERVED, VERIFIED, Delivery
@@ -100,9 +100,9 @@ def gate_mart(store: Store, batch_id: str, size: str = "", began: float | None =
     mart, staging = store.mart, store.staging
     suite = tx.mart_suite() + tx.consistency_suite()
     batch = fused_metrics(mart.read().where(F.col("_BATCH_ID") == batch_id), tx.mart_suite()).first()
-    sides = [fact_totals(t.read_facts(), p, ("ACCOUNT_ID", "CURRENCY")).first() for t, p in ((mart, "SDM"), (staging, "STG"))]
-    totals = with_key_counts(*sides, "TXN_ID", mart.read(), staging.read())
-    values = {**batch.asDict(), **consistency(*totals).first().asDict()}
+    totals = fact_totals({"SDM": mart.read_facts(), "STG": staging.read_facts()}, ("ACCOUNT_ID", "CURRENCY"))
+    both = with_key_counts(totals["SDM"], totals["STG"], "TXN_ID", mart.read(), staging.read())
+    values = {**batch.asDict(), **compared(both).first().asDict()}
     if values["TOTAL_ROWS"] == 0:
         raise _empty(store, "SDM", "mart", batch_id, began, size, seen)
     return _conclude(store, "SDM", "mart", batch_id, values, suite, began, size, seen)

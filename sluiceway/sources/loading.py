@@ -78,8 +78,9 @@ def _finish(
     named = spark.createDataFrame([(f,) for f in qualified(spark, files)], "path string").select(log_name(F.col("path"), base).alias("item"))
     given = {r.item for r in named.collect()}
     earlier: dict[str, set[str]] = {}
-    for r in mirror.items().where(F.col("part") == batch).collect():
-        earlier.setdefault(r.version, set()).add(r.item)
+    if batch in mirror.live_parts():
+        for r in mirror.items().where(F.col("part") == batch).collect():
+            earlier.setdefault(r.version, set()).add(r.item)
     same = [version for version, items in earlier.items() if items & given]
     if same and set().union(*(earlier[v] for v in same)) != given:
         raise BatchInUse(f"batch {batch} already holds some of these files, but not just these")

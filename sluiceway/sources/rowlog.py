@@ -23,15 +23,21 @@ ROWS_PER_FILE = 1_000_000
 
 
 class RowLog:
+    _seen: dict[str, tuple[str, list[str]]] = {}  # finished heads, which never change
+
     def __init__(self, spark: SparkSession, path: str, schema: str | StructType):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
     def _head(self, names: list[str]) -> tuple[str | None, list[str]]:
         """Base and covered folders of the newest finished head; a head that died half way holds no row."""
         for name in reversed(names):
-            row = self.spark.read.schema(HEAD_SCHEMA).parquet(f"{self.path}/heads/{name}").first()
-            if row:
-                return row.base, list(row.covers)
+            path = f"{self.path}/heads/{name}"
+            if path not in RowLog._seen:
+                row = self.spark.read.schema(HEAD_SCHEMA).parquet(path).first()
+                if not row:
+                    continue
+                RowLog._seen[path] = row.base, list(row.covers)
+            return RowLog._seen[path]
         return None, []
 
     def _names(self, kind: str) -> list[str]:

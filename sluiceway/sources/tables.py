@@ -29,6 +29,7 @@ WRITE_SETTINGS = {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}
 # the version, or all if none is named.  `stale` keeps note of a part that a still-used version also wrote.
 LOG_SCHEMA = "seq bigint, op string, part string, version string, item string, rows bigint"
 SNAPSHOT_EVERY = 20
+_NAMED_PAIRS = 500  # up to so many live (part, version) pairs are named in the plan instead of joined
 
 
 class SchemaChanged(Exception):
@@ -136,6 +137,8 @@ class PartTable:
     def _shown(self, rows: DataFrame) -> DataFrame:
         """Those of some (part, version) rows that the table shows."""
         pairs = [(part, v) for part, versions in self.live_parts().items() for v in versions]
+        if len(pairs) <= _NAMED_PAIRS:
+            return rows.where(F.concat_ws("/", "version", "part").isin([f"{v}/{part}" for part, v in pairs]))
         return rows.join(self.spark.createDataFrame(pairs, "part string, version string"), ["part", "version"], "left_semi")
 
     def _live_entries(self) -> DataFrame:

@@ -230,9 +230,9 @@ def test_facts_add_up_to_what_the_tables_hold(spark, folder, monkeypatch):
         refresh_mart(store)
     store.staging.delete_where(F.col("TXN_ID") == "TXN-0000000007")
     for table in (store.staging, store.mart):
-        got = fact_totals(table.read_facts(), "T", ("ACCOUNT_ID", "CURRENCY")).drop("keys", "more_keys")
-        want = table_totals(table.read(), "T", "AMOUNT", "TXN_ID", ("ACCOUNT_ID", "CURRENCY"), "_LOADED_AT").drop("T_DISTINCT_TXN_ID")
-        assert got.first() == want.first()
+        got = fact_totals({"T": table.read_facts()}, ("ACCOUNT_ID", "CURRENCY"))["T"].asDict()
+        want = table_totals(table.read(), "T", "AMOUNT", "TXN_ID", ("ACCOUNT_ID", "CURRENCY"), "_LOADED_AT").first().asDict()
+        assert {n: v for n, v in got.items() if "keys" not in n} == {n: v for n, v in want.items() if n != "T_DISTINCT_TXN_ID"}
     with pytest.raises(GateFailed, match="distinct_txn_id_matches_stg: FAILED: value=1.0"):
         gate_mart(store, "four")
     rebuild_mart(store)
