@@ -9,7 +9,7 @@ from sluiceway.operators.keys import KeyBounds, key_metrics, keys_without_origin
 from sluiceway.operators.profile import attach, duplicate_metric, fused_metrics
 from sluiceway.operators.verdict import verdicts
 from sluiceway.plans import transactions as tx
-from sluiceway.plans.cycle import run_cycle, stage_new_rows
+from sluiceway.plans.cycle import refresh_mart, run_cycle, stage_new_rows
 from sluiceway.plans.store import Store
 from sluiceway.registry import base as b
 from sluiceway.registry.base import Query
@@ -190,6 +190,30 @@ UNION ALL SELECT 'PIPELINE_RUNS', x, CASE WHEN x IN ('a', 'd') THEN 'SUCCESS' EL
   CAST(CASE x WHEN 'b' THEN 1 WHEN 'c' THEN 0 ELSE 2 END AS BIGINT), '' FROM n"""
 
 
+def _month_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """The mart after a second delivery of the last months; `untouched` months are still shown as the first refresh wrote them."""
+    store, landing = _store(spark, sf), scratch_dir(spark, "landing")
+    rows = b.txn_raw(spark, sf).select(*tx.KEYS)
+    last = F.col("TXN_DATE") >= "2001-05-01"
+    before = {}
+    for name, part in (("first", rows.where(~last)), ("second", rows.where(last))):
+        before = store.mart.live_parts()
+        unload_parquet(part, f"{landing}/{name}")
+        load_parquet(spark, store.mirror, pending_files(spark, landing, store.mirror, "*.parquet"), {"BATCH_ID": name}, base=landing)
+        store.approve(name)
+        stage_new_rows(store)
+        refresh_mart(store)
+    now = store.mart.live_parts()
+    untouched = sum(now[month] == versions for month, versions in before.items())
+    return b.plain(store.mart_rows().drop("_LOADED_AT")).withColumn("untouched", F.lit(untouched).cast("bigint"))
+
+
+MONTHS_SQL = f"""WITH {b.RAW}, {b.typed_sql('txn_raw')}, named AS (SELECT * REPLACE (
+  CASE WHEN TXN_DATE < DATE '2001-05-01' THEN 'first' ELSE 'second' END AS _BATCH_ID) FROM typed), {b.mart_sql('named')}
+SELECT {b.MART_SQL.replace(b.time_text('_LOADED_AT') + ', ', '')},
+  (SELECT count(DISTINCT date_trunc('month', TXN_DATE)) FROM typed WHERE TXN_DATE < DATE '2001-05-01') AS untouched FROM mart"""
+
+
 # ---- runs that broke off -------------------------------------------------------
 
 
@@ -325,6 +349,7 @@ QUERIES = {
         UNION ALL SELECT 'empty', 0, 2, 0""",
     ),
     "quoted_comma_headers": Query(_quoted_comma, QUOTED_SQL),
+    "mart_month_refresh": Query(_month_refresh, MONTHS_SQL),
     "crash_after_load": Query(_crash_after_load, CRASH_SQL),
     "ungated_delivery": Query(_ungated_delivery, UNGATED_SQL),
     "delivery_states": Query(_delivery_states, STATES_SQL),
