@@ -4,9 +4,12 @@ Paragraphs pass points for length and commas to their ancestors; a container's p
 share of its text that is link text; the best container is kept with those siblings that score well
 themselves.  Menus and other furniture, known by tag, role or class, neither score nor appear.  Menus, footers,
 controls and hidden parts always go.  Other tags, roles and names only raise a suspicion: what holds the article or
-main part, or a major share of the page's unlinked paragraph points, alone or with its namesakes, stays.
+main part, or a major share of the page's unlinked paragraph points, alone or with its namesakes, stays.  Elements whose name says
+nothing else ("cookie-notice", "comments", "sidebar") and roles of that kind are certain: they go even from a
+page that holds nothing more, unless an article or main part stands in them.
 
-A page is read once into flat lists (parents before children), so nesting depth costs no recursion.
+A page is read once into flat lists (parents before children), so nesting depth costs no recursion; open elements are
+known by name, so a tag costs the same at any depth.
 """
 
 from __future__ import annotations
@@ -52,6 +55,12 @@ FURNITURE_NAMES = frozenset(
 )
 COMMENTS = frozenset("comment comments commentlist disqus replies respond".split())
 ADVERTS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion".split())
+# A class or id made of these words only, at least one of the first kind, is certain.  A single "comment" is not: it may be a post.
+CERTAIN = COMMENTS - {"comment"} | ADVERTS - {"promo", "promotion"} | frozenset(
+    "cookie cookies consent gdpr login signup newsletter subscribe subscription sidebar share sharing breadcrumb breadcrumbs".split()
+)
+BESIDE = frozenset("comment notice alert banner bar box form list section area block popup modal overlay message panel buttons links left right".split())
+CERTAIN_ROLES = frozenset("complementary dialog alert alertdialog search".split())
 STATES = frozenset("has no with without".split())  # 'has-sidebar' tells of the page, not of the element
 NEVER_FURNITURE = frozenset("html body main h1".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -69,7 +78,11 @@ class Page:
         self.tags, self.parents, self.dropped, self.linked, self.inside = ["html"], [0], [False], [False], [False]
         self.events: list[tuple[int, str | None]] = []  # (element, text), or (element, None) where a block starts or ends
         self.keys: list[set[str]] = [set()]  # why an element may be furniture: <tag>, role= or a word of its names
+        self.certain: list[bool] = [False]
         self.names, self.suspects, stack = names, suspects, [0]
+        self.open_at: dict[str, list[int]] = {}  # places of open elements in the stack, by tag
+        self.scopes: list[int] = []  # and of those that bound a search
+        self.logins: set[int] = set()  # forms that ask for a password
         at, end = 0, len(source)
         for token in _TOKEN.finditer(source):
             if token.start() < at:
@@ -87,10 +100,16 @@ class Page:
                 at = closing.end() if closing else end
             elif tag in VOID:
                 self.events.append((stack[-1], " " if tag != "hr" else None))
+                if tag == "input" and "form" in self.open_at and "password" in token.group(3).lower():
+                    for place in self.open_at["form"]:
+                        self.logins.add(stack[place])
             else:
                 self._open(stack, tag, token.group(3))
         if at < end:
             self._text(stack[-1], source[at:])
+        self.before = self.dropped  # without what is only certain as a whole page tells
+        if any(self.certain) or self.logins:
+            self._drop_certain()
         if suspects and any(self.keys):
             self._judge()
 
@@ -100,13 +119,14 @@ class Page:
 
     def _open(self, stack: list[int], tag: str, attributes: str) -> None:
         if tag in BLOCK:
-            for i in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph
-                name = self.tags[stack[i]]
-                if name == "p" or tag in CLOSES and name in CLOSES[tag]:
-                    del stack[i:]
-                    if name == "p" or tag not in CLOSES:
-                        break
-                elif name in SCOPE:
+            ends = CLOSES.get(tag, frozenset()) | {"p"}  # a block ends an open paragraph
+            while True:
+                bound = self.scopes[-1] if self.scopes else 0
+                place, name = max(((self.open_at[t][-1], t) for t in ends if self.open_at.get(t)), default=(0, ""))
+                if place <= bound:
+                    break
+                self._cut(stack, place)
+                if name == "p" or tag not in CLOSES:
                     break
         parent, index = stack[-1], len(self.tags)
         self.tags.append(tag)
@@ -114,18 +134,29 @@ class Page:
         self.linked.append(tag == "a" or self.linked[parent])
         self.inside.append(tag in ("article", "main") or self.inside[parent])
         self.keys.append(set())
+        self.certain.append(False)
         self.dropped.append(self.dropped[parent] or self._furniture(tag, attributes, self.inside[parent], self.keys[index]))
+        self.open_at.setdefault(tag, []).append(len(stack))
+        if tag in SCOPE:
+            self.scopes.append(len(stack))
         stack.append(index)
         if tag in BLOCK:
             self.events.append((index, None))
 
+    def _cut(self, stack: list[int], place: int) -> None:
+        """Close the elements from a place of the stack on."""
+        while len(stack) > place:
+            tag = self.tags[stack.pop()]
+            self.open_at[tag].pop()
+            if tag in SCOPE:
+                self.scopes.pop()
+
     def _close(self, stack: list[int], tag: str) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if self.tags[stack[i]] == tag:
-                if tag in BLOCK:
-                    self.events.append((stack[i], None))
-                del stack[i:]
-                return
+        if self.open_at.get(tag):
+            place = self.open_at[tag][-1]
+            if tag in BLOCK:
+                self.events.append((stack[place], None))
+            self._cut(stack, place)
 
     def _furniture(self, tag: str, attributes: str, inside: bool, keys: set[str]) -> bool:
         """Whether the element is furniture for certain; else `keys` gets the reasons to suspect it."""
@@ -133,6 +164,7 @@ class Page:
             return True
         if tag in SUSPECT or (tag == "header" and not inside):
             keys.add(f"<{tag}>")
+        certain = False
         if len(attributes) < 5:
             return False
         for name, value in _ATTRIBUTE.findall(attributes):
@@ -142,24 +174,52 @@ class Page:
                     return True
                 if value.lower() in SUSPECT_ROLES:
                     keys.add(f"role={value.lower()}")
+                certain = certain or value.lower() in CERTAIN_ROLES
             elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
                 return True
             elif name == "style":
                 if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                     return True
-            elif self.names and name in ("class", "id") and tag not in NEVER_FURNITURE:
+            elif name in ("class", "id") and tag not in NEVER_FURNITURE:
                 for part in value.split():
                     words = [w.lower() for w in _NAME.findall(part)]
                     if not words or words[0] in STATES:
                         continue
+                    if tag not in ("article", "p") and tag not in HEADINGS:
+                        enough = CERTAIN.intersection(words) or len(words) > 1 and "comment" in words
+                        certain = certain or bool(enough) and CERTAIN.union(BESIDE).issuperset(words)
+                    if not self.names:
+                        continue
                     if tag in ("article", "p"):
                         keys.update({"comment", "comments", "ad", "advert", "sponsored"}.intersection(words))
                     else:
                         keys.update(FURNITURE_NAMES.intersection(words))
                         if not inside and "header" in words:
                             keys.add("header")
+        self.certain[-1] = certain
         return False
 
+    def _drop_certain(self) -> None:
+        """Drops what is furniture for certain, but not what an article or main part with text stands in.
+
+        A form that asks for a password counts if it holds no paragraph.
+        """
+        n, tags = len(self.tags), self.tags
+        chars, longest, block = [0] * n, [0] * n, self._blocks()
+        for element, text in self.events:
+            if text and not self.dropped[element]:
+                chars[element] += len(text.strip())
+                if not self.linked[element] and tags[element] not in ("label", "legend"):
+                    longest[block[element]] += len(text.strip())
+        chars = self._sums(chars, [False] * n)
+        paragraphs = self._sums([int(x >= MIN_PARAGRAPH) for x in longest], [False] * n)
+        holds = [tags[i] in ("article", "main") and chars[i] > 0 for i in range(n)]
+        for i in range(n - 1, 0, -1):
+            holds[self.parents[i]] = holds[self.parents[i]] or holds[i]
+        gone = {i for i in range(n) if self.certain[i] and not holds[i]}
+        gone |= {i for i in self.logins if not holds[i] and not paragraphs[i]}
+        self.dropped = [a or b for a, b in zip(self.dropped, self._below(gone))]
+
     def _blocks(self) -> list[int]:
         """The block that each element's text belongs to."""
         block = list(range(len(self.tags)))
@@ -241,12 +301,13 @@ class Page:
         weight, chars = self._sums(points, self.dropped), self._sums(every, self.dropped)
         for i in range(n):
             keys[i] -= COMMENTS
+        whole = max(self._sums(points, self.before)[0], 0.0)  # shares are of all the page's paragraphs
         suspects = set()
         for i in range(n):
             if keys[i] and not self.dropped[i] and not holds[i]:
                 form = tags[i] in ("form", "fieldset")
                 size = chars if form and not weight[0] else weight
-                if not size[i] or size[i] < (MAJOR_FORM if form else MAJOR) * size[0]:
+                if not size[i] or size[i] < (MAJOR_FORM if form else MAJOR) * (whole if size is weight else size[0]):
                     suspects.add(i)
 
         # A word that stands on most of the text says nothing on this page, unless an article or main part does without it.
@@ -262,7 +323,8 @@ class Page:
         while True:
             suspects = {i for i in suspects if keys[i]}
             out, left = without(suspects)
-            robbed = {i for i in scopes if left[i] < LEFT * weight[i] and (i or not any(left[j] for j in roots))}
+            text_left = self._sums(every, out)
+            robbed = {i for i in scopes if left[i] < LEFT * weight[i] and (i or not any(text_left[j] for j in roots))}
             if not robbed:
                 break
             owner, totals = [0 if 0 in robbed else -1] * n, {i: {} for i in robbed}

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import string
+import time
 import zlib
 
 import duckdb
@@ -73,6 +74,47 @@ def test_comments_go_though_they_outweigh_the_article():
     assert html_text.main_text(f"<main><article>{f'<p>{PROSE}</p>' * 5}</article>{related}</main>") == "\n\n".join([PROSE] * 5)
 
 
+ONLY = [
+    '<div class="cookie-banner"><p>{0}</p></div>', '<div id="comments"><p>{0}</p><p>{0}</p></div>', '<div class="sidebar"><p>{0}</p></div>',
+    '<form><label>The name that you chose for yourself</label><input><input type="password"><button>Log in</button></form>',
+    '<div class="login-form"><p>{0}</p></div>', '<div class="newsletter signup"><p>{0}</p></div>', '<div role="alert"><p>{0}</p></div>',
+    '<section id="comment-list"><p>{0}</p></section>', '<div class="advertisement"><p>{0}</p></div>',
+]
+
+
+@pytest.mark.parametrize("only", ONLY)
+def test_what_is_no_article_for_certain_never_wins(only):
+    """Alone it leaves the page empty; beside a short article, with or without semantic tags, it goes."""
+    furniture = only.format(PROSE)
+    assert html_text.main_text(f"<html><body>{furniture}</body></html>") == ""
+    for short in ("<article><h1>Title</h1><p>Short text.</p></article>", "<main><h1>Title</h1><p>Short text.</p></main>"):
+        for page in (short + furniture * 3, furniture + short, f"<div class='content-sidebar-wrap'>{short}{furniture}</div>"):
+            assert html_text.main_text(f"<body>{page}</body>") == "Title\n\nShort text."
+    plain = '<div id="content"><p>The meeting is on Monday, at nine.</p></div>'
+    assert html_text.main_text(f"<body>{plain}{furniture * 2}</body>") == "The meeting is on Monday, at nine."
+    # What holds the article is never furniture.
+    inside = furniture.replace(PROSE, f"<article><p>{PROSE}</p></article>")
+    if inside != furniture:
+        assert html_text.main_text(f"<body>{inside}</body>").count(PROSE) >= 1
+
+
+def test_a_share_bar_inside_the_main_part_goes():
+    page = f'<main><h1>T</h1><p>{PROSE}</p><section class="share"><p>{PROSE}</p></section></main>'
+    assert html_text.main_text(page) == f"T\n\n{PROSE}"
+
+
+def test_time_grows_with_the_page_not_with_its_depth():
+    def seconds(page):
+        began = time.perf_counter()
+        html_text.main_text(page)
+        return time.perf_counter() - began
+
+    for make in (lambda n: f"<span><p>{PROSE}</p>" * n, lambda n: "<div><b>" * n + "</i></u>" * n, lambda n: "<li><span>" * n):
+        seconds(make(200))
+        small, large = min(seconds(make(1500)) for _ in range(3)), min(seconds(make(12_000)) for _ in range(2))
+        assert large < 8 * small * 3, (small, large)
+
+
 def test_many_and_deep_suspects_end():
     for name in ("comment", "widget"):
         assert html_text.main_text(f'<div class="{name}">' * 20_000 + PROSE) == PROSE
@@ -137,8 +179,8 @@ def test_page_rows(spark):
 # ---- archives ----------------------------------------------------------------
 
 
-def archive(records):
-    writer = warc.ArchiveWriter(f"/tmp/run-warc-{random.random()}")
+def archive(folder, records):
+    writer = warc.ArchiveWriter(f"{folder}/archives")
     for r in records:
         writer.add(r)
     name = writer.close()
@@ -148,10 +190,17 @@ def archive(records):
         return f.read(), path
 
 
+def test_stores_that_tasks_cannot_write_to_are_refused_before_the_job(spark):
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    with pytest.raises(ValueError, match="wasbs: paths"):
+        warc.write_archives(pages, "wasbs://c@a/x")
+    assert warc.check_folder("s3a://bucket/x") and warc.check_folder("/x:y/z") and warc.check_folder("file:/x")
+
+
 @pytest.mark.parametrize("count", [1, 3, 2000])
-def test_records_come_back(count):
+def test_records_come_back(folder, count):
     records = [warc.make_record(i, f"http://h/{i}?a b", (f"<p>page {i}</p>" * (i % 90)).encode(), None) for i in range(count)]
-    data, path = archive(records)
+    data, path = archive(folder, records)
     assert data[:4] == bytes([0x5D, 0x2A, 0x4D, 0x18])
     with pyarrow.fs.LocalFileSystem().open_input_stream(path, compression=None) as f:
         assert list(warc.read_records(f)) == records
@@ -164,8 +213,8 @@ def test_damaged_records_are_noticed():
         warc.parse_record(record.replace(b"payload", b"paylaod"))
 
 
-def test_dictionary_helps():
-    data, _ = archive([warc.make_record(i, "u", f"<html><body><p>{i * 7919}</p></body></html>".encode(), None) for i in range(20_000)])
+def test_dictionary_helps(folder):
+    data, _ = archive(folder, [warc.make_record(i, "u", f"<html><body><p>{i * 7919}</p></body></html>".encode(), None) for i in range(20_000)])
     import zstandard
 
     alone = sum(len(zstandard.compress(warc.make_record(i, "u", f"<html><body><p>{i * 7919}</p></body></html>".encode(), None))) for i in range(200))
@@ -368,3 +417,46 @@ def test_folded_scores_equal_the_network():
     softmax = np.exp(inputs) / np.exp(inputs).sum(axis=1, keepdims=True)
     folded = toxicity.passages(toxicity.word_means(model.bucket_scores(), text)) + model.bias
     assert np.allclose(softmax[:, 1], 1 / (1 + np.exp(-folded)), atol=1e-5)
+
+
+def test_long_texts_in_pieces_are_the_same(monkeypatch):
+    rng = random.Random(8)
+    letters = "abcXYZéßΣσ語々。、 \n\t\u3000-"
+    text = "".join(rng.choice(letters) for _ in range(5000)) + "ΟΔΟΣ " * 40
+    scores = np.random.default_rng(1).normal(size=1 << toxicity.BITS)
+    whole, means = langid.bag(text), toxicity.word_means(scores, text)
+    for size in (1, 7, 100, 4999):
+        monkeypatch.setattr(ngrams, "PIECE", size)
+        assert "".join(ngrams.pieces(text)) == text
+        again = langid.bag(text)
+        assert np.array_equal(whole[0], again[0]) and np.array_equal(whole[1], again[1])
+        assert np.allclose(means, toxicity.word_means(scores, text))
+
+
+def test_letters_among_the_punctuation_of_scripts():
+    for text in ("々", "〆", "〇々"):
+        assert len(langid.bag(text)[0]), text
+    names, logs = langid.fit(["ab cd", "々 〆"], ["a", "j"])
+    assert langid.predict("々", names, logs)[0] == "j" and langid.predict("。、", names, logs)[0] == "und"
+
+
+def test_the_sample_does_not_depend_on_how_it_is_cut(spark):
+    """Sizes around the limits, against a plain ranking."""
+    import collections
+
+    rng = random.Random(3)
+    rows = [(i, g, rng.choice([5, 9, 10, 11, 40, 90])) for i in range(400) for g in (["a"] if i % 7 else ["a", "b"])] + [(1000, "c", 500)]
+    known = spark.createDataFrame(rows, "doc_id long, g string, size int")
+    hashed = {r.doc_id: r.h for r in known.selectExpr("doc_id", "xxhash64(doc_id) AS h").distinct().collect()}
+    for most, chars, total in ((20, 10, 1000), (500, 10, 3000), (30, 4, 200)):
+        want = set()
+        groups = collections.defaultdict(list)
+        for i, g, size in rows:
+            groups[g].append((size if size > chars else 0, hashed[i], i, size))
+        for g, found in groups.items():
+            so_far = 0
+            for place, (_, _, i, size) in enumerate(sorted(found)[:most], 1):
+                so_far += size
+                if size <= chars or place == 1 or so_far <= total:
+                    want.add((i, g, size))
+        assert {tuple(r) for r in toxicity.choose(known, "g", most, chars, total).collect()} == want
