@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sluiceway.llm.ngrams import grams
+from sluiceway.llm.graph import store
+from sluiceway.llm.ngrams import grams, pieces
 
 BITS, DIM = 17, 16
 LOW, HIGH = 3, 6
@@ -46,7 +47,12 @@ class Model(NamedTuple):
 
 
 def word_means(scores: np.ndarray, text: str) -> np.ndarray:
-    """Mean score of the n-grams of each word."""
+    """Mean score of the n-grams of each word; long texts are read in pieces."""
+    found = [_piece_means(scores, piece) for piece in pieces(text)]
+    return found[0] if len(found) == 1 else np.concatenate(found)
+
+
+def _piece_means(scores: np.ndarray, text: str) -> np.ndarray:
     buckets, owners, count = grams(text, LOW, HIGH, BITS)
     if not count:
         return np.zeros(0)
@@ -155,13 +161,45 @@ def held_out(doc_id: Column) -> Column:
 
 
 def choose(known: DataFrame, group: str, rows: int, chars: int, total: int) -> DataFrame:
-    """Rows (doc_id, group, size) of the bounded sample: short texts by hash of the id, then long ones by size."""
-    long = F.col("size") > chars
-    order = Window.partitionBy(group).orderBy(F.when(long, F.col("size")).otherwise(0), F.xxhash64("doc_id"), "doc_id", "size")
-    chosen = known.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows)
-    so_far = F.sum("size").over(Window.partitionBy(group).orderBy("place"))
-    chosen = chosen.withColumn("so_far", so_far).where(~long | (F.col("place") == 1) | (F.col("so_far") <= total))
-    return chosen.select("doc_id", group, "size").distinct()
+    """Rows (doc_id, group, size) of the bounded sample: short texts by hash of the id, then long ones by size.
+
+    No group is gathered in one task: the number of short texts per group tells below which hash the wanted ones lie, so
+    each task picks its share by itself, and the driver orders what comes in, about `rows` for each group.
+    Of long texts at most total / chars can fit, which Spark cuts to inside the tasks, too.
+    """
+    spark = known.sparkSession
+    known = store(known.select("doc_id", group, "size"), "sample-pool")
+    counts = known.groupBy(group).agg(F.count_if(F.col("size") <= chars).alias("short")).collect()
+    kind, key = known.schema[group].dataType.simpleString(), F.xxhash64("doc_id").alias("hash")
+    found: dict = {r[group]: [] for r in counts}
+    margin, open_groups = 1.3, {r[group]: r["short"] for r in counts if r["short"]}
+    while open_groups:
+        cuts = [(g, -(2**63) + min(int(2**64 * (margin * rows + 100) / n), 2**64 - 1)) for g, n in open_groups.items()]
+        cuts = F.broadcast(spark.createDataFrame(cuts, f"{group} {kind}, cut long"))
+        picked = known.where(F.col("size") <= chars).join(cuts, group).withColumn("hash", key).where("hash <= cut")
+        for g in open_groups:
+            found[g] = []
+        for r in picked.select("hash", "doc_id", "size", group).collect():
+            found[r[group]].append(tuple(r)[:3])
+        open_groups = {g: n for g, n in open_groups.items() if len(found[g]) < min(rows, n)}  # hashes lie unevenly
+        margin *= 2
+    chosen = []
+    few = [g for g in found if len(found[g]) < rows]
+    longer: dict = {g: [] for g in few}
+    if few:
+        room = total // max(chars, 1) + 2
+        order = Window.partitionBy(group).orderBy("size", "hash", "doc_id")
+        long = known.where((F.col("size") > chars) & F.col(group).isin(few)).withColumn("hash", key)
+        long = long.withColumn("place", F.row_number().over(order)).where(F.col("place") <= room)
+        for r in long.orderBy("place").select("hash", "doc_id", "size", group).collect():
+            longer[r[group]].append(tuple(r)[:3])
+    for g in found:
+        so_far, place = 0, 0
+        for _, doc_id, size in (sorted(found[g]) + longer.get(g, []))[:rows]:
+            so_far, place = so_far + size, place + 1
+            if size <= chars or place == 1 or so_far <= total:
+                chosen.append((doc_id, g, size))
+    return spark.createDataFrame(sorted(set(chosen)), f"doc_id {known.schema['doc_id'].dataType.simpleString()}, {group} {kind}, size int")
 
 
 def training_sample(
@@ -179,7 +217,7 @@ def training_sample(
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per input row: doc_id, held_out, score, predicted.
 
-    Null, empty and wordless texts score lowest.  Rows are scored independently; repeated rows score alike.  Without
+    Null, empty and wordless texts score lowest; very long ones are read whole, piece by piece.  Rows are scored independently; repeated rows score alike.  Without
     labels of both kinds every text scores the share of label 1.  Null labels are not learned from.
     Other columns are not read.
     """
