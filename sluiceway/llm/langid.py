@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.ngrams import grams
+from sluiceway.llm.ngrams import grams, pieces
 from sluiceway.llm.toxicity import choose, held_out
 
 BITS = 14
@@ -35,10 +35,12 @@ UNDETERMINED = "und"
 
 
 def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of a text's n-grams and how often each occurs."""
+    """Buckets of a text's n-grams and how often each occurs; long texts are counted in pieces."""
     if not text:
         return np.empty(0, np.int64), np.empty(0)
-    counts = np.bincount(grams(text, LOW, HIGH, BITS)[0], minlength=1)
+    counts = np.zeros(1 << BITS, np.int64)
+    for piece in pieces(text):
+        counts += np.bincount(grams(piece, LOW, HIGH, BITS)[0], minlength=1 << BITS)
     buckets = np.flatnonzero(counts)
     return buckets, counts[buckets].astype(float)
 
@@ -131,7 +133,7 @@ def language_of(docs: DataFrame) -> DataFrame:
 
     score is the proportion of lang_pred in the text's mixture, `languages` the whole mixture.  Null texts, texts
     without letters, and all texts when there is nothing to learn from are 'und' with score 0.  More than MAX_LANGUAGES
-    lang values are an error.  Whole texts are read; rows are independent, repeated rows are predicted alike.  Null lang values are not learned from; other
+    lang values are an error.  Whole texts are read, very long ones piece by piece; rows are independent, repeated rows are predicted alike.  Null lang values are not learned from; other
     columns are not read.
     """
     names, logs = fit_rows(training_sample(docs).toLocalIterator())

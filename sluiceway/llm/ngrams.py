@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
 
 from sluiceway.llm.text import mix64
@@ -9,7 +12,24 @@ from sluiceway.llm.text import mix64
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 # Whether a code point belongs to a word: exact for Latin scripts, and everything above but spaces and punctuation.
 _LATIN = np.array([chr(i).isalnum() for i in range(0x250)])
-_GAPS = ((0x2000, 0x206F), (0x2190, 0x2BFF), (0x3000, 0x303F), (0xFF00, 0xFF0F), (0xE000, 0xF8FF))
+_GAPS = (
+    (0x2000, 0x206F), (0x2190, 0x2BFF), (0x3000, 0x3004), (0x3008, 0x3020), (0x302A, 0x3030), (0x3036, 0x3037), (0x303D, 0x303F),
+    (0xFF00, 0xFF0F), (0xE000, 0xF8FF),
+)
+PIECE = 200_000  # characters worked on at a time
+_CUT = re.compile("[\\t-\\r \u3001\u3002]")  # never part of a word
+
+
+def pieces(text: str) -> Iterator[str]:
+    """The text cut between words: n-grams lie within words, so those of the pieces are those of the text."""
+    at = 0
+    while len(text) - at > PIECE:
+        gap = _CUT.search(text, at + PIECE)
+        if not gap:
+            break
+        yield text[at : gap.start()]
+        at = gap.start()
+    yield text[at:] if at else text
 
 
 def code_points(text: str) -> np.ndarray:
@@ -41,7 +61,8 @@ def word_stream(text: str) -> tuple[np.ndarray, np.ndarray]:
 def grams(text: str, low: int, high: int, bits: int) -> tuple[np.ndarray, np.ndarray, int]:
     """(bucket, word number) of all n-grams of `low` to `high` characters, and the number of words.
 
-    An n-gram lies within one word; the word's boundary counts as a character at either end.
+    An n-gram lies within one word; the word's boundary counts as a character at either end.  Takes some hundred
+    bytes a character: give long texts in `pieces`.
     """
     stream, words = word_stream(text)
     count = int(words[-1]) if len(words) else 0
