@@ -190,15 +190,18 @@ def block_matches(codes: np.ndarray, left, right, block: int, threshold: float)
     reach = radius(threshold, high - low, dims)
     far = (SCALE * math.sqrt(budget(threshold)) + math.sqrt(dims)) ** 2
     # One more coordinate to walk along: the last of the block, which the grid does not use if it has others.
+    one_side = left is right
     right = right[np.argsort(codes[right, high - 1], kind="stable")]
     along = codes[right, high - 1].astype(np.float64)
-    left = left[np.argsort(codes[left, high - 1], kind="stable")]
+    left = right if one_side else left[np.argsort(codes[left, high - 1], kind="stable")]
     inner, full = codes[:, low:high].astype(np.float32), codes.astype(np.float32)
     forest = Forest(len(codes))
     for at in range(0, len(left), _CHUNK):
         rows = left[at : at + _CHUNK]
         edge = codes[rows, high - 1].astype(np.float64)
-        window = right[np.searchsorted(along, edge[0] - reach, "left") : np.searchsorted(along, edge[-1] + reach, "right")]
+        # Within one side, earlier rows have met these already.
+        first = at if one_side else np.searchsorted(along, edge[0] - reach, "left")
+        window = right[first : np.searchsorted(along, edge[-1] + reach, "right")]
         # Whole numbers below 2^24: exact in single precision.
         apart = _distances(inner[rows], inner[window])
         for i, j in _by_row(apart <= reach * reach):
@@ -240,17 +243,17 @@ def vector_links(vectors: np.ndarray, sizes: np.ndarray, left, right, threshold:
     counts, forest, same = np.zeros(len(vectors), np.int64), Forest(len(vectors)), left is right
     for at in range(0, len(left), _CHUNK):
         rows = left[at : at + _CHUNK]
-        cosines = vectors[rows] @ vectors[right].T
+        others = right[at:] if same else right
+        cosines = vectors[rows] @ vectors[others].T
         for i, j in zip(*np.nonzero(np.abs(cosines - threshold) < _CLOSE)):
-            cosines[i, j] = exact_cosine(vectors[rows[i]], vectors[right[j]])
+            cosines[i, j] = exact_cosine(vectors[rows[i]], vectors[others[j]])
         linked = cosines >= threshold
-        if same:
-            linked[np.arange(len(rows)), at + np.arange(len(rows))] = False
-        counts[rows] += linked @ sizes[right]
-        if not same:
-            counts[right] += sizes[rows] @ linked
+        if same:  # each pair once
+            linked &= np.arange(len(others))[None] > np.arange(len(rows))[:, None]
+        counts[rows] += linked @ sizes[others]
+        counts[others] += sizes[rows] @ linked
         for i, j in _by_row(linked):
-            forest.join(rows[i], right[j])
+            forest.join(rows[i], others[j])
     return counts, forest.links
 
 
