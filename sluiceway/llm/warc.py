@@ -96,7 +96,21 @@ def train_dictionary(records: list[bytes]) -> bytes:
         return b"".join(records)[:DICTIONARY_BYTES]
 
 
+# Tasks write through pyarrow, which knows these stores; s3a and s3n are other names of s3, with the machine's credentials.
+SCHEMES = ("file", "hdfs", "viewfs", "s3", "s3a", "s3n", "gs", "gcs", "abfs", "abfss")
+
+
+def check_folder(folder: str) -> str:
+    """The folder, if tasks can write archives there; else an error before any task starts."""
+    scheme = folder.partition(":")[0] if ":" in folder.partition("/")[0] else "file"
+    if scheme not in SCHEMES:
+        raise ValueError(f"archives cannot be written to {scheme}: paths; give a folder on one of {', '.join(SCHEMES)}")
+    return folder
+
+
 def _file_system(path: str):
+    if path.startswith(("s3a://", "s3n://")):
+        path = "s3" + path[3:]
     return pyarrow.fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
 
 
@@ -192,7 +206,8 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT_B
 
     Null html is an empty payload; null urls are written empty.  Of equal payloads of at least
     `min_bytes` bytes, the page with the largest id is the response; rows that repeat this id are responses,
-    too.  Pages of equal payload without any id are all responses.  An empty table gives no archives.
+    too.  Pages of equal payload without any id are all responses.  An empty table gives no archives.  An archive of so
+    few records that no dictionary can be trained takes the first DICTIONARY_BYTES of them as one.
     """
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
@@ -202,7 +217,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT_B
     rows = attach(rows, store(groups, "payloads"), "digest", "size", 64)
     keep = F.when(F.col("last_id").isNotNull() & ~F.col("last_id").eqNullSafe(F.col("page_id")), F.col("last_id"))
     rows = rows.select("page_id", "url", "html", keep.alias("keep_id"))
-    return store(rows.mapInArrow(_write(folder), "archive string, records long"), "archives")
+    return store(rows.mapInArrow(_write(check_folder(folder)), "archive string, records long"), "archives")
 
 
 def _read(folder: str):
@@ -228,7 +243,11 @@ def _read(folder: str):
 
 
 def read_archives(archives: DataFrame, folder: str) -> DataFrame:
-    """One row per record of the listed archives: page_id, payload_bytes, payload_digest, record_type, refers_to."""
+    """One row per record of the listed archives: page_id, payload_bytes, payload_digest, record_type, refers_to.
+
+    Empty payloads, null ids and repeated rows come back as they were written, whole and in any number; without
+    archives there are no rows.  A damaged record is an error.
+    """
     names = archives.select("archive").repartition(max(1, archives.sparkSession.sparkContext.defaultParallelism * 3))
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return names.mapInArrow(_read(folder), schema)
+    return names.mapInArrow(_read(check_folder(folder)), schema)
