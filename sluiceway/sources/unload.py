@@ -39,13 +39,16 @@ def _unload_by_bytes(rows: DataFrame, path: str, limit: int) -> None:
     rows.sample(share, 1).coalesce(1).write.parquet(probe)
     size, _ = _file_sizes(rows, probe)
     delete_path(spark, probe)
-    files = max(1, ceil(size / share / (limit * HEADROOM)))
+    most = max(count, 1)  # a file per row; more would be empty
+    files = min(max(1, ceil(size / share / (limit * HEADROOM))), most)
     for _ in range(TRIES):
         rows.repartition(files).write.mode("overwrite").parquet(path)
         _, largest = _file_sizes(rows, path)
         if largest <= limit:
             return
-        files = ceil(files * largest / (limit * HEADROOM))
+        if files == most:
+            break
+        files = min(ceil(files * largest / (limit * HEADROOM)), most)
     raise ValueError(f"files of {largest} bytes at {path}: rows are too large for {limit}")
 
 
