@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.operators.keys import latest_per_key
-from sluiceway.session import delete_path
+from sluiceway.session import delete_path, fits_broadcast
 from sluiceway.sources.tables import PartTable, require_same_schema
 
 
@@ -62,7 +62,7 @@ def merge_into(
     columns = list(dict.fromkeys([*keys, table.part, *carry, *([age] if age else [])]))
     at = f"{table.path}/merges/{staged}"
     if live:
-        _hits(before, fresh, keys, columns).write.parquet(at)
+        _hits(table, fresh, keys, columns).write.parquet(at)
         hits = spark.read.schema(before.select(columns).schema).parquet(at)
     else:  # nothing to replace
         hits = spark.createDataFrame([], before.select(columns).schema)
@@ -100,11 +100,16 @@ def forget_merge(table: PartTable, version: str) -> None:
     delete_path(table.spark, f"{table.path}/merges/{version}")
 
 
-def _hits(before: DataFrame, fresh: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Named columns, the keys among them, of the stored rows whose key comes in."""
-    first = keys[0]
-    low, high = fresh.agg(F.min(first), F.max(first)).first()
-    wanted = before.select(*columns)
+def _hits(table: PartTable, fresh: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Named columns, the keys among them, of the stored rows whose key comes in.
+
+    Few keys are first looked up in the filters of the table, if it has them, so that only parts that may hold one are read.
+    """
+    first, wanted = keys[0], table.read().select(*columns)
+    found = fresh.agg(F.min(first), F.max(first), F.count(F.lit(1)), F.max(F.octet_length(F.col(first).cast("string")))).first()
+    low, high, rows, longest = found
+    if low is not None and table.key is not None and len(keys) == 1 and fits_broadcast(rows, longest):
+        wanted = table.read(table.may_hold(fresh.select(table.key), rows)).select(*columns)
     if low is not None:
         wanted = wanted.where(F.col(first).between(low, high))
     return wanted.join(fresh.select(*keys), keys, "left_semi")

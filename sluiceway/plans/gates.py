@@ -19,6 +19,7 @@ from sluiceway.operators.verdict import EmptyBatch, GateFailed, judge
 from sluiceway.plans import transactions as tx
 from sluiceway.plans.ledger import FAILED, PASSED, REJECTED, SERVED, VERIFIED, Delivery
 from sluiceway.plans.store import Store
+from sluiceway.session import fits_broadcast
 
 CHECK_TYPES = {"ML": "TDQ", "STG": "TDQ+BDQ", "SDM": "BDQ"}
 # What a gate makes of the deliveries it saw, by its outcome.
@@ -44,9 +45,9 @@ class GateResult:
 def gate_mirror(store: Store, batch_id: str, as_of: datetime | None = None, size: str = "") -> GateResult:
     """First gate: 17 checks on one batch of the mirror.
 
-    Two jobs: the fused metrics of the batch, which also give the bound on its
-    keys, and the key pass against all other batches.  The outcome holds for the
-    deliveries the mirror showed at the beginning.
+    The fused metrics of the batch also give the bound on its keys.  If that is small, filters name the other
+    batches that may hold one of them, and only these are read by the key pass; mostly there are none.  The outcome
+    holds for the deliveries the mirror showed at the beginning.
     """
     began, seen = time.time(), store.deliveries(batch_id)
     rows = tx.mirror_keys(store.mirror.read())
@@ -55,9 +56,12 @@ def gate_mirror(store: Store, batch_id: str, as_of: datetime | None = None, size
     first = fused_metrics(batch, [*suite, *KeyBounds.metrics("TXN_ID")]).first()
     if first.TOTAL_ROWS == 0:
         raise _empty(store, "ML", "mirror", batch_id, began, size, seen)
-    others = set(store.mirror.live_parts()) - {batch_id}
-    history = rows.where(F.col("_BATCH_ID") != batch_id) if others else None
     bounds = KeyBounds.of(first.TOTAL_ROWS, first)
+    others = store.mirror.live_parts().keys() - {batch_id}
+    history = rows.where(F.col("_BATCH_ID") != batch_id) if others else None
+    if others and fits_broadcast(bounds.rows, bounds.longest):
+        near = {pair for pair in store.mirror.may_hold(batch.select("TXN_ID"), bounds.rows) if pair[0] != batch_id}
+        history = tx.mirror_keys(store.mirror.read(near)) if near else None
     keys = key_metrics(batch, history, "TXN_ID", bounds, "DUP_TXN_ID_IN_BATCH", "cross_batch_dup_txn_ids")
     values = {**first.asDict(), **keys.first().asDict()}
     return _conclude(store, "ML", "mirror", batch_id, values, suite, began, size, seen, log_speed=True)

@@ -49,11 +49,11 @@ class Store:
 
     @property
     def mirror(self) -> PartTable:
-        return open_mirror(self.spark, f"{self.root}/mirror")
+        return open_mirror(self.spark, f"{self.root}/mirror", key="TXN_ID")
 
     @property
     def staging(self) -> PartTable:
-        return PartTable(self.spark, f"{self.root}/staging", STAGING_SCHEMA, part="_BATCH_ID", facts=facts())
+        return PartTable(self.spark, f"{self.root}/staging", STAGING_SCHEMA, part="_BATCH_ID", facts=facts(), key=F.col("TXN_ID"))
 
     @property
     def mart(self) -> PartTable:

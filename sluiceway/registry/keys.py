@@ -10,6 +10,8 @@ from sluiceway.operators import keys as k
 from sluiceway.operators.profile import attach, fused_metrics
 from sluiceway.registry import base as b
 from sluiceway.registry.base import Query
+from sluiceway.session import broadcast_bounded, fits_broadcast, scratch_dir
+from sluiceway.sources.tables import PartTable
 
 
 def _cross_batch(spark: SparkSession, sf: str) -> DataFrame:
@@ -27,6 +29,33 @@ def _newest_against_history(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("_BATCH_ID", F.lit(newest["_BATCH_ID"]))
 
 
+_AGAIN = "1998-06"
+
+
+def _random_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """For every stored year of orders under random ids: its keys that a new batch repeats; filters say which years are read.
+
+    The batch repeats one month and adds an id for each line item.
+    """
+    orders = b.table(spark, sf, "orders").select(
+        F.md5(F.col("o_orderkey").cast("string")).alias("TXN_ID"), F.concat(F.lit("B"), F.year("o_orderdate").cast("string")).alias("_BATCH_ID"),
+        F.date_format("o_orderdate", "yyyy-MM").alias("month"),
+    )
+    history = orders.drop("month")
+    table = PartTable(spark, scratch_dir(spark, "random"), history.schema, part="_BATCH_ID", key=F.col("TXN_ID"))
+    table.replace(history, spread=True)
+    line = F.concat_ws("-", F.lit("new"), F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    added = b.table(spark, sf, "lineitem").select(F.md5(line).alias("TXN_ID"))
+    batch = orders.where(F.col("month") == _AGAIN).select("TXN_ID").unionByName(added).distinct()
+    bounds = batch.agg(F.count(F.lit(1)).alias("rows"), F.max(F.octet_length("TXN_ID")).alias("longest")).first()
+    small = fits_broadcast(bounds.rows, bounds.longest or 0)
+    stored = table.read(table.may_hold(batch, bounds.rows)) if small else table.read()
+    repeats = stored.join(broadcast_bounded(batch, bounds.rows, bounds.longest or 0), "TXN_ID", "left_semi")
+    counted = repeats.groupBy("_BATCH_ID").agg(F.count(F.lit(1)).alias("repeats"))
+    years = table.items().select(F.col("part").alias("_BATCH_ID"), F.col("rows").alias("total_rows"))
+    return years.join(counted, "_BATCH_ID", "left").fillna(0, ["repeats"])
+
+
 def _references(spark: SparkSession, sf: str) -> DataFrame:
     raw = b.txn_dirty(spark, sf)
     cases = [
@@ -96,6 +125,14 @@ QUERIES = {
           (SELECT TXN_ID FROM txn_multi h, n WHERE h._BATCH_ID <> n.b)) AS repeats, max(n.b) AS _BATCH_ID
         FROM txn_multi m, n WHERE m._BATCH_ID = n.b""",
     ),
+    "random_key_repeats": Query(
+        _random_keys,
+        f"""WITH o AS (SELECT md5(CAST(o_orderkey AS VARCHAR)) AS TXN_ID, 'B' || CAST(year(o_orderdate) AS VARCHAR) AS _BATCH_ID,
+          strftime(o_orderdate, '%Y-%m') AS month FROM orders),
+        batch AS (SELECT TXN_ID FROM o WHERE month = '{_AGAIN}' UNION
+          SELECT md5('new-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)) FROM lineitem)
+        SELECT o._BATCH_ID, count(*) AS total_rows, count(n.TXN_ID) AS repeats FROM o LEFT JOIN batch n USING (TXN_ID) GROUP BY 1""",
+    ),
     "ref_integrity": Query(_references, REFERENCES_SQL),
     "missing_accounts": Query(
         _missing_accounts,

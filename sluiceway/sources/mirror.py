@@ -18,6 +18,7 @@ from pyspark.sql.types import (
     VariantType,
 )
 
+from sluiceway.functions.payload import value_of
 from sluiceway.functions.scalars import key_hash
 from sluiceway.sources.tables import PartTable
 
@@ -78,9 +79,11 @@ class Lineage:
         return self.loaded_at or datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def open_mirror(spark: SparkSession, path: str) -> PartTable:
-    """Mirror at `path`; tables written before a column existed show it as NULL."""
-    return PartTable(spark, path, MIRROR_SCHEMA, part="_BATCH_ID", item="_FILENAME")
+def open_mirror(spark: SparkSession, path: str, key: str | None = None) -> PartTable:
+    """Mirror at `path`; tables written before a column existed show it as NULL.  `key` is the payload key rows are looked up by."""
+    return PartTable(
+        spark, path, MIRROR_SCHEMA, part="_BATCH_ID", item="_FILENAME", key=value_of(key) if key else None
+    )
 
 
 def technical_columns(

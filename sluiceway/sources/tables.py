@@ -21,6 +21,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from sluiceway.session import delete_path, list_names, scoped_conf
 from sluiceway.sources.rowlog import RowLog
+from sluiceway.sources.sketches import BLOCK_COLUMNS, groups_that_may_hold, key_filters
 
 VERSION = "_VERSION"
 # Timestamps as plain integers: smaller, and with the statistics that let a scan skip row groups.
@@ -68,14 +69,24 @@ class PartTable:
 
     With `facts`, each publish also counts these over the rows it shows, as they were written, and `read_facts` puts
     them together, so that totals of the whole table cost a look at a few rows per part.
+
+    With `key`, each publish also stores a filter over the keys of every part it shows, and `may_hold` names the parts
+    in which given keys can be; the others need not be read, in whatever order keys come.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, schema: StructType, part: str, item: str | None = None, facts: Facts | None = None
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: StructType,
+        part: str,
+        item: str | None = None,
+        facts: Facts | None = None,
+        key: Column | None = None,
     ):
         self.spark, self.path, self.schema, self.part, self.item = spark, path.rstrip("/"), schema, part, item
-        self.facts = facts
-        self._data, self._log = f"{self.path}/data", f"{self.path}/log"
+        self.facts, self.key = facts, key
+        self._data, self._log, self._filters = f"{self.path}/data", f"{self.path}/log", f"{self.path}/filters"
         self._stored = StructType([*schema.fields, StructField(VERSION, StringType())])
 
     # Per path: the log folders read last, and what they say.  Folders are written once, so it holds while they are the same.
@@ -154,6 +165,22 @@ class PartTable:
         """The facts of all rows shown: part, version, members, rows, sums and maxima."""
         return self._shown(self._fact_log().read())
 
+    def may_hold(self, keys: DataFrame, rows: int) -> set[tuple[str, str]]:
+        """The (part, version) pairs shown that may hold one of the keys, the only column of `keys`, of at most `rows` rows.
+
+        Pairs without a filter are among them: versions published before the table had a key, and versions without any.
+        """
+        live = {(part, v) for part, versions in self.live_parts().items() for v in versions}
+        stored = {name.split("=", 1)[1] for name in list_names(self.spark, self._filters)}
+        asked = sorted({v for _, v in live} & stored)
+        unknown = {pair for pair in live if pair[1] not in stored}
+        if not asked:
+            return unknown
+        source = self.spark.read.schema(f"{BLOCK_COLUMNS}, `{VERSION}` string, `{self.part}` string").option("basePath", self._filters)
+        filters = source.parquet(*[f"{self._filters}/{VERSION}={v}" for v in asked])
+        found = groups_that_may_hold(filters, [self.part, VERSION], keys, rows)
+        return unknown | ({(r[0], r[1]) for r in found.collect()} & live)
+
     def items(self) -> DataFrame:
         """What has been loaded: item, part, version and row count."""
         return self._live_entries().select("item", "part", "rows", "version")
@@ -219,7 +246,7 @@ class PartTable:
         items to be logged even if they hold no row.  `check` gets (part, version, item, rows) of what was
         written and may raise to keep it out.
         """
-        seq = self.next_seq()
+        seq, versions = self.next_seq(), list(versions)
         item = F.col(self.item) if self.item else F.lit(None).cast("string")
         keys = [F.col(self.part).alias("part"), F.col(VERSION).alias("version"), item.alias("item")]
         if self.facts:
@@ -231,6 +258,8 @@ class PartTable:
             entries.write.parquet(path)
             entries = self.spark.read.schema(entries.schema).parquet(path)
             check(entries)
+        if self.key is not None:
+            self._add_filters(versions, entries)
         if given is not None:
             zero = given.select("part", "version", "item", F.lit(0).cast("bigint").alias("rows"))
             entries = entries.unionByName(zero).groupBy("part", "version", "item").agg(F.sum("rows").alias("rows"))
@@ -247,9 +276,16 @@ class PartTable:
         if seq % SNAPSHOT_EVERY == 0:
             self.snapshot(seq)
 
-    def _add_facts(self, versions: Iterable[str], keys: list[Column]) -> DataFrame:
+    def _add_filters(self, versions: list[str], entries: DataFrame) -> None:
+        """Store the key filters of versions about to show; a repeated publish adds the same blocks once more."""
+        groups = [self.part, VERSION]
+        sizes = entries.groupBy(F.col("part").alias(self.part), F.col("version").alias(VERSION)).agg(F.sum("rows").alias("rows"))
+        blocks = key_filters(self.stored(*versions), self.key, groups, sizes).hint("rebalance", *groups)
+        blocks.write.mode("append").partitionBy(VERSION, self.part).parquet(self._filters)
+
+    def _add_facts(self, versions: list[str], keys: list[Column]) -> DataFrame:
         """Count and store the facts of versions about to show; returns their log entries."""
-        versions, log = list(versions), self._fact_log()
+        log = self._fact_log()
         rows = self.stored(*versions)
         log.append(self.facts.of(rows, keys[0], keys[1]).select(log.schema.names), one_file=False)
         mine = log.read().where(F.col("version").isin(versions))
@@ -283,6 +319,7 @@ class PartTable:
         used = {v for versions in self.live_parts().values() for v in versions} | set(keep)
         gone = [n for n in list_names(self.spark, self._data) if n.split("=")[-1] not in used]
         for name in gone:
+            delete_path(self.spark, f"{self._filters}/{name}")
             delete_path(self.spark, f"{self._data}/{name}")
         return gone
 
