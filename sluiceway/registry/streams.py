@@ -2,25 +2,38 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.plans import transactions as tx
 from sluiceway.registry import base as b
 from sluiceway.registry.base import Query
-from sluiceway.session import scratch_dir
+from sluiceway.session import scoped_conf, scratch_dir
+from sluiceway.sources.listing import list_files
 from sluiceway.sources.mirror import open_mirror
 from sluiceway.sources.unload import unload_parquet
 from sluiceway.operators.audit import AuditLog
-from sluiceway.streaming.gates import gate_stream, profile_stream, repeats_in_stream, unique_within
+from sluiceway.streaming.gates import DISK_STATE, gate_stream, profile_stream, repeats_in_stream, unique_within
 from sluiceway.streaming.pickup import pick_up
 
 
+_FILE_ROWS, _FILES_PER_TRIGGER = 20_000, 8
+_MOST_TRIGGERS, _MOST_FILES = 8, 256
+
+
 def _as_stream(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
-    """The rows as files, read back as a stream of one file per trigger and task."""
+    """The rows as files, read back as a stream of several files per trigger.
+
+    Every micro-batch has a cost of its own and meets all keys before it, so larger inputs come in larger micro-batches of larger
+    files, not in more of them.
+    """
     path = scratch_dir(spark, label)
-    unload_parquet(rows, path, 20_000)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(path)
+    unload_parquet(rows, path, max(_FILE_ROWS, ceil(rows.count() / _MOST_FILES)))
+    files = list_files(spark, path, "*.parquet").count()
+    per_trigger = max(_FILES_PER_TRIGGER, ceil(files / _MOST_TRIGGERS))
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", per_trigger).parquet(path)
 
 
 def _pickup(spark: SparkSession, sf: str) -> DataFrame:
@@ -58,9 +71,11 @@ def _stream_unique(spark: SparkSession, sf: str) -> DataFrame:
     rows = b.txn_multi(spark, sf).select("TXN_ID", F.col("_LOADED_AT").cast("timestamp").alias("at"))
     once = unique_within(_as_stream(spark, rows, "arrivals"), ["TXN_ID"], "at", "36500 days")
     path = scratch_dir(spark, "unique")
-    once.select("TXN_ID").writeStream.format("parquet").option("path", path).option(
-        "checkpointLocation", scratch_dir(spark, "progress")
-    ).trigger(availableNow=True).start().awaitTermination()
+    with scoped_conf(spark, DISK_STATE):
+        stream = once.select("TXN_ID").writeStream.format("parquet").option("path", path).option(
+            "checkpointLocation", scratch_dir(spark, "progress")
+        ).trigger(availableNow=True).start()
+    stream.awaitTermination()
     return spark.read.parquet(path)
 
 

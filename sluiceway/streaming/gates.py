@@ -37,8 +37,18 @@ def profile_stream(
     )
 
 
+# Session settings under which to start a stream whose keys may outgrow the executors' memory: state is kept on local disk, in
+# bounded memory, and a micro-batch stores only what it changed.
+_ROCKS = "spark.sql.streaming.stateStore.rocksdb"
+DISK_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_ROCKS}.changelogCheckpointing.enabled": "true",
+    f"{_ROCKS}.boundedMemoryUsage": "true",
+}
+
+
 def unique_within(rows: DataFrame, keys: Sequence[str], event_time: str, bound: str) -> DataFrame:
-    """Drop repeats of a key that arrive within `bound`; state older than that is discarded."""
+    """Drop repeats of a key that arrive within `bound`; state older than that is discarded.  Start it under `DISK_STATE`."""
     return rows.withWatermark(event_time, bound).dropDuplicatesWithinWatermark(list(keys))
 
 
