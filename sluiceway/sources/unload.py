@@ -36,7 +36,8 @@ def _unload_by_bytes(rows: DataFrame, path: str, limit: int) -> None:
     spark, count = rows.sparkSession, rows.count()
     probe = scratch_dir(spark, "probe")
     share = min(1.0, PROBE_ROWS / max(count, 1))
-    rows.sample(share, 1).coalesce(1).write.parquet(probe)
+    # Gathered after the sampling: the tasks that read stay parallel, one task gets the sampled rows only.
+    rows.sample(share, 1).repartition(1).write.parquet(probe)
     size, _ = _file_sizes(rows, probe)
     delete_path(spark, probe)
     most = max(count, 1)  # a file per row; more would be empty
