@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,12 +40,21 @@ ODD_SQL = f"""SELECT kind, folder, count(*) AS rows, CAST(sum(o_orderkey) AS BIG
   JOIN (VALUES {_NAMES}) n(i, folder) ON o_orderkey % {len(ODD_NAMES)} = i, (VALUES ('csv'), ('parquet')) k(kind) GROUP BY ALL"""
 
 
+_LEAST_BLOCK, _MOST_BLOCKS = 16 << 10, 512
+
+
+def _block_bytes(spark: SparkSession, folder: str) -> int:
+    """Size of the blocks in which to read some files: small, so that files have many, but no more tasks than that takes."""
+    total = list_files(spark, folder, "*.csv").agg(F.sum("length")).first()[0] or 0
+    return max(_LEAST_BLOCK, ceil(total / _MOST_BLOCKS))
+
+
 def _row_of_number(spark: SparkSession, sf: str) -> DataFrame:
     """Every key with the distance of its row number from its place in the file, whose rows are sorted by key; files of many blocks."""
     o = b.table(spark, sf, "orders").select(F.col("o_orderkey").alias("K"), F.col("o_orderpriority").alias("P"))
     landing, mirror = scratch_dir(spark, "landing"), open_mirror(spark, scratch_dir(spark, "mirror"))
     unload_csv(o.repartitionByRange(4, "K").sortWithinPartitions("K"), landing)
-    with scoped_conf(spark, {"spark.sql.files.maxPartitionBytes": str(16 << 10)}):
+    with scoped_conf(spark, {"spark.sql.files.maxPartitionBytes": str(_block_bytes(spark, landing))}):
         load_csv(spark, mirror, pending_files(spark, landing, mirror, "*.csv"), base=landing)
         rows = mirror.read().select("_FILENAME", "_FILE_ROW_NUM", value_of("K", "bigint").alias("k"))
         place = F.row_number().over(Window.partitionBy("_FILENAME").orderBy("k"))
