@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from math import ceil
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.operators.audit import AuditLog
@@ -14,7 +16,7 @@ from sluiceway.plans.gates import gate_mirror
 from sluiceway.plans.store import Store
 from sluiceway.registry import base as b
 from sluiceway.registry.base import Query
-from sluiceway.session import scratch_dir
+from sluiceway.session import list_names, scratch_dir
 from sluiceway.sources.listing import list_files, pending_files
 from sluiceway.sources.loading import load_parquet
 from sluiceway.sources.mirror import open_mirror
@@ -131,12 +133,21 @@ UNION ALL SELECT 'two', 'SUCCESS', layer, name, TRUE, every - one, CASE layer WH
 # ---- streams that go on ------------------------------------------------------------
 
 
-def _by_year(spark: SparkSession, rows: DataFrame, years: list[int]) -> DataFrame:
-    """The rows as a stream of one file per year and trigger."""
-    path = scratch_dir(spark, "arrivals")
-    for year in years:
-        rows.where(F.year(F.to_date("TXN_DATE")) == year).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+_FILE_ROWS = 1_000_000
+
+
+def _by_year(spark: SparkSession, rows: DataFrame, year_of: Column, years: list[int]) -> DataFrame:
+    """The rows as a stream of one year per trigger, each year in the same number of files, written by as many tasks."""
+    path, none = scratch_dir(spark, "arrivals"), spark.createDataFrame([], rows.schema)
+    counts = rows.groupBy(year_of.alias("y")).count().where(F.col("y").isin(years))
+    most = counts.agg(F.max("count")).first()[0] or 0
+    files = max(1, ceil(most / _FILE_ROWS))
+    for i, year in enumerate(years):
+        rows.where(year_of == year).repartition(files).write.mode("append").parquet(path)
+        # A task without rows writes no file; files without rows take their places, so that triggers keep to the years.
+        for _ in range((i + 1) * files - len([n for n in list_names(spark, path) if n.endswith(".parquet")])):
+            none.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 _YEARS = list(range(1995, 2002))
@@ -149,7 +160,7 @@ def _quarantined(spark: SparkSession, sf: str) -> DataFrame:
     rows = b.txn_raw(spark, sf).drop("k").withColumn("CURRENCY", currency).withColumn("_BATCH_ID", F.concat(F.lit("B"), year.cast("string")))
     log, path = AuditLog(spark, scratch_dir(spark, "audit")), scratch_dir(spark, "stream")
     gate_stream(
-        _by_year(spark, rows, _YEARS), tx.mirror_suite(), "TXN_ID", ["_BATCH_ID"], log, f"{path}/verdicts", f"{path}/progress",
+        _by_year(spark, rows, F.year(F.to_date("TXN_DATE")), _YEARS), tx.mirror_suite(), "TXN_ID", ["_BATCH_ID"], log, f"{path}/verdicts", f"{path}/progress",
         "DUP_TXN_ID_IN_BATCH", accepted=f"{path}/accepted", quarantine=f"{path}/quarantine",
     ).awaitTermination()
     logged = log.table("TDQ_RESULTS").groupBy("PASSED").agg(F.count("*").alias("epochs"))
@@ -163,12 +174,9 @@ QUARANTINE_SQL = """SELECT 'B' || year(o_orderdate) AS _BATCH_ID, count(*) AS co
 
 
 def _many_epochs(spark: SparkSession, sf: str) -> DataFrame:
-    """Repeats per epoch of line-item keys that arrive in a file per year, after the stored keys have been gathered into runs."""
+    """Repeats per epoch of line-item keys that arrive a year at a time, after the stored keys have been gathered into runs."""
     rows = b.txn_multi(spark, sf).select("TXN_ID", F.year("_LOADED_AT").alias("y"))
-    source, path = scratch_dir(spark, "arrivals"), scratch_dir(spark, "repeats")
-    for year in _YEARS:
-        rows.where(F.col("y") == year).select("TXN_ID").coalesce(1).write.mode("append").parquet(source)
-    stream = spark.readStream.schema("TXN_ID string").option("maxFilesPerTrigger", 1).parquet(source)
+    path, stream = scratch_dir(spark, "repeats"), _by_year(spark, rows, F.col("y"), _YEARS).select("TXN_ID")
     repeats_in_stream(stream, "TXN_ID", scratch_dir(spark, "keys"), path, scratch_dir(spark, "progress")).awaitTermination()
     return spark.read.parquet(path).select((F.col("epoch") + _YEARS[0]).alias("y"), "repeats")
 

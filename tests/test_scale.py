@@ -1,14 +1,16 @@
 """Work that must not pile up as tables grow: micro-batches, single tasks, what reaches the driver."""
 
+import os
 from math import ceil
 
 from pyspark.sql import functions as F
 
-from sluiceway.registry import guards, streams
+from sluiceway.registry import guards, reading, streams
+from sluiceway.sources import unload
 from sluiceway.sources.listing import list_files
 
 
-def _batches(stream, checkpoint, rows_of=None):
+def _batches(stream, checkpoint):
     """Row counts of the micro-batches of a stream."""
     found = []
     stream.writeStream.foreachBatch(lambda rows, epoch: found.append(rows.count())).option(
@@ -34,3 +36,29 @@ def test_unique_keys_keep_their_state_on_disk(spark, folder, monkeypatch):
     assert streams._stream_unique(spark, folder).count() == 20
     logged = spark.read.text(f"{progress}/progress/offsets/0").where("value LIKE '%RocksDBStateStoreProvider%'").count()
     assert logged == 1 and spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+
+
+def test_probe_of_an_unload_is_read_by_all_tasks(spark, folder, monkeypatch):
+    rows, probes = spark.range(0, 8_000, 1, 8).select("id", F.spark_partition_id().alias("task")), []
+    monkeypatch.setattr(unload, "delete_path", lambda spark, path: probes.append(path))
+    unload.unload_parquet(rows, f"{folder}/u", max_bytes_per_file=20_000)
+    assert spark.read.parquet(probes[0]).select("task").distinct().count() == 8
+    assert len(os.listdir(f"{folder}/u")) > 1 and spark.read.parquet(f"{folder}/u").count() == 8_000
+
+
+def test_blocks_of_large_files_are_not_many(spark, folder, monkeypatch):
+    spark.range(20_000).coalesce(1).write.csv(f"{folder}/c")
+    total = list_files(spark, f"{folder}/c", "*.csv").first()["length"]
+    assert reading._block_bytes(spark, f"{folder}/c") == 16 << 10
+    monkeypatch.setattr(reading, "_LEAST_BLOCK", 16)
+    assert ceil(total / reading._block_bytes(spark, f"{folder}/c")) <= 512
+
+
+def test_a_year_is_written_by_many_tasks_and_read_as_one_batch(spark, folder, monkeypatch):
+    """Years of many, no and few rows: the same number of files each, and a micro-batch per year."""
+    monkeypatch.setattr(guards, "_FILE_ROWS", 250)
+    sizes = {2001: 1000, 2002: 0, 2003: 3}
+    years = [(year,) for year, n in sizes.items() for _ in range(n)]
+    rows = spark.createDataFrame(years, "y int").repartition(5)
+    stream = guards._by_year(spark, rows, F.col("y"), list(sizes))
+    assert _batches(stream, f"{folder}/progress") == list(sizes.values())
