@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sluiceway.session import broadcast_bounded
 
 KEYS_PER_BLOCK = 8
+RUN_BITS = 16  # 2^16 blocks, 2 MB of a filter, are written by one task
 _WORDS = [f"w{i}" for i in range(8)]
 BLOCK_COLUMNS = "blocks bigint, block bigint, " + ", ".join(f"{w} int" for w in _WORDS)
 _ASKED_BYTES = 48
@@ -35,11 +36,17 @@ def key_filters(rows: DataFrame, key: Column, groups: list[str], sizes: DataFram
     least = F.greatest(F.col("rows") / KEYS_PER_BLOCK, F.lit(1.0))
     blocks = F.pow(F.lit(2.0), F.ceil(F.log2(least))).cast("bigint")
     keyed = rows.select(*groups, key.alias("_key")).where("_key IS NOT NULL")
-    sized = keyed.join(sizes.select(*groups, blocks.alias("blocks")), groups)
+    # One row per group: joined by a shuffle, all keys of a group would meet in one task.
+    sized = keyed.join(F.broadcast(sizes.select(*groups, blocks.alias("blocks"))), groups)
     placed = sized.select(*groups, "blocks", _block(F.col("_key"), F.col("blocks")).alias("block"), *[b.alias(w) for w, b in _bits(F.col("_key")).items()])
     return placed.groupBy(*groups, "blocks", "block").agg(*[F.bit_or(w).alias(w) for w in _WORDS])
 
 
+def together(blocks: DataFrame, groups: list[str]) -> DataFrame:
+    """Blocks gathered for writing by group, those of a large filter in runs, each by a task."""
+    return blocks.withColumn("_run", F.shiftright("block", RUN_BITS)).hint("rebalance", *groups, "_run").drop("_run")
+
+
 def groups_that_may_hold(filters: DataFrame, groups: list[str], keys: DataFrame, rows: int) -> DataFrame:
     """The groups whose filter has at least one of the keys, the only column of `keys`; there are at most `rows` of them.
 

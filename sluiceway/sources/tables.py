@@ -21,7 +21,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from sluiceway.session import delete_path, list_names, scoped_conf
 from sluiceway.sources.rowlog import RowLog
-from sluiceway.sources.sketches import BLOCK_COLUMNS, groups_that_may_hold, key_filters
+from sluiceway.sources.sketches import BLOCK_COLUMNS, groups_that_may_hold, key_filters, together
 
 VERSION = "_VERSION"
 # Timestamps as plain integers: smaller, and with the statistics that let a scan skip row groups.
@@ -280,8 +280,8 @@ class PartTable:
         """Store the key filters of versions about to show; a repeated publish adds the same blocks once more."""
         groups = [self.part, VERSION]
         sizes = entries.groupBy(F.col("part").alias(self.part), F.col("version").alias(VERSION)).agg(F.sum("rows").alias("rows"))
-        blocks = key_filters(self.stored(*versions), self.key, groups, sizes).hint("rebalance", *groups)
-        blocks.write.mode("append").partitionBy(VERSION, self.part).parquet(self._filters)
+        blocks = key_filters(self.stored(*versions), self.key, groups, sizes)
+        together(blocks, groups).write.mode("append").partitionBy(VERSION, self.part).parquet(self._filters)
 
     def _add_facts(self, versions: list[str], keys: list[Column]) -> DataFrame:
         """Count and store the facts of versions about to show; returns their log entries."""

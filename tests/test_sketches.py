@@ -9,6 +9,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from sluiceway.operators.upsert import merge_into
 from sluiceway.plans.gates import gate_mirror
 from sluiceway.plans.store import Store
+from sluiceway.session import scoped_conf
 from sluiceway.sources.listing import pending_files
 from sluiceway.sources.loading import load_parquet
 from sluiceway.sources.samples import sample_accounts, sample_instruments, sample_transactions
@@ -146,3 +147,18 @@ def test_gate_reads_only_batches_with_hits(spark, folder, monkeypatch, reads, li
     assert reads == ([["b1"]] if limit else [])
     gate_mirror(store, "b0")
     assert found["cross_batch_dup_txn_ids"] == 0 and len(reads) == (1 if limit else 0)
+
+
+def test_keys_of_one_part_are_placed_by_many_tasks(spark):
+    """The number of blocks reaches the rows without a shuffle by part, and a large filter is gathered in runs."""
+    from sluiceway.sources import sketches
+
+    rows = spark.range(1000).select((F.col("id") % 2).cast("string").alias("g"), F.col("id").cast("string").alias("k"))
+    sizes = rows.groupBy("g").agg(F.count("*").alias("rows"))
+    with scoped_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        filters = sketches.key_filters(rows, F.col("k"), ["g"], sizes)
+        plan = filters._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        gathered = sketches.together(filters, ["g"])
+        assert gathered.columns == filters.columns and "_run" in gathered._jdf.queryExecution().executedPlan().toString()
+        assert gathered.exceptAll(filters).isEmpty() and gathered.count() == filters.count()
