@@ -85,7 +85,8 @@ def refresh_mart(store: Store) -> bool:
     """Bring the mart up to staging, whatever earlier runs left undone; False if nothing was.
 
     Works off the noted changes: only the months of their rows are read from the mart and rewritten,
-    only the parts that received the rows are read from staging.  If the changed months hold most of the mart, all of
+    only the parts that received the rows are read from staging.  Keys are compared only where rows from before the change
+    can be: not in months the mart does not have, nor in parts that show nothing but what came.  If the changed months hold most of the mart, all of
     it is derived from staging, which saves joining.  A run that dies before the notes are
     dropped repeats the same refresh.
     """
@@ -109,9 +110,15 @@ def refresh_mart(store: Store) -> bool:
         rebuild_mart(store)
         return True
     keys = changed.select("TXN_ID").distinct()
-    now = store.staging.read().where(F.col("_BATCH_ID").isin(sorted({r.part for r in came}))).join(keys, "TXN_ID", "left_semi")
-    old = store.mart.read().where(F.col(MONTH).isin(hit)).join(keys, "TXN_ID", "left_anti")
-    again = old.select(tx.MONTH_COLUMNS).unionByName(now.select(tx.MONTH_COLUMNS))
+    live, arrived = store.staging.live_parts(), {(r.part, r.version) for r in came}
+    shown = {(part, v) for part in {r.part for r in came} for v in live.get(part, [])}
+    again = store.staging.read(shown)
+    if shown - arrived:  # some rows of these parts were there before
+        again = again.join(keys, "TXN_ID", "left_semi")
+    again = again.select(tx.MONTH_COLUMNS)
+    if any(sizes.get(m) for m in hit):
+        old = store.mart.read().where(F.col(MONTH).isin(hit)).join(keys, "TXN_ID", "left_anti")
+        again = old.select(tx.MONTH_COLUMNS).unionByName(again)
     staged = _rows_of(store.staging)
     most = max((sizes.get(m, 0) for m in hit), default=0) + sum(staged.get(r.part, 0) for r in came)
     store.mart.replace(_with_month(tx.derive_months(again, most=most)), drop=hit, spread=True)

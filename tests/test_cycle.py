@@ -16,6 +16,7 @@ from sluiceway.plans.store import Store
 from sluiceway.sources.loading import load_parquet
 from sluiceway.sources.listing import pending_files
 from sluiceway.sources.samples import sample_accounts, sample_instruments, sample_transactions
+from sluiceway.sources.tables import PartTable
 from sluiceway.sources.unload import unload_csv, unload_parquet
 from sluiceway.streaming.pickup import pick_up
 
@@ -245,6 +246,21 @@ def test_facts_add_up_to_what_the_tables_hold(spark, folder, monkeypatch):
         gate_mart(store, "four")
 
 
+def test_refresh_of_new_months_compares_no_keys(spark, folder, monkeypatch):
+    """Rows of months the mart does not have are derived without reading the mart; those of known months are still joined."""
+    store, landing, read = make_store(spark, folder), f"{folder}/in", []
+    stored = PartTable.read
+    monkeypatch.setattr(PartTable, "read", lambda table, only=None: read.append(table.path) or stored(table, only))
+    for name, first, day, joined in (("one", 0, "2026-02-01", False), ("two", 1000, "2026-05-01", False), ("three", 2000, "2026-05-02", True)):
+        load(spark, store, landing, name, rows_of(spark, 60 if name == "one" else 10, first, day))
+        store.approve(name)
+        stage_new_rows(store)
+        read.clear()
+        assert refresh_mart(store)
+        assert (store.mart.path in read) == joined
+        assert same_rows(store.mart_rows(), tx.derive_mart(store.staging.read()))
+
+
 def test_batches_that_pass_late_are_staged(spark, folder):
     store, landing = make_store(spark, folder), f"{folder}/in"
     load(spark, store, landing, "one", sample_transactions(spark, 30, TODAY, 0))
