@@ -70,6 +70,11 @@ def key_hash(business_key: Column | None, file_name: Column) -> Column:
     return F.md5(F.concat_ws("|", key, file_name))
 
 
+def hash_sums(name: str, hashed: Column) -> dict[str, Column]:
+    """A 64-bit hash in three pieces of at most 22 bits, so that a bigint holds the sum of each over 2^41 rows; decimals cost far more."""
+    return {f"{name}_{i}": F.shiftrightunsigned(hashed, 22 * i).bitwiseAND((1 << 22) - 1) for i in range(3)}
+
+
 def row_hash(named: dict[str, Column]) -> Column:
     """Hash of a row's values, independent of column order and of absent columns."""
     ordered = [named[name].alias(name) for name in sorted(named)]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from sluiceway.functions.scalars import hash_sums
 from sluiceway.operators.audit import AuditLog
 from sluiceway.operators.upsert import forget_merge
 from sluiceway.plans.ledger import FAILED, LOADED, PASSED, Delivery, Ledger
@@ -26,9 +27,9 @@ def facts() -> Facts:
     key = F.col("TXN_ID")
     sums = {
         "amount": F.col("AMOUNT"),
-        # Two sums of hashes tell tables of different keys apart without comparing the keys.
-        "keys": F.xxhash64(key).cast("decimal(20,0)"),
-        "more_keys": F.xxhash64(F.lit("again"), key).cast("decimal(20,0)"),
+        # The sums of two hashes tell tables of different keys apart without comparing the keys.
+        **hash_sums("keys", F.xxhash64(key)),
+        **hash_sums("more_keys", F.xxhash64(F.lit("again"), key)),
     }
     return Facts(("ACCOUNT_ID", "CURRENCY"), sums, {"latest": F.col("_LOADED_AT")})
 

@@ -30,7 +30,7 @@ WRITE_SETTINGS = {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}
 # the version, or all if none is named.  `stale` keeps note of a part that a still-used version also wrote.
 LOG_SCHEMA = "seq bigint, op string, part string, version string, item string, rows bigint"
 SNAPSHOT_EVERY = 20
-_NAMED_PAIRS = 500  # up to so many live (part, version) pairs are named in the plan instead of joined
+_NAMED_PAIRS = 500  # up to so many versions, and parts of them that no longer show, are named in the plan instead of joined
 
 
 class SchemaChanged(Exception):
@@ -147,10 +147,18 @@ class PartTable:
 
     def _shown(self, rows: DataFrame) -> DataFrame:
         """Those of some (part, version) rows that the table shows."""
-        pairs = [(part, v) for part, versions in self.live_parts().items() for v in versions]
-        if len(pairs) <= _NAMED_PAIRS:
-            return rows.where(F.concat_ws("/", "version", "part").isin([f"{v}/{part}" for part, v in pairs]))
-        return rows.join(self.spark.createDataFrame(pairs, "part string, version string"), ["part", "version"], "left_semi")
+        live, written = self._state()
+        pairs = [(part, v) for part, versions in live.items() for v in versions if part is not None]
+        part, version, shown = F.col("part"), F.col("version"), {v for _, v in pairs}
+        stale = {v: sorted(p for p in written[v] - {part for part, used in pairs if used == v} if p is not None) for v in shown}
+        if len(shown) + sum(map(len, stale.values())) > _NAMED_PAIRS:
+            return rows.join(self.spark.createDataFrame(pairs, "part string, version string"), ["part", "version"], "left_semi")
+        # Versions as they stand, less the parts that a later version replaced: facts are many, so nothing is computed from a row.
+        rows = rows.where(version.isin(sorted(shown)) & part.isNotNull())
+        for v in sorted(shown):
+            if stale[v]:
+                rows = rows.where((version != v) | ~part.isin(stale[v]))
+        return rows
 
     def _live_entries(self) -> DataFrame:
         """Log entries of what is shown."""

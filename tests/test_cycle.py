@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluiceway.operators.audit import alert_message, utc_now
-from sluiceway.operators.reconcile import fact_totals, table_totals
+from sluiceway.operators.reconcile import KEY_SUMS, fact_totals, table_totals, with_key_counts
 from sluiceway.operators.verdict import EmptyBatch, GateFailed
 from sluiceway.plans import transactions as tx
 from sluiceway.plans.cycle import newest_batch, rebuild_mart, refresh_mart, run_cycle, stage_new_rows
@@ -246,6 +246,27 @@ def test_facts_add_up_to_what_the_tables_hold(spark, folder, monkeypatch):
         gate_mart(store, "four")
 
 
+def test_third_gate_sums_facts_without_shuffling_them(spark, folder, monkeypatch):
+    """Key hashes are added up as whole numbers; facts that lack them prove nothing, and the keys are counted."""
+    store, landing = make_store(spark, folder), f"{folder}/in"
+    load(spark, store, landing, "one", rows_of(spark, 60, 0, "2026-02-01"))
+    store.approve("one")
+    stage_new_rows(store)
+    refresh_mart(store)
+    facts = store.staging.read_facts()
+    assert {facts.schema[n].dataType.simpleString() for n in KEY_SUMS} == {"bigint"}
+    dims, taken = ("ACCOUNT_ID", "CURRENCY"), []
+    collect = type(facts).collect
+    monkeypatch.setattr(type(facts), "collect", lambda rows: taken.append(rows) or collect(rows))
+    assert fact_totals({"T": facts}, dims)["T"]["keys"] is not None
+    plan = taken[0]._jdf.queryExecution().sparkPlan().toString()
+    assert not any("keys=[side" in line and all(d in line for d in dims) for line in plan.splitlines())
+    old = facts.withColumns({n: F.lit(None).cast("bigint") for n in KEY_SUMS})
+    assert fact_totals({"T": facts.unionByName(old)}, dims)["T"]["keys"] is None
+    counted = with_key_counts(*[fact_totals({p: old}, dims)[p] for p in ("SDM", "STG")], "TXN_ID", store.mart.read(), store.staging.read().limit(0))
+    assert counted.select("SDM_DISTINCT_TXN_ID", "STG_DISTINCT_TXN_ID").first() == (60, 0)
+
+
 def test_refresh_of_new_months_compares_no_keys(spark, folder, monkeypatch):
     """Rows of months the mart does not have are derived without reading the mart; those of known months are still joined."""
     store, landing, read = make_store(spark, folder), f"{folder}/in", []
