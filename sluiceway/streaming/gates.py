@@ -101,6 +101,11 @@ LOOSE_EPOCHS = 32
 _SEED = -1
 
 
+def _sorted_once(keys: DataFrame, key: str) -> DataFrame:
+    """Each key once, dealt and sorted by range: equal keys meet in their range, so dropping repeats takes no shuffle of its own."""
+    return keys.repartitionByRange(key).distinct().sortWithinPartitions(key)
+
+
 class KeyRuns:
     """Keys of a stream: one folder per epoch, and a sorted run that stands for all epochs up to its number.
 
@@ -150,8 +155,8 @@ class KeyRuns:
             return
         last = int(loose[-1].rsplit("/", 1)[-1])
         target = f"{self.path}/runs/{last:012d}"
-        every = session.read.schema(shape).parquet(*self.folders(session, epoch)).distinct()
-        every.repartitionByRange(key).sortWithinPartitions(key).write.mode("overwrite").parquet(target)
+        every = session.read.schema(shape).parquet(*self.folders(session, epoch))
+        _sorted_once(every, key).write.mode("overwrite").parquet(target)
         count = session.read.parquet(target).agg(F.count(F.lit(1)).alias("keys"))
         count.write.mode("overwrite").parquet(f"{self.path}/heads/{last:012d}")
         # What the run before this one replaced, and its predecessors.
@@ -181,16 +186,17 @@ def repeats_in_stream(
         if known is not None:
             state.seed(known.select(key).distinct())
         mine = state.add(key_counts(arrived.where(F.col(key).isNotNull()), key), epoch)
-        n, longest, low, high = mine.agg(F.count(key), F.max(F.octet_length(key)), F.min(key), F.max(key)).first()
-        inside = mine.agg(F.coalesce(F.sum("_n") - F.count(key), F.lit(0)).alias("repeats"))
-        earlier = state.folders(session, epoch)
+        n, longest, low, high, arrivals = mine.agg(
+            F.count(key), F.max(F.octet_length(key)), F.min(key), F.max(key), F.coalesce(F.sum("_n"), F.lit(0))
+        ).first()
+        again, earlier = mine.select(key).limit(0), state.folders(session, epoch)
         if n and earlier:
             before = session.read.schema(mine.select(key).schema).parquet(*earlier).where(F.col(key).between(low, high))
             arriving = F.broadcast(mine.select(key)) if fits_broadcast(n, longest) else mine.select(key)
             again = before.join(arriving, key, "left_semi").distinct()
-            # The first row of a key that came in an earlier batch is a repeat, too.
-            inside = inside.unionByName(again.agg(F.count(key).alias("repeats")))
-        inside.agg(F.sum("repeats").alias("repeats")).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        # The first row of a key that came in an earlier batch is a repeat, too.
+        repeats = again.agg((F.count(key) + F.lit(arrivals - n)).alias("repeats"))
+        repeats.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
         # Only epochs that can no longer be repeated are gathered: all before this one.
         state.gather(session, key, epoch)
 

@@ -3,11 +3,13 @@
 import os
 from math import ceil
 
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from sluiceway.registry import guards, reading, streams
 from sluiceway.sources import unload
 from sluiceway.sources.listing import list_files
+from sluiceway.streaming import gates as stream_gates
 
 
 def _batches(stream, checkpoint):
@@ -62,3 +64,38 @@ def test_a_year_is_written_by_many_tasks_and_read_as_one_batch(spark, folder, mo
     rows = spark.createDataFrame(years, "y int").repartition(5)
     stream = guards._by_year(spark, rows, F.col("y"), list(sizes))
     assert _batches(stream, f"{folder}/progress") == list(sizes.values())
+
+
+def test_gathered_keys_are_shuffled_once(spark):
+    """Keys of several epochs, some of them in each: one shuffle deals, drops and sorts, and files of a run do not overlap."""
+    keys = spark.range(0, 3_000, 1, 6).select((F.col("id") % 1_000).cast("string").alias("k"))
+    run = stream_gates._sorted_once(keys, "k")
+    plan = run._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1, plan
+    rows = [(r.part, r.k) for r in run.select(F.spark_partition_id().alias("part"), "k").collect()]
+    assert [k for _, k in rows] == sorted(str(i) for i in range(1_000)) and rows == sorted(rows)
+
+
+def test_repeats_of_epochs_are_counted_in_two_passes(spark, folder, monkeypatch):
+    """Known, null, empty and gathered epochs: exact repeats, and the arriving keys are read for their bounds and for the join only."""
+    monkeypatch.setattr(stream_gates, "LOOSE_EPOCHS", 2)
+    arrivals = [["a", "b", "b", None], [], ["b", "c"], [None, None], ["a", "a", "d", "known"], ["d", "e"]]
+    for i, keys in enumerate(arrivals):
+        spark.createDataFrame([(k,) for k in keys], "k string").coalesce(1).write.parquet(f"{folder}/in/part={i}")
+        for name in os.listdir(f"{folder}/in/part={i}"):
+            if name.endswith(".parquet"):
+                os.utime(f"{folder}/in/part={i}/{name}", (1_000_000 + i, 1_000_000 + i))
+    stream = spark.readStream.schema("k string, part int").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in").select("k")
+    plans, seen = [], DataFrameWriter.parquet
+
+    def watched(writer, path, *args):
+        if "/out/epoch=" in path:
+            plans.append(writer._df._jdf.queryExecution().optimizedPlan().toString())
+        return seen(writer, path, *args)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    known = spark.createDataFrame([("known",), ("known",), (None,)], "k string")
+    stream_gates.repeats_in_stream(stream, "k", f"{folder}/keys", f"{folder}/out", f"{folder}/progress", known).awaitTermination()
+    found = [r.repeats for r in spark.read.parquet(f"{folder}/out").orderBy("epoch").collect()]
+    assert found == [1, 0, 1, 0, 3, 1]
+    assert max(plan.count("Relation") for plan in plans) == 2
